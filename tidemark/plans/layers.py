@@ -72,7 +72,7 @@ def run_reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def test_layers(tables: Mapping[str, DataFrame]) -> DataFrame:
+def check_layers(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The declared tests whose tables are there."""
     suite = [
         t for t in learning.TESTS if t.table in tables and (t.parent is None or t.parent in tables)
