@@ -1,5 +1,5 @@
 """Queries over the star-schema tables, one per operator, with their SQL counterparts."""
 
-from workload import learning
+from workload import incremental, learning, quality
 
-ALL = {**learning.QUERIES}
+ALL = {**learning.QUERIES, **incremental.QUERIES, **quality.QUERIES}
