@@ -1,5 +1,10 @@
 """Queries over the star-schema tables, one per operator, with their SQL counterparts."""
 
-from workload import incremental, learning, quality
+from workload import documents, incremental, learning, quality
 
-ALL = {**learning.QUERIES, **incremental.QUERIES, **quality.QUERIES}
+ALL = {
+    **learning.QUERIES,
+    **incremental.QUERIES,
+    **quality.QUERIES,
+    **documents.QUERIES,
+}
