@@ -10,8 +10,9 @@ from tidemark.plans.contracts import KEY_ALIASES, MASTER_KEYS, TARGET_OF
 
 def parse_tag_document(df: DataFrame, col: str = "data") -> DataFrame:
     """Add the parsed document as ``doc``; NULL where the text is no JSON object."""
-    doc = F.try_parse_json(col)
-    return df.withColumn("doc", F.when(F.schema_of_variant(doc).startswith("OBJECT"), doc))
+    # Text of an object starts with a brace; anything else is not worth parsing.
+    text = F.when(F.col(col).rlike(r"^\s*\{"), F.col(col))
+    return df.withColumn("doc", F.try_parse_json(text))
 
 
 def malformed(parsed: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from tidemark.operators.reports import dq_report
 from tidemark.plans import industrial
 from tidemark.plans.contracts import CONTRACTS
 from tidemark.sources import documents
-from workload.inputs import table
+from workload.inputs import spread, table
 
 # One document per order line. Supplier, part and order stand in for tag,
 # equipment and location. The defects follow from the line's own values.
@@ -87,20 +87,19 @@ def tag_documents(spark, d):
         )
     )
     data = F.concat(
-        F.regexp_replace(masters, r"\}$", ', "measurements": ['),
+        F.rtrim(masters, F.lit("}")), F.lit('}, "measurements": ['),
         first,
         F.when(F.col("l_discount") > 0.05, F.concat(F.lit(", "), copy)).otherwise(""),
-        F.lit("]}"),
+        # Lines sold without tax lost the end of their document on the way.
+        F.when(F.col("l_tax") == 0, "]").otherwise("]}"),
     )
-    # Lines sold without tax lost the end of their document on the way.
-    broken = F.when(F.col("l_tax") == 0, F.substr(data, F.lit(1), F.length(data) - 1))
-    return table(spark, d, "lineitem").select(
+    return spread(table(spark, d, "lineitem")).select(
         f["tag_id"].alias("tag_id"),
         F.lit("lines").alias("source_name"),
         F.expr(
             "l_shipdate + make_dt_interval(0, 0, 0, l_partkey + cast(l_suppkey as decimal(18,6)) / 1000000)"
         ).cast("timestamp").alias("ingested_at"),
-        F.coalesce(broken, data).alias("data"),
+        data.alias("data"),
     )
 
 
