@@ -1,10 +1,12 @@
 """Queries over the star-schema tables, one per operator, with their SQL counterparts."""
 
-from workload import documents, incremental, learning, quality
+from workload import documents, incremental, learning, loading, quality, streams
 
 ALL = {
     **learning.QUERIES,
     **incremental.QUERIES,
     **quality.QUERIES,
     **documents.QUERIES,
+    **loading.QUERIES,
+    **streams.QUERIES,
 }
