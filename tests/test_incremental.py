@@ -1,0 +1,185 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidemark.operators.incremental import (
+    delete_insert,
+    evolve,
+    high_water_mark,
+    merge_upsert,
+    newer_than_max,
+    union_evolve,
+)
+from tidemark.operators.snapshot import META, snapshot, validity_ranges
+
+QUIET = settings(
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+DAY = dt.datetime(2024, 1, 1)
+
+
+def at(n):
+    return DAY + dt.timedelta(days=n)
+
+
+def frame(spark, data, schema="k string, v int, ts timestamp_ntz"):
+    return spark.createDataFrame(data, schema)
+
+
+def test_high_water_mark_of_an_empty_table(spark):
+    empty = frame(spark, [])
+    assert high_water_mark(empty, "ts").first().ts == dt.datetime(1900, 1, 1)
+    source = frame(spark, [("a", 1, at(0))])
+    assert newer_than_max(source, empty, "ts").count() == 1
+    assert newer_than_max(source, None, "ts").count() == 1
+
+
+def test_strict_mark_and_lookback(spark):
+    target = frame(spark, [("a", 1, at(2)), ("z", 0, None)])
+    source = frame(spark, [("tied", 1, at(2)), ("late", 1, at(1)), ("new", 1, at(3)), ("n", 1, None)])
+    assert rows(newer_than_max(source, target, "ts"), "k") == [("new",)]
+    got = newer_than_max(source, target, "ts", lookback="36 hours")
+    assert rows(got, "k") == [("late",), ("new",), ("tied",)]
+
+
+def test_merge_updates_inserts_and_keeps_null_keys(spark):
+    target = frame(spark, [("a", 1, at(0)), ("b", 1, at(0)), (None, 1, at(0))])
+    source = frame(spark, [("b", 2, at(1)), ("c", 2, at(1)), (None, 2, at(1)), (None, 3, at(1))])
+    want = [("a", 1), ("b", 2), ("c", 2), (None, 1), (None, 2), (None, 3)]
+    got = [(r.k, r.v) for r in merge_upsert(target, source, "k").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_merge_rejects_repeated_source_keys(spark):
+    target = frame(spark, [("a", 1, at(0))])
+    source = frame(spark, [("a", 2, at(1)), ("a", 3, at(1))])
+    with pytest.raises(PySparkException, match="repeats a key"):
+        merge_upsert(target, source, "k").collect()
+    assert rows(delete_insert(target, source, "k"), "k", "v") == [("a", 2), ("a", 3)]
+
+
+def test_compound_keys(spark):
+    target = frame(spark, [("a", 1, at(0)), ("a", 2, at(0))])
+    source = frame(spark, [("a", 2, at(5)), ("b", 2, at(5))])
+    got = merge_upsert(target, source, ["k", "v"])
+    assert rows(got) == [("a", 1, at(0)), ("a", 2, at(5)), ("b", 2, at(5))]
+
+
+def test_new_columns_are_appended_and_missing_ones_null(spark):
+    target = frame(spark, [("a", 1, at(0)), ("b", 1, at(0))])
+    source = spark.createDataFrame([("b", "x")], "k string, extra string")
+    got = merge_upsert(target, source, "k")
+    assert got.columns == ["k", "v", "ts", "extra"]
+    assert rows(got, "k", "extra")[1] == ("b", "x")
+    assert evolve(target, source).filter("extra is null").count() == 2
+    assert union_evolve(target, source).count() == 3
+
+
+@QUIET
+@given(
+    st.dictionaries(st.integers(0, 8), st.integers(-99, 99), max_size=8),
+    st.dictionaries(st.integers(0, 8), st.integers(-99, 99), max_size=8),
+)
+def test_merge_is_a_dictionary_update_and_idempotent(spark, old, new):
+    target = spark.createDataFrame(list(old.items()), "k long, v long")
+    source = spark.createDataFrame(list(new.items()), "k long, v long")
+    once = merge_upsert(target, source, "k")
+    assert dict(rows(once)) == {**old, **new}
+    assert rows(merge_upsert(once, source, "k")) == rows(once)
+
+
+def test_snapshot_over_three_runs(spark):
+    def users(*data):
+        return frame(spark, data, "id string, name string, ts timestamp_ntz")
+
+    history = snapshot(None, users(("a", "x", at(0)), ("b", "x", at(0))), "id", "ts")
+    # b is changed without a newer time, c is new, a moves on.
+    history = snapshot(
+        history, users(("a", "y", at(1)), ("b", "z", at(0)), ("c", "x", at(1))), "id", "ts"
+    )
+    # a is gone, b moves on at last.
+    history = snapshot(history, users(("b", "z", at(2)), ("c", "x", at(1))), "id", "ts")
+    assert history.columns == ["id", "name", "ts", *META]
+    got = [
+        (r.id, r.name, r.dbt_valid_from, r.dbt_valid_to)
+        for r in history.orderBy("id", "dbt_valid_from").collect()
+    ]
+    assert got == [
+        ("a", "x", at(0), at(1)),
+        ("a", "y", at(1), None),
+        ("b", "x", at(0), at(2)),
+        ("b", "z", at(2), None),
+        ("c", "x", at(1), None),
+    ]
+    assert history.select("dbt_scd_id").distinct().count() == 5
+    again = snapshot(history, users(("b", "z", at(2)), ("c", "x", at(1))), "id", "ts")
+    assert rows(again, "dbt_scd_id", "id") == rows(history, "dbt_scd_id", "id")
+
+
+def test_snapshot_check_strategy_and_new_column(spark):
+    first = spark.createDataFrame([("a", 1), ("b", None)], "id string, v int")
+    history = snapshot(None, first, "id", strategy="check", run_at="2024-01-01")
+    second = spark.createDataFrame([("a", 1, "n"), ("b", 2, None)], "id string, v int, w string")
+    history = snapshot(
+        history, second, "id", strategy="check", check_cols=["v"], run_at="2024-01-02"
+    )
+    got = [(r.id, r.v, r.w, r.dbt_valid_to) for r in history.orderBy("id", "dbt_valid_from").collect()]
+    assert got == [("a", 1, None, None), ("b", None, None, at(1)), ("b", 2, None, None)]
+    history = snapshot(history, second, "id", strategy="check", run_at="2024-01-03")
+    assert history.filter("id = 'a'").count() == 2
+    with pytest.raises(ValueError):
+        snapshot(None, first, "id")
+    with pytest.raises(ValueError):
+        snapshot(None, first, "id", "ts", strategy="guess")
+
+
+def test_snapshot_keeps_rows_without_a_key(spark):
+    source = frame(spark, [(None, 1, at(0)), ("a", 1, at(0))])
+    history = snapshot(snapshot(None, source, "k", "ts"), source, "k", "ts")
+    assert history.filter("k is null").count() == 2 and history.filter("k = 'a'").count() == 1
+
+
+@QUIET
+@given(st.lists(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 6)), max_size=5), max_size=3))
+def test_snapshot_never_has_two_open_rows_per_key(spark, runs):
+    history = None
+    for run in runs:
+        data = [(str(k), t, at(t)) for k, t in dict(run).items()]
+        history = snapshot(history, frame(spark, data), "k", "ts")
+        spread = history.filter("dbt_valid_to is null").groupBy("k").count()
+        assert spread.filter("count > 1").isEmpty()
+        assert history.filter("dbt_valid_to < dbt_valid_from").isEmpty()
+        history = spark.createDataFrame(history.collect(), history.schema)
+
+
+@QUIET
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 150))),
+        max_size=12,
+    ),
+    st.sampled_from(["day", "month", "year"]),
+)
+def test_validity_ranges_equal_plain_lead(spark, data, grain):
+    versions = frame(spark, [(k, i, None if t is None else at(t)) for i, (k, t) in enumerate(data)])
+    got = validity_ranges(versions, "k", "ts", ["v"], grain)
+    versions.createOrReplaceTempView("versions")
+    want = spark.sql("""SELECT *, ts valid_from,
+        lead(ts) OVER (PARTITION BY k ORDER BY ts, v) valid_to FROM versions""")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_mark_reaches_the_scan(spark, tmp_path):
+    frame(spark, [("a", 1, at(0)), ("b", 2, at(9))]).write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    got = newer_than_max(stored, stored.filter(F.col("ts") < F.lit(at(5))), "ts").select("k")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ts" in plan
+    assert rows(got) == [("b",)]

@@ -1,0 +1,154 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidemark.operators import checks, dedup, joins, reports, rules
+from tidemark.operators.checks import DataTest
+
+QUIET = settings(
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_best_prunes_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 k", "id v")
+    plan = plan_of(dedup.keep_best(df, "k", [F.col("v").desc()], row_id="v"))
+    # Read from the bottom: limit per task, exchange, limit per key.
+    assert plan.index("row_number(), 1, Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+@QUIET
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.booleans()), max_size=14),
+    st.booleans(),
+)
+def test_keep_best_and_surplus_split_the_input(spark, data, with_id):
+    df = spark.createDataFrame(
+        [(i, k, ok) for i, (k, ok) in enumerate(data)], "i int, k string, ok boolean"
+    )
+    kept = dedup.resolve_near(df, "k", "i", F.col("ok"), row_id="i" if with_id else None)
+    best = {}
+    for i, (k, ok) in enumerate(data):
+        if k is not None and (k not in best or (ok, -i) > best[k][0]):
+            best[k] = ((ok, -i), i)
+    want = sorted([i for _, i in best.values()] + [i for i, (k, _) in enumerate(data) if k is None])
+    assert [r[0] for r in rows(kept, "i")] == want
+    rest = dedup.surplus(df, kept, "i")
+    assert sorted(r.i for r in kept.union(rest).collect()) == list(range(len(data)))
+    again = dedup.resolve_near(kept, "k", "i", F.col("ok"), row_id="i")
+    assert rows(again, "i") == rows(kept, "i")
+
+
+def test_revised_wins(spark):
+    df = spark.createDataFrame([(0, "a", "x"), (1, "a", "x (revised)")], "pos int, k string, v string")
+    revised = F.col("v").endswith(" (revised)")
+    assert dedup.resolve_near(df, "k").first().pos == 0
+    got = dedup.resolve_near(df, "k", prefer="revised_wins", revised=revised)
+    assert got.first().pos == 1
+    with pytest.raises(ValueError):
+        dedup.resolve_near(df, "k", prefer="revised_wins")
+    with pytest.raises(ValueError):
+        dedup.resolve_near(df, "k", prefer="loudest")
+
+
+def test_drop_exact(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, None), (None, None)], "k string, v int")
+    assert dedup.drop_exact(df).count() == 3
+    assert dedup.drop_exact(df, ["k"]).count() == 2
+
+
+def test_conflict_report(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, "x"), ("b", 1, None), ("b", 1, "y"), ("c", 1, "z"), ("d", 1, "q"), ("d", 1, "q")],
+        "k string, v int, w string",
+    )
+    assert rows(dedup.conflict_report(df, "k")) == [("a", 2, ["v"]), ("b", 2, ["w"])]
+
+
+def test_rules_and_routing(spark):
+    df = spark.createDataFrame(
+        [(1, "Good", 0.5), (2, "Good (revised)", 1.5), (3, None, None)], "id int, flag string, risk double"
+    )
+    checked = rules.with_reasons(
+        df,
+        [
+            *rules.null_rules(["flag"]),
+            *rules.domain_rules({"flag": ["Good", "Bad"]}),
+            *rules.range_rules({"risk": "risk BETWEEN 0 AND 1"}),
+            *rules.length_rules({"flag": 4}),
+        ],
+    )
+    valid, bad = rules.split_valid(checked)
+    assert rows(valid, "id") == [(1,)]
+    assert {r.id: r.reasons for r in bad.collect()} == {
+        2: ["domain:flag", "range:risk", "length:flag"],
+        3: ["null:flag"],
+    }
+    report = reports.dq_report(checked, F.lit("t"))
+    assert dict((r.rule, r.n) for r in report.collect()) == {
+        "rows": 3, "passed": 1, "failed": 2,
+        "domain:flag": 1, "range:risk": 1, "length:flag": 1, "null:flag": 1,
+    }
+    assert rules.with_reasons(df, []).first().reasons == []
+
+
+def test_data_tests(spark):
+    parent = spark.createDataFrame([("p",), ("q",), ("q",)], "id string")
+    child = spark.createDataFrame([("p", 1), ("x", 2), ("x", None), (None, 4)], "fk string, v int")
+    tables = {"parent": parent, "child": child}
+    suite = [
+        DataTest("parent", "unique", "id"),
+        DataTest("child", "not_null", "v"),
+        DataTest("child", "relationships", "fk", "parent", "id"),
+        DataTest("child", "predicate", "v > 1"),
+        DataTest("parent", "not_null", "id"),
+    ]
+    got = {r.test: (r.failures, r.passed) for r in checks.run_tests(tables, suite).collect()}
+    assert got == {
+        "unique(parent.id)": (1, False),
+        "not_null(child.v)": (1, False),
+        "relationships(child.fk -> parent.id)": (2, False),
+        "predicate(child.v > 1)": (2, False),
+        "not_null(parent.id)": (0, True),
+    }
+    assert [checks.failing_rows(tables, t).count() for t in suite] == [1, 1, 2, 2, 0]
+    with pytest.raises(ValueError):
+        checks.run_tests(tables, [DataTest("child", "magic", "v")])
+
+
+def test_orphans_of_an_empty_parent(spark):
+    child = spark.createDataFrame([("a",), (None,)], "fk string")
+    parent = child.limit(0).withColumnRenamed("fk", "id")
+    assert rows(checks.orphans(child, parent, "fk", "id")) == [("a",)]
+    report = checks.fk_report({"c": child, "p": parent}, [("c", "fk", "p", "id")])
+    assert rows(report) == [("c.fk", "p.id", 1, 1)]
+
+
+def test_broadcast_only_when_measured_small(spark):
+    dim = spark.createDataFrame([(i, "x" * 100) for i in range(100)], "k int, name string")
+    fact = spark.range(10).selectExpr("cast(id as int) k")
+    hinted = fact.join(joins.broadcast_dim(dim), "k", "left")
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
+    plain = fact.join(joins.broadcast_dim(dim, max_bytes=1000), "k", "left")
+    assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
+    assert rows(hinted) == rows(plain)
+
+
+def test_newest_first_puts_null_first(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
+    assert [r.v for r in reports.newest_first(df, "v").collect()] == [None, 3, 1]
+
+
+def test_batch_audit(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 1)], "batch_id string, v int")
+    got = rows(reports.batch_audit(df, ok=F.col("v") > 0))
+    assert got == [("a", "FAILED", 1, 1), ("b", "SUCCEEDED", 1, 0)]
+    assert rows(reports.batch_audit(df))[0] == ("a", "SUCCEEDED", 2, 0)

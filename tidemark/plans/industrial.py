@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.checks import fk_report
@@ -12,8 +12,10 @@ from tidemark.operators.coerce import coerce_table, contract_rules
 from tidemark.operators.dedup import keep_best, surplus
 from tidemark.operators.joins import Dimension, enrich, flatten_tag
 from tidemark.operators.rules import is_valid, split_valid, with_reasons
-from tidemark.plans.contracts import CONTRACTS, FK_EDGES, Contract
+from tidemark.plans.contracts import CONTRACTS, FK_EDGES, SORTED_BY, Contract
 from tidemark.session import write_through
+from tidemark.sinks.layout import cluster_fact
+from tidemark.sinks.tables import reload_table
 from tidemark.sources.documents import explode_all, malformed, parse_tag_document
 from tidemark.sources.zones import ZONES
 
@@ -32,6 +34,9 @@ class Cleaned:
 def stage_records(raw: DataFrame) -> DataFrame:
     """All records of all documents, written once to the shared folder by table.
 
+    Nothing is shuffled: every task writes a file per table. For large zones
+    raise ``spark.sql.files.maxPartitionBytes`` so that those files are large.
+
     ``_row`` numbers the rows. It is fixed by the write, so whatever is read
     back later, after a lost executor too, agrees on it.
     """
@@ -52,9 +57,13 @@ def check_table(records: DataFrame, contract: Contract) -> DataFrame:
     return checked.withColumn("_sent", F.when(~is_valid(), F.col(_TEXT))).drop(_TEXT)
 
 
-def clean_table(records: DataFrame, contract: Contract) -> Cleaned:
+def clean_table(records: DataFrame, contract: Contract, stage: bool = False) -> Cleaned:
     """Types first, then rules, then one row per key: a valid one before an
-    invalid one, the latest document, the earliest place in it."""
+    invalid one, the latest document, the earliest place in it.
+
+    With ``stage`` the settled rows are written to the shared folder, for
+    callers that use more than one of the three results.
+    """
     checked = check_table(records, contract)
     best = keep_best(
         checked,
@@ -62,6 +71,8 @@ def clean_table(records: DataFrame, contract: Contract) -> Cleaned:
         [is_valid().desc(), F.col("_ingested_at").desc(), F.col("pos"), F.col("_row")],
         row_id="_row",
     )
+    if stage:
+        best = write_through(best, contract.table)
     valid, bad = split_valid(best)
     return Cleaned(valid.drop("_sent"), bad, surplus(checked, best, "_row"))
 
@@ -69,7 +80,36 @@ def clean_table(records: DataFrame, contract: Contract) -> Cleaned:
 def clean_documents(raw: DataFrame) -> dict[str, Cleaned]:
     """Every table of a raw zone, cleaned. The documents are read and parsed once."""
     records = stage_records(raw)
-    return {table: clean_table(records, contract) for table, contract in CONTRACTS.items()}
+    return {
+        table: clean_table(records, contract, stage=True) for table, contract in CONTRACTS.items()
+    }
+
+
+def save_cleaned(cleaned: dict[str, Cleaned], out: str) -> None:
+    """Write ``valid``, ``bad`` and ``duplicates``, each with a folder per table.
+
+    Valid facts are laid out by tag and time, the way they will be read.
+    """
+    for table, result in cleaned.items():
+        valid = result.valid.select(*CONTRACTS[table].names)
+        if table in SORTED_BY:
+            valid = cluster_fact(valid, "tag_id", SORTED_BY[table])
+        valid.write.parquet(f"{out}/valid/{table}")
+        result.bad.write.parquet(f"{out}/bad/{table}")
+        result.duplicates.write.parquet(f"{out}/duplicates/{table}")
+
+
+def load_validated(
+    spark: SparkSession, out: str, database: str = "staging", root: str | None = None
+) -> list[str]:
+    """Empty and reload all thirteen warehouse tables from the validated files."""
+    names = []
+    for table, contract in CONTRACTS.items():
+        name = f"{database}.{table}"
+        valid = spark.read.schema(contract.schema).parquet(f"{out}/valid/{table}")
+        reload_table(valid, name, f"{root.rstrip('/')}/{table}" if root else None)
+        names.append(name)
+    return names
 
 
 def unreadable(raw: DataFrame) -> DataFrame:

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.checks import run_tests
 from tidemark.operators.incremental import delete_insert, merge_upsert
 from tidemark.operators.snapshot import snapshot
 from tidemark.plans import learning
+from tidemark.sinks.tables import as_view, build_table, incremental_table
 
 
 def run_layers(
@@ -49,12 +51,9 @@ def run_layers(
         fresh = learning.fact_enrollments(out["stg_enrollments"], before, lookback)
         out["fact_enrollments"] = merge_upsert(before, fresh, "enrollment_id")
     if "events" in raw:
-        staging = (
-            learning.stg_events if "payload" in raw["events"].columns else learning.stg_events_flat
-        )
         before = old.get("stg_events")
         out["stg_events"] = delete_insert(
-            before, staging(raw["events"], before, lookback), "event_id"
+            before, _stage_events(raw["events"], before, lookback), "event_id"
         )
         before = old.get("fact_events")
         fresh = learning.fact_events(out["stg_events"], before, lookback)
@@ -63,6 +62,71 @@ def run_layers(
     return out
 
 
+def materialize_layers(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    database: str,
+    root: str,
+    lookback: str | None = None,
+) -> None:
+    """The same run on catalog tables: staging views, history, dimensions and
+    reports rebuilt, events and enrollments merged into their date partitions.
+
+    Facts carry their date as one more column, which they are partitioned by.
+    """
+
+    def existing(table: str) -> DataFrame | None:
+        name = f"{database}.{table}"
+        return spark.table(name) if spark.catalog.tableExists(name) else None
+
+    def rebuild(df: DataFrame, table: str) -> None:
+        build_table(df, f"{database}.{table}", root=f"{root}/{table}")
+
+    def merge(df: DataFrame, table: str, key: str, ts: str, date: str, strategy: str) -> DataFrame:
+        incremental_table(
+            df.withColumn(date, F.to_date(ts)),
+            f"{database}.{table}",
+            key,
+            ts,
+            strategy,
+            partition_by=date,
+            lookback=lookback,
+            root=f"{root}/{table}",
+            partition_follows_ts=True,
+        )
+        return spark.table(f"{database}.{table}")
+
+    if "users" in raw:
+        history = snapshot(existing("users_snapshot"), raw["users"], "user_id", "created_at")
+        rebuild(history, "users_snapshot")
+        staged = as_view(learning.stg_users(raw["users"]), "stg_users")
+        rebuild(learning.dim_users(staged), "dim_users")
+    if "courses" in raw:
+        history = snapshot(existing("courses_snapshot"), raw["courses"], "course_id", "created_at")
+        rebuild(history, "courses_snapshot")
+        staged = as_view(learning.stg_courses(raw["courses"]), "stg_courses")
+        rebuild(learning.dim_courses(staged), "dim_courses")
+    if "enrollments" in raw:
+        by = ("enrollment_id", "enrolled_at", "enrolled_date")
+        staged = learning.stg_enrollments(raw["enrollments"])
+        staged = merge(staged, "stg_enrollments", *by, "delete+insert")
+        merge(learning.fact_enrollments(staged), "fact_enrollments", *by, "merge")
+    if "events" in raw:
+        by = ("event_id", "event_ts", "event_date")
+        staged = merge(_stage_events(raw["events"]), "stg_events", *by, "delete+insert")
+        fact = merge(learning.fact_events(staged), "fact_events", *by, "merge")
+        for table, report in run_reports({"fact_events": fact}).items():
+            rebuild(report, table)
+
+
+def _stage_events(
+    raw: DataFrame, existing: DataFrame | None = None, lookback: str | None = None
+) -> DataFrame:
+    whole = "payload" in raw.columns
+    staging = learning.stg_events if whole else learning.stg_events_flat
+    return staging(raw, existing, lookback)
+
+
 def run_reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     fact = tables["fact_events"]
     return {

@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 from tidemark.operators.incremental import delete_insert, merge_upsert, newer_than_max
 from tidemark.session import write_through
 
+# Fixed value: what a partition without a value is called.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 _MERGES = {"merge": merge_upsert, "delete+insert": delete_insert}
 
 
@@ -173,14 +176,35 @@ def incremental_table(
     partition_by: str | None = None,
     lookback: str | None = None,
     root: str | None = None,
+    partition_follows_ts: bool = False,
 ) -> None:
-    """First run: build the table. Later: merge the rows newer than its newest."""
+    """First run: build the table. Later: merge the rows newer than its newest.
+
+    ``partition_follows_ts`` says that the partition column grows with ``ts``,
+    as its date does. The newest row is then looked for in the last partition
+    only, and not in the whole table.
+    """
     spark = source.sparkSession
     existing = spark.table(name) if spark.catalog.tableExists(name) else None
+    if existing is not None and partition_by and partition_follows_ts:
+        existing = _last_partition(existing, name, partition_by)
     fresh = newer_than_max(source, existing, ts, lookback=lookback)
     merge_table(fresh, name, key, partition_by, strategy, root)
 
 
+def _last_partition(df: DataFrame, name: str, partition_by: str) -> DataFrame:
+    # From the catalog: one row per partition, and no files are opened.
+    value = F.regexp_extract("partition", "=(.*)$", 1)
+    kind = df.schema[partition_by].dataType
+    last = (
+        df.sparkSession.sql(f"SHOW PARTITIONS {name}")
+        .select(F.when(value != _NO_VALUE, value).cast(kind).alias("value"))
+        .agg(F.max("value"))
+        .head()[0]
+    )
+    return df if last is None else df.filter(F.col(partition_by) == F.lit(last))
+
+
 def _new_folder(root: str) -> str:
     return f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
 

@@ -16,7 +16,7 @@ from workload.inputs import COURSES, ENROLLMENTS, FLAT_EVENTS, USERS, table
 from workload.learning import fact_events_frame
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-LINE_ID = [*LINE_KEY, "l_partkey", "l_suppkey"]
+LINE_ID = [*LINE_KEY, "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
 # --- declared tests ---------------------------------------------------------
@@ -168,7 +168,7 @@ def dedup_exact(spark, d):
 
 def _ranked(lines):
     valid = F.col("l_discount") > 0.02
-    order = [valid.desc(), F.col("l_shipdate").desc(), F.col("l_partkey"), F.col("l_suppkey")]
+    order = [valid.desc(), F.col("l_shipdate").desc(), *map(F.col, LINE_ID[2:])]
     return dedup.keep_best(lines, LINE_KEY, order)
 
 
@@ -182,7 +182,7 @@ def dedup_surplus(spark, d):
 
 
 _RANKED = """(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-  ORDER BY l_discount > 0.02 DESC, l_shipdate DESC, l_partkey, l_suppkey) AS rn FROM lineitem)"""
+  ORDER BY l_discount > 0.02 DESC, l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem)"""
 
 
 def dedup_near(spark, d):
@@ -190,7 +190,7 @@ def dedup_near(spark, d):
     return dedup.resolve_near(
         table(spark, d, "lineitem"),
         LINE_KEY,
-        position=["l_partkey", "l_suppkey"],
+        position=LINE_ID[2:],
         valid=F.col("l_tax") < 0.05,
         prefer="revised_wins",
         revised=F.col("l_returnflag") == "R",
@@ -448,7 +448,7 @@ QUERIES = {
     "data_tests": (data_tests, _data_tests_sql()),
     "star_enrich": (
         star_enrich,
-        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, p_brand, p_type,
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, p_brand, p_type,
           s_name, n_name, r_name FROM lineitem
           LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation ON n_nationkey = s_nationkey
           LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN part ON p_partkey = l_partkey""",
@@ -463,12 +463,12 @@ QUERIES = {
     "dedup_near": (
         dedup_near,
         """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-          ORDER BY l_tax < 0.05 DESC, l_returnflag = 'R' DESC, l_partkey, l_suppkey) = 1""",
+          ORDER BY l_tax < 0.05 DESC, l_returnflag = 'R' DESC, l_partkey, l_suppkey, l_extendedprice) = 1""",
     ),
     "dup_conflicts": (dup_conflicts, _conflicts_sql()),
     "coerce_numbers": (
         coerce_numbers,
-        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
           CASE WHEN l_returnflag IN ('R', 'A') THEN l_quantity END AS quantity,
           CAST(NULL AS DOUBLE) AS price FROM lineitem""",
     ),
@@ -498,7 +498,7 @@ QUERIES = {
     ),
     "range_checks": (
         range_checks,
-        """SELECT * FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, concat_ws(',',
+        """SELECT * FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, concat_ws(',',
           CASE WHEN NOT (l_quantity BETWEEN 3 AND 48) THEN 'range:quantity' END,
           CASE WHEN NOT (l_discount <= l_tax + CAST(0.05 AS DOUBLE)) THEN 'range:discounted' END)
           AS reasons FROM lineitem) WHERE reasons <> ''""",
