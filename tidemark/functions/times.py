@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,8 +34,23 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _shape(layout: str) -> str:
+    """A pattern that texts of the layout match: ``dd-MMM-yyyy`` -> ``\\d{2}-[A-Za-z]{3}-\\d{4}``."""
+    parts = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", layout)
+    return "^" + "".join(
+        re.escape(other)
+        or (r"[A-Za-z]{3}" if letter + more == "MMM" else rf"\d{{{len(letter + more)}}}")
+        for letter, more, other in parts
+    ) + "$"
+
+
 def _parse(c: Column, layouts: tuple[str, ...]) -> list[Column]:
-    return [F.try_to_timestamp(c, F.lit(layout)).cast("timestamp_ntz") for layout in layouts]
+    # Text of another shape is not handed to the parser: a failed parse costs
+    # far more than a failed match.
+    return [
+        F.when(c.rlike(_shape(layout)), F.try_to_timestamp(c, F.lit(layout))).cast("timestamp_ntz")
+        for layout in layouts
+    ]
 
 
 def _iso(c: Column) -> Column:

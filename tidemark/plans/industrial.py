@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from tidemark.operators.coerce import coerce_table, contract_rules
 from tidemark.operators.dedup import keep_best, surplus
 from tidemark.operators.joins import Dimension, enrich, flatten_tag
 from tidemark.operators.rules import is_valid, split_valid, with_reasons
-from tidemark.plans.contracts import CONTRACTS, FK_EDGES, SORTED_BY, Contract
+from tidemark.plans.contracts import CONTRACTS, FK_EDGES, SORTED_BY, TARGET_OF, Contract
 from tidemark.session import write_through
 from tidemark.sinks.layout import cluster_fact
 from tidemark.sinks.tables import reload_table
@@ -31,8 +32,9 @@ class Cleaned:
     duplicates: DataFrame
 
 
-def stage_records(raw: DataFrame) -> DataFrame:
-    """All records of all documents, written once to the shared folder by table.
+def stage_records(raw: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
+    """All records of all documents, or those of some tables, written once to
+    the shared folder by table.
 
     Nothing is shuffled: every task writes a file per table. For large zones
     raise ``spark.sql.files.maxPartitionBytes`` so that those files are large.
@@ -43,7 +45,8 @@ def stage_records(raw: DataFrame) -> DataFrame:
     parsed = parse_tag_document(raw).select(
         F.col("tag_id").alias("_doc_tag"), F.col("ingested_at").alias("_ingested_at"), "doc"
     )
-    records = explode_all(parsed, keep=("_doc_tag", "_ingested_at")).withColumn(
+    keys = {key: t for key, t in TARGET_OF.items() if tables is None or t in tables}
+    records = explode_all(parsed, ("_doc_tag", "_ingested_at"), keys).withColumn(
         "_row", F.monotonically_increasing_id()
     )
     return write_through(records, "records", partition_by=("table",))

@@ -160,12 +160,12 @@ def malformed_documents(spark, d):
     )
 
 
-def _records(spark, d):
-    return industrial.stage_records(tag_documents(spark, d))
+def _records(spark, d, *tables):
+    return industrial.stage_records(tag_documents(spark, d), tables)
 
 
 def _measurements(spark, d):
-    return industrial.clean_table(_records(spark, d), CONTRACTS["measurement"])
+    return industrial.clean_table(_records(spark, d, "measurement"), CONTRACTS["measurement"])
 
 
 def clean_measurement_valid(spark, d):
@@ -187,22 +187,20 @@ def clean_measurement_duplicates(spark, d):
 
 
 def clean_equipment(spark, d):
-    cleaned = industrial.clean_table(_records(spark, d), CONTRACTS["equipment"])
+    cleaned = industrial.clean_table(_records(spark, d, "equipment"), CONTRACTS["equipment"])
     return coerce.project_contract(cleaned.valid, CONTRACTS["equipment"])
 
 
 def clean_tag(spark, d):
-    cleaned = industrial.clean_table(_records(spark, d), CONTRACTS["tag"])
+    cleaned = industrial.clean_table(_records(spark, d, "tag"), CONTRACTS["tag"])
     return coerce.project_contract(cleaned.valid, CONTRACTS["tag"])
 
 
 def _tables(spark, d):
-    records = _records(spark, d)
+    tables = ("equipment", "location", "tag", "measurement")
+    records = _records(spark, d, *tables)
     return industrial.valid_tables(
-        {
-            t: industrial.clean_table(records, CONTRACTS[t])
-            for t in ("equipment", "location", "tag", "measurement")
-        }
+        {t: industrial.clean_table(records, CONTRACTS[t]) for t in tables}
     )
 
 
@@ -218,10 +216,11 @@ def tag_enrich(spark, d):
 
 def table_quality(spark, d):
     """Passed, failed and broken rules of all records of two tables."""
-    records = _records(spark, d)
+    tables = ("measurement", "equipment")
+    records = _records(spark, d, *tables)
     checked = [
         industrial.check_table(records, CONTRACTS[t]).select(F.lit(t).alias("table"), "reasons")
-        for t in ("measurement", "equipment")
+        for t in tables
     ]
     return dq_report(checked[0].unionByName(checked[1]))
 
