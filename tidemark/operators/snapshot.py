@@ -112,36 +112,30 @@ def validity_ranges(
     key: str,
     ts: str,
     tiebreak: Sequence[str] = (),
-    grain: str = "month",
+    grain: str = "day",
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
 ) -> DataFrame:
     """All versions with the time each was followed by the next one of its key.
 
-    The next version is looked for within a span of time first, and then in the
-    first later span that has one. So the rows of a key are spread over its
-    spans, and only one row per span meets the key's other rows.
+    A key's rows are spread over spans of time. Every span gets a mark at its
+    end with the time of the first version after it, so that the next version
+    is found within the span. Only the marks of a key meet each other: one row
+    per span, however many versions it has.
     """
-    span = F.date_trunc(grain, F.col(ts))
-    spanned = versions.withColumn("_span", span)
-    within = Window.partitionBy(key, "_span").orderBy(ts, *tiebreak)
-    ranked = spanned.withColumn("_next", F.lead(ts).over(within)).withColumn(
-        "_last", F.lead(F.lit(True)).over(within).isNull()
+    spanned = versions.select(
+        "*", F.date_trunc(grain, F.col(ts)).alias("_span"), F.lit(False).alias("_mark")
     )
-    firsts = spanned.groupBy(key, "_span").agg(F.min(ts).alias("_first"))
     across = Window.partitionBy(key).orderBy("_span")
-    following = firsts.select(
-        F.col(key).alias("_key"),
-        F.col("_span").alias("_key_span"),
-        F.lead("_first").over(across).alias("_following"),
+    marks = (
+        spanned.groupBy(key, "_span")
+        .agg(F.min(ts).alias(ts))
+        .withColumns({ts: F.lead(ts).over(across), "_mark": F.lit(True)})
     )
-    joined = ranked.join(
-        following,
-        F.col(key).eqNullSafe(F.col("_key")) & F.col("_span").eqNullSafe(F.col("_key_span")),
-        "left",
-    )
-    return joined.select(
-        *versions.columns,
-        F.col(ts).alias(valid_from),
-        F.when(F.col("_last"), F.col("_following")).otherwise(F.col("_next")).alias(valid_to),
+    within = Window.partitionBy(key, "_span").orderBy("_mark", ts, *tiebreak)
+    return (
+        spanned.unionByName(marks, allowMissingColumns=True)
+        .withColumn(valid_to, F.lead(ts).over(within))
+        .filter(~F.col("_mark"))
+        .select(*versions.columns, F.col(ts).alias(valid_from), valid_to)
     )

@@ -36,19 +36,18 @@ def stage_records(raw: DataFrame, tables: Sequence[str] | None = None) -> DataFr
     """All records of all documents, or those of some tables, written once to
     the shared folder by table.
 
-    Nothing is shuffled: every task writes a file per table. For large zones
-    raise ``spark.sql.files.maxPartitionBytes`` so that those files are large.
+    The rows are gathered by table before, in parts of even size, so that every
+    task writes one file and a large table is written by many tasks.
 
-    ``_row`` numbers the rows. It is fixed by the write, so whatever is read
-    back later, after a lost executor too, agrees on it.
+    ``_row`` numbers the rows. It is given by the task that writes them, so
+    whatever is read back later, after a lost executor too, agrees on it.
     """
     parsed = parse_tag_document(raw).select(
         F.col("tag_id").alias("_doc_tag"), F.col("ingested_at").alias("_ingested_at"), "doc"
     )
     keys = {key: t for key, t in TARGET_OF.items() if tables is None or t in tables}
-    records = explode_all(parsed, ("_doc_tag", "_ingested_at"), keys).withColumn(
-        "_row", F.monotonically_increasing_id()
-    )
+    records = explode_all(parsed, ("_doc_tag", "_ingested_at"), keys).hint("rebalance", "table")
+    records = records.withColumn("_row", F.monotonically_increasing_id())
     return write_through(records, "records", partition_by=("table",))
 
 

@@ -6,12 +6,12 @@ written or counted, so the models of one report become one Spark plan.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.checks import run_tests
+from tidemark.operators.checks import DataTest, run_tests
 from tidemark.operators.incremental import delete_insert, merge_upsert
 from tidemark.operators.snapshot import snapshot
 from tidemark.plans import learning
@@ -68,11 +68,13 @@ def materialize_layers(
     database: str,
     root: str,
     lookback: str | None = None,
+    grain: str = "day",
 ) -> None:
     """The same run on catalog tables: staging views, history, dimensions and
     reports rebuilt, events and enrollments merged into their date partitions.
 
-    Facts carry their date as one more column, which they are partitioned by.
+    Facts carry the first day of their ``grain`` of time, such as their month,
+    as one more column, which they are partitioned by.
     """
 
     def existing(table: str) -> DataFrame | None:
@@ -84,7 +86,7 @@ def materialize_layers(
 
     def merge(df: DataFrame, table: str, key: str, ts: str, date: str, strategy: str) -> DataFrame:
         incremental_table(
-            df.withColumn(date, F.to_date(ts)),
+            df.withColumn(date, F.date_trunc(grain, F.col(ts)).cast("date")),
             f"{database}.{table}",
             key,
             ts,
@@ -136,9 +138,11 @@ def run_reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def check_layers(tables: Mapping[str, DataFrame]) -> DataFrame:
+def check_layers(
+    tables: Mapping[str, DataFrame], suite: Sequence[DataTest] = learning.TESTS
+) -> DataFrame:
     """The declared tests whose tables are there."""
-    suite = [
-        t for t in learning.TESTS if t.table in tables and (t.parent is None or t.parent in tables)
-    ]
-    return run_tests(tables, suite)
+    return run_tests(
+        tables,
+        [t for t in suite if t.table in tables and (t.parent is None or t.parent in tables)],
+    )

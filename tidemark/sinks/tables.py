@@ -7,6 +7,7 @@ fails or is run again leaves the old content readable until that moment.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -20,6 +21,9 @@ from tidemark.session import write_through
 # Fixed value: what a partition without a value is called.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
+_PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
+_PARTITIONS_AT_ONCE = 500
+
 _MERGES = {"merge": merge_upsert, "delete+insert": delete_insert}
 
 
@@ -90,8 +94,7 @@ def build_table(
     """Rebuild a table from scratch: write the new content, then point the table at it."""
     spark = df.sparkSession
     folder = _new_folder(root or table_root(spark, name))
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(folder)
+    _write(df, folder, partition_by)
     columns = [(f.name, f.dataType) for f in df.schema]
     same = spark.catalog.tableExists(name) and columns == [
         (f.name, f.dataType) for f in spark.table(name).schema
@@ -209,6 +212,15 @@ def _new_folder(root: str) -> str:
     return f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
 
 
+def _write(df: DataFrame, folder: str, partition_by: str | None) -> None:
+    if partition_by is None:
+        df.write.parquet(folder)
+        return
+    # Gathered by partition, in parts of even size: without this every task
+    # would write a file to every partition.
+    df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(folder)
+
+
 def _add_columns(spark: SparkSession, name: str, df: DataFrame) -> None:
     have = set(spark.table(name).columns)
     new = [f for f in df.schema if f.name not in have]
@@ -241,16 +253,25 @@ def _swap_partitions(
     """
     spark = df.sparkSession
     folder = _new_folder(root or table_root(spark, name))
-    df.write.partitionBy(partition_by).parquet(folder)
+    _write(df, folder, partition_by)
     written = spark.read.schema(df.schema).parquet(folder).select(partition_by).distinct()
-    now = [r[0] for r in written.collect()]
-    if None in now:
-        raise ValueError(f"rows of {name} have no {partition_by} to replace")
-    for value in now:
-        spec = f"PARTITION (`{partition_by}` = '{value}')"
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec}")
-        spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{folder}/{partition_by}={value}'")
-    for value in touched or ():
-        if value not in now:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition_by}` = '{value}')")
+    now = [None if r[0] is None else str(r[0]) for r in written.collect()]
+    if not all(v and _PLAIN_VALUE.match(v) for v in now):
+        raise ValueError(f"{name} has values of {partition_by} that cannot name a partition")
+    there = {r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    # New partitions are added many at a time; changing one is a step of its own.
+    new = [v for v in now if v not in there]
+    for i in range(0, len(new), _PARTITIONS_AT_ONCE):
+        added = " ".join(
+            f"PARTITION (`{partition_by}` = '{v}') LOCATION '{folder}/{partition_by}={v}'"
+            for v in new[i : i + _PARTITIONS_AT_ONCE]
+        )
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+    for v in now:
+        if v in there:
+            spec = f"PARTITION (`{partition_by}` = '{v}')"
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{folder}/{partition_by}={v}'")
+    for v in map(str, touched or ()):
+        if v in there and v not in now:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition_by}` = '{v}')")
     spark.sql(f"REFRESH TABLE {name}")

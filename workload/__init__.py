@@ -1,6 +1,6 @@
 """Queries over the star-schema tables, one per operator, with their SQL counterparts."""
 
-from workload import documents, incremental, learning, loading, quality, streams
+from workload import documents, incremental, layers, learning, loading, quality, streams
 
 ALL = {
     **learning.QUERIES,
@@ -9,4 +9,5 @@ ALL = {
     **documents.QUERIES,
     **loading.QUERIES,
     **streams.QUERIES,
+    **layers.QUERIES,
 }
