@@ -14,7 +14,7 @@ from tidemark.operators.dedup import keep_best, surplus
 from tidemark.operators.joins import Dimension, enrich, flatten_tag
 from tidemark.operators.rules import is_valid, split_valid, with_reasons
 from tidemark.plans.contracts import CONTRACTS, FK_EDGES, SORTED_BY, TARGET_OF, Contract
-from tidemark.session import write_through
+from tidemark.session import in_parallel, write_through
 from tidemark.sinks.layout import cluster_fact
 from tidemark.sinks.tables import reload_table
 from tidemark.sources.documents import explode_all, malformed, parse_tag_document
@@ -82,9 +82,8 @@ def clean_table(records: DataFrame, contract: Contract, stage: bool = False) ->
 def clean_documents(raw: DataFrame) -> dict[str, Cleaned]:
     """Every table of a raw zone, cleaned. The documents are read and parsed once."""
     records = stage_records(raw)
-    return {
-        table: clean_table(records, contract, stage=True) for table, contract in CONTRACTS.items()
-    }
+    cleaned = in_parallel(lambda c: clean_table(records, c, stage=True), CONTRACTS.values())
+    return dict(zip(CONTRACTS, cleaned))
 
 
 def save_cleaned(cleaned: dict[str, Cleaned], out: str) -> None:
@@ -92,7 +91,9 @@ def save_cleaned(cleaned: dict[str, Cleaned], out: str) -> None:
 
     Valid facts are laid out by tag and time, the way they will be read.
     """
-    for table, result in cleaned.items():
+
+    def save(table: str) -> None:
+        result = cleaned[table]
         valid = result.valid.select(*CONTRACTS[table].names)
         if table in SORTED_BY:
             valid = cluster_fact(valid, "tag_id", SORTED_BY[table])
@@ -100,18 +101,21 @@ def save_cleaned(cleaned: dict[str, Cleaned], out: str) -> None:
         result.bad.write.parquet(f"{out}/bad/{table}")
         result.duplicates.write.parquet(f"{out}/duplicates/{table}")
 
+    in_parallel(save, cleaned)
+
 
 def load_validated(
     spark: SparkSession, out: str, database: str = "staging", root: str | None = None
 ) -> list[str]:
     """Empty and reload all thirteen warehouse tables from the validated files."""
-    names = []
-    for table, contract in CONTRACTS.items():
+
+    def load(table: str) -> str:
         name = f"{database}.{table}"
-        valid = spark.read.schema(contract.schema).parquet(f"{out}/valid/{table}")
+        valid = spark.read.schema(CONTRACTS[table].schema).parquet(f"{out}/valid/{table}")
         reload_table(valid, name, f"{root.rstrip('/')}/{table}" if root else None)
-        names.append(name)
-    return names
+        return name
+
+    return in_parallel(load, CONTRACTS)
 
 
 def unreadable(raw: DataFrame) -> DataFrame:

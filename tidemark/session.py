@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +65,13 @@ def write_through(df: DataFrame, label: str, partition_by: tuple[str, ...] = ())
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(job: Callable[[Any], Any], items: Iterable, at_once: int = 4) -> list:
+    """Run independent Spark jobs from a few driver threads, results in order.
+
+    The last tasks of one table's job then leave no executors idle while the
+    next table waits.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(job, items))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,18 +97,12 @@ def read_json(
     jsonpaths: list[str] | None = None,
 ) -> DataFrame:
     """Top-level keys bind by name, or a list of paths binds to the columns by position."""
-    paths = jsonpaths or spec.jsonpaths
-    if isinstance(paths, str):
-        document = spark.read.text(paths, wholetext=True).head()[0]
-        paths = json.loads(document)["jsonpaths"]
     if spec.schema is None:
         return spark.read.json(path)
     names = spec.schema.fieldNames()
-    lines = spark.read.text(path)
+    paths = jsonpaths or spec.jsonpaths
     if paths:
-        if len(paths) != len(names):
-            raise ValueError(f"{len(paths)} paths for {len(names)} columns of {spec.name!r}")
-        raw = lines.select(*[F.get_json_object("value", p).alias(n) for n, p in zip(names, paths)])
+        raw = spark.read.text(path).select(*path_columns(spark, spec, paths))
         return apply_load_options(raw, spec, strict)
     if [f.dataType for f in spec.schema] == [T.VariantType()]:
         return read_variant(spark, path, names[0])
@@ -122,6 +116,23 @@ def read_json(
     return apply_load_options(spark.read.schema(text).json(path), spec, strict)
 
 
+def path_columns(
+    spark: SparkSession, spec: DatasetSpec, paths: str | Sequence[str] | None = None
+) -> list[Column]:
+    """The declared columns as paths into the line ``value``, bound by position.
+
+    ``paths`` is a list, or the location of a document that holds one.
+    """
+    paths = paths or spec.jsonpaths
+    if isinstance(paths, str):
+        document = spark.read.text(paths, wholetext=True).head()[0]
+        paths = json.loads(document)["jsonpaths"]
+    names = spec.schema.fieldNames()
+    if len(paths) != len(names):
+        raise ValueError(f"{len(paths)} paths for {len(names)} columns of {spec.name!r}")
+    return [F.get_json_object("value", p).alias(n) for n, p in zip(names, paths)]
+
+
 def read_parquet(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
     """Columns bind by the file's own schema, so filters and pruning reach the scan."""
     return spark.read.parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.files import apply_load_options, variant_payload
+from tidemark.sources.files import apply_load_options, path_columns, variant_payload
 from tidemark.sources.registry import DatasetSpec
 
 _DATE = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
@@ -37,13 +37,7 @@ def stream_dated(
         name = schema.fieldNames()[0]
         return reader.text(path).select(variant_payload("value", name).alias(name), dated)
     if spec.format == "json" and spec.jsonpaths:
-        raw = reader.text(path).select(
-            *[
-                F.get_json_object("value", p).alias(f.name)
-                for p, f in zip(spec.jsonpaths, schema)
-            ],
-            dated,
-        )
+        raw = reader.text(path).select(*path_columns(spark, spec), dated)
     else:
         text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
         reader = reader.schema(text)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import keep_best
@@ -21,9 +22,13 @@ def merge_batch(
 ) -> None:
     """Merge one micro-batch: the best row of each key, by the order ``latest``.
 
-    A batch that is replayed after a failure merges to the same table.
+    A batch that is replayed after a failure merges to the same table. Rows
+    without a key match nothing and would be added again; filter them out
+    of the stream if it can be replayed.
     """
-    merge_table(keep_best(batch, key, latest), name, key, partition_by, root=root)
+    numbered = batch.withColumn("_row", F.monotonically_increasing_id())
+    best = keep_best(numbered, key, latest, row_id="_row").drop("_row")
+    merge_table(best, name, key, partition_by, root=root)
 
 
 def stream_merge(
