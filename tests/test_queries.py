@@ -15,14 +15,9 @@ def con():
     return duck(FOLDER)
 
 
-# Windows in which one kind of event occurs twice are too rare in 1,000 events.
-MAY_BE_EMPTY = {"incremental_filter", "unexpected_columns"}
-
-
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_agrees_with_sql(spark, con, name):
-    verdict = compare(spark, con, queries()[name], oracle_sql()[name], FOLDER)
-    assert verdict is None or (verdict == "both are empty" and name in MAY_BE_EMPTY)
+    assert compare(spark, con, queries()[name], oracle_sql()[name], FOLDER) is None
 
 
 def test_every_query_has_sql():
