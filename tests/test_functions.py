@@ -6,7 +6,6 @@ import hashlib
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tidemark.functions import (
     auto_timestamp,

@@ -235,7 +235,7 @@ def coerce_numbers(spark, d):
         .otherwise("null")
     )
     text = F.concat(F.lit('{"Quantity": '), quantity, F.lit("}"))
-    v = table(spark, d, "lineitem").select(*LINE_ID, F.parse_json(text).alias("v"))
+    v = inputs.spread(table(spark, d, "lineitem")).select(*LINE_ID, F.parse_json(text).alias("v"))
     return v.select(
         *LINE_ID,
         coerce_number("v", "$.Quantity").alias("quantity"),
