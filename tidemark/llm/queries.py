@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, packing, url_rules, warc
+from tidemark.llm import chat, decontaminate, group_matrix, mixing, packing, quality, url_rules, warc
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -152,10 +152,28 @@ def op7_mixing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, d: str) -> DataFrame:
+    """A quality score for every document, learned from the labels that are not held out."""
+    return quality.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op9_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    """Components of documents with a Jaccard similarity of 0.85 of their 4-word shingles."""
+    return group_matrix.similar_documents(table(spark, d, "documents"), 4, 85)
+
+
+def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Benchmark items in documents, up to a fifth of their words edited."""
+    return decontaminate.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {
     "op1_chat_formatting": (op1_chat_formatting, None),
     "op2_warc_revisits": (op2_warc_revisits, None),
     "op3_url_filters": (op3_url_filters, OP3_SQL),
     "op6_sharding": (op6_sharding, None),
     "op7_mixing": (op7_mixing, None),
+    "op8_quality": (op8_quality, None),
+    "op9_ngram_jaccard": (op9_ngram_jaccard, None),
+    "op10_decontamination": (op10_decontamination, None),
 }
