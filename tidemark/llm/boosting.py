@@ -61,6 +61,7 @@ def fit(
         cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(width)]
         coded = np.stack([np.searchsorted(cuts[f], x[:, f], side="left") for f in range(width)], axis=1)
         span = max(len(c) for c in cuts) + 1
+        useful = [f for f in range(width) if coded[:, f].any()]
         score = np.full(n, base)
         for _ in range(trees):
             p = 1 / (1 + np.exp(-score))
@@ -71,7 +72,7 @@ def fit(
                 first, count = 2**level - 1, 2**level
                 local = node - first
                 best = np.full(count, 1e-6)
-                for f in range(width):
+                for f in useful:
                     slot = local * span + coded[:, f]
                     g = np.bincount(slot, grad, count * span).reshape(count, span)
                     h = np.bincount(slot, hess, count * span).reshape(count, span)

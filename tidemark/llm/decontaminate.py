@@ -233,6 +233,17 @@ def least_edits(items: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return row.min(axis=1)
 
 
+def _indexes(docs: DataFrame, benchmark: DataFrame, similarity: float, target: float, text: str, item: str) -> Iterator:
+    """Broadcast indexes of the benchmark, ``ITEMS_AT_ONCE`` items each, with the items' ids."""
+    items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
+    blocks = max(1, -(-items.count() // ITEMS_AT_ONCE))
+    for block in range(blocks):
+        held = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").toPandas()
+        w = words.tokenize(pa.array(held["text"], pa.string()))
+        index = Index([w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:])], similarity, target)
+        yield docs.sparkSession.sparkContext.broadcast((index, pa.array(held["item"])))
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -257,16 +268,8 @@ def find_contamination(
     """
     ids = dict(docs.dtypes)[id], dict(benchmark.dtypes)[item]
     slim = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
-    blocks = max(1, -(-items.count() // ITEMS_AT_ONCE))
     found = None
-    for block in range(blocks):
-        held = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").toPandas()
-        w = words.tokenize(pa.array(held["text"], pa.string()))
-        coded = [w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
-        index = Index(coded, similarity, target)
-        names = pa.array(held["item"])
-        shared = docs.sparkSession.sparkContext.broadcast((index, names))
+    for shared in _indexes(docs, benchmark, similarity, target, text, item):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
@@ -288,3 +291,21 @@ def find_contamination(
         part = slim.mapInArrow(run, f"id {ids[0]}, item {ids[1]}, n_words long, edits long, start long")
         found = part if found is None else found.unionByName(part)
     return found.withColumnsRenamed({"id": id, "item": item})
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, target: float = 0.99, text: str = "text", item: str = "item_id"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that contain no benchmark item; see ``find_contamination``."""
+    for shared in _indexes(docs, benchmark, similarity, target, text, item):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value[0]
+            for batch in batches:
+                for part in words.slices(batch, text):
+                    clean = np.ones(len(part), dtype=bool)
+                    clean[index.matches(words.tokenize(part.column(text)))[0]] = False
+                    yield part.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

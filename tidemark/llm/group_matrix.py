@@ -326,3 +326,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     for frame in frames[1:]:
         out = out.unionByName(frame)
     return out
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their component: those with its smallest id.
+
+    Rows without an id are kept; rows that repeat an id are one document and stay together.
+    """
+    found = similar_documents(docs, n, percent, text, id)
+    spare = found.filter(F.col(id) != F.col("component_id")).select(id).distinct()
+    return docs.join(spare, id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

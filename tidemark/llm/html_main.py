@@ -25,7 +25,7 @@ def _words(rng: np.random.Generator, pool: list[str], least: int, most: int) ->
     return " ".join(pool[i] for i in rng.integers(len(pool), size=rng.integers(least, most + 1)))
 
 
-def _named(rng: np.random.Generator, *choices: str) -> str:
+def _named(rng: np.random.Generator, *choices):
     return choices[rng.integers(len(choices))]
 
 
@@ -160,17 +160,17 @@ def fit_layouts(pages: list[str], layouts: int = 3, seed: int = 5, **options) ->
     made: list[Page] = []
     labels: list[bool] = []
     for ts in texts:
-        long = [t for t in ts if len(t) > 40] or [_words(rng, pool, 10, 60)]
         for _ in range(layouts):
-            take = rng.permutation(len(long))[: rng.integers(1, 12)]
-            html, marks = layout(_words(rng, pool, 3, 12), [long[i] for i in np.sort(take)], pool, rng)
+            take = np.sort(rng.permutation(len(ts))[: _named(rng, 1, 2, 4, 8, 16)])
+            chosen = [ts[i] for i in take] or [_words(rng, pool, 1, 60)]
+            html, marks = layout(_words(rng, pool, 1, 12), chosen, pool, rng)
             page = parse(html)
             if len(page.code) != len(marks):
                 raise ValueError("a layout was not read as it was written")
             made.append(page)
             labels += marks
     x = Nodes(made).features() if made else np.zeros((0, Nodes([Page()]).features().shape[1]))
-    return boosting.fit(x, np.array(labels, dtype=float), **{"trees": 40, "depth": 5, "least_weight": 1.0, **options})
+    return boosting.fit(x, np.array(labels, dtype=float), **{"trees": 40, "depth": 5, "rate": 0.3, "bins": 32, "least_weight": 0.5, **options})
 
 
 def main_blocks(html: list[str], trees: boosting.Trees) -> list[list[str]]:

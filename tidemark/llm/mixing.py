@@ -182,6 +182,7 @@ def mix_sources(
     text: str = "text",
     id: str = "doc_id",
     source: str = "source",
+    row: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: the documents with their targets, and the draws that make up the mix.
 
@@ -195,12 +196,13 @@ def mix_sources(
     A null source is one source, last in order. Documents without words are never
     drawn. Rows that repeat are documents of their own. Ids may be null; they take
     part only in the random order, so a rerun draws the same. Columns with other names
-    are ignored. An empty table gives two empty tables.
+    are ignored. An empty table gives two empty tables. ``row`` may name a number that
+    tells the rows of ``docs`` apart; else they are numbered here.
     """
     words = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD)).cast("long")
     base = write_through(
         docs.select(
-            F.monotonically_increasing_id().alias("row"),
+            (F.monotonically_increasing_id() if row is None else row).alias("row"),
             F.col(f"`{id}`").alias("id"),
             F.col(f"`{source}`").alias("source"),
             words.alias("size"),
@@ -281,3 +283,34 @@ def mix_sources(
         )
     )
     return known.select("row", "id", "source", "size", "source_size", "target"), draws
+
+
+def mixed_documents(docs: DataFrame, block_words: int = 256, text: str = "text", **options) -> DataFrame:
+    """The mix as documents: a row of ``docs``, all columns, for each round that draws from it.
+
+    A text that is drawn whole is left as it is; of one that is drawn in part the words
+    of the drawn blocks remain, single spaces between. ``n_chars`` follows the text.
+    """
+    held = write_through(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-texts")
+    known, draws = mix_sources(held, block_words=block_words, text=text, row=F.col("_row"), **options)
+    rounds = (
+        draws.groupBy("row", "round")
+        .agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("block", "words"))).alias("blocks"))
+        .join(known.select("row", "size"), "row")
+        .select(F.col("row").alias("_row"), F.when(F.col("words") < F.col("size"), F.col("blocks")).alias("_blocks"))
+    )
+    pieces = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    part = F.array_join(
+        F.flatten(
+            F.transform("_blocks", lambda b: F.slice("_words", b["block"] * block_words + 1, b["words"].cast("int")))
+        ),
+        " ",
+    )
+    out = (
+        held.join(rounds, "_row")
+        .withColumn("_words", F.when(F.col("_blocks").isNotNull(), pieces))
+        .withColumn(text, F.when(F.col("_blocks").isNull(), F.col(text)).otherwise(part))
+    )
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length(text).cast(dict(docs.dtypes)["n_chars"]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -165,3 +165,16 @@ def score_documents(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches ``threshold``; see ``score_documents``."""
+    trees = fit_quality(write_through(document_statistics(docs, text, id), "statistics"), labels, **options)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch, text):
+                x = statistics(part.column(text)).astype(np.float64)
+                yield part.filter(pa.array(trees.predict(x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

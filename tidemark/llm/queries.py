@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, group_matrix, mixing, neardup, packing, quality, url_rules, warc
+from tidemark.llm import chat, decontaminate, group_matrix, html_main, mixing, neardup, packing, quality, url_rules, warc
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -134,6 +134,11 @@ FROM u LEFT JOIN (SELECT * FROM m WHERE n = 1) USING (k)
 """.replace("{rows}", ", ".join(str(r) for r in RULES))
 
 
+def op4_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    """The main text of every page."""
+    return html_main.extract_main_text(table(spark, d, "pages"))
+
+
 def op5_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Links and components of vectors with one label and a cosine of 0.98."""
     return neardup.near_duplicates(table(spark, d, "embeddings"))
@@ -176,6 +181,7 @@ QUERIES = {
     "op1_chat_formatting": (op1_chat_formatting, None),
     "op2_warc_revisits": (op2_warc_revisits, None),
     "op3_url_filters": (op3_url_filters, OP3_SQL),
+    "op4_html_extraction": (op4_html_extraction, None),
     "op5_embedding_near_dedup": (op5_embedding_near_dedup, None),
     "op6_sharding": (op6_sharding, None),
     "op7_mixing": (op7_mixing, None),
