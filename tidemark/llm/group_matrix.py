@@ -30,6 +30,10 @@ from tidemark.session import write_through
 
 #: Classes in a group, queries that meet it in one task.
 GROUP, QUERIES = 128, 256
+#: Percent of a prefix that a class shares with the head of its family.
+FAMILY = 25
+#: Bits of the filter that says which texts to read again.
+SLOTS = 1 << 22
 #: Prefix tokens in more rows than this go last in the order, at most so many of them;
 #: the order is a matter of speed, any gives the same links.
 FREQUENT, MOST_FREQUENT = 20, 200_000
@@ -37,23 +41,25 @@ FREQUENT, MOST_FREQUENT = 20, 200_000
 
 def prefix_size(n, percent: int):
     """Tokens of a set of ``n`` of which one at least is shared with any partner's prefix."""
-    return n - (n * percent + 99) // 100 + 1
+    need = n * percent + 99
+    return n - (F.floor(need / 100) if isinstance(n, Column) else need // 100) + 1
 
 
 class Order:
-    """The order of tokens: frequent ones last, else by hash."""
+    """The order of tokens: those with a frequent upper half last, else by hash."""
 
     def __init__(self, frequent: np.ndarray) -> None:
         self.frequent = np.sort(frequent)
         self.maybe = np.zeros(1 << 22, dtype=bool)
-        self.maybe[(self.frequent >> np.uint64(42)).astype(np.int64)] = True
+        self.maybe[self.frequent >> 10] = True
 
     def late(self, tokens: np.ndarray) -> np.ndarray:
         out = self.maybe[(tokens >> np.uint64(42)).astype(np.int64)]
         some = np.flatnonzero(out)
         if len(some):
-            place = np.minimum(np.searchsorted(self.frequent, tokens[some]), len(self.frequent) - 1)
-            out[some] = self.frequent[place] == tokens[some]
+            upper = (tokens[some] >> np.uint64(32)).astype(np.uint32)
+            place = np.minimum(np.searchsorted(self.frequent, upper), len(self.frequent) - 1)
+            out[some] = self.frequent[place] == upper
         return out
 
 
@@ -69,7 +75,7 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Record
 
 
 def _frequent(slim: DataFrame, n: int, percent: int) -> np.ndarray:
-    """Tokens in the prefixes, by hash alone, of more than ``FREQUENT`` rows: at most ``MOST_FREQUENT``."""
+    """Upper halves of tokens in the prefixes, by hash alone, of more than ``FREQUENT`` rows: at most ``MOST_FREQUENT``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, tokens, first in _sets(batches, n):
@@ -77,11 +83,12 @@ def _frequent(slim: DataFrame, n: int, percent: int) -> np.ndarray:
             take = np.minimum(prefix_size(size, percent) * 5 // 4 + 4, size)
             rows = np.repeat(np.arange(len(size)), take)
             place = np.arange(len(rows)) - np.repeat(np.cumsum(take) - take, take)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[first[rows] + place].view(np.int64))], ["t"])
+            upper = (tokens[first[rows] + place] >> np.uint64(32)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array(upper.view(np.int32))], ["t"])
 
-    counts = slim.select("text").mapInArrow(run, "t long").groupBy("t").agg(F.count("*").alias("k"))
+    counts = slim.select("text").mapInArrow(run, "t int").groupBy("t").agg(F.count("*").alias("k"))
     top = counts.filter(F.col("k") > FREQUENT).orderBy(F.desc("k"), "t").limit(MOST_FREQUENT)
-    return top.select("t").toPandas()["t"].to_numpy(dtype=np.int64).view(np.uint64)
+    return top.select("t").toPandas()["t"].to_numpy(dtype=np.int32).view(np.uint32)
 
 
 def _signatures(slim: DataFrame, n: int, percent: int, order: Order) -> DataFrame:
@@ -126,26 +133,51 @@ def _signatures(slim: DataFrame, n: int, percent: int, order: Order) -> DataFram
 
 
 def _class_sets(slim: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(cls, n, tokens) for the classes in ``wanted`` (cls, rep), read from the texts of their rows ``rep``."""
+    """(id, cls, tokens) for the rows in ``wanted`` (cls, rep), and some others, read from their texts.
+
+    Texts do not move: a bitmap of ``SLOTS`` bits of the wanted ids' hashes, the same
+    size for any input, says which rows are worth reading.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
+    marked = np.zeros(SLOTS, dtype=bool)
+    marked[wanted.select(slot("rep").alias("slot")).distinct().toPandas()["slot"].to_numpy(dtype=np.int64)] = True
+    shared = slim.sparkSession.sparkContext.broadcast(np.packbits(marked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, first in _sets(batches, n):
-            rows = [tokens[a:b] for a, b in zip(first[:-1], first[1:]) if b > a]
+        marked = np.unpackbits(shared.value).astype(bool)
+
+        def kept() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(marked[batch.column("slot").to_numpy()]))
+
+        for part, tokens, first in _sets(kept(), n):
+            full = np.flatnonzero(np.diff(first))
+            rows = [tokens[first[i] : first[i + 1]] for i in full]
             yield pa.RecordBatch.from_arrays(
                 [
+                    part.column("id").take(pa.array(full)),
                     pa.array([_digest(r) for r in rows], pa.int64()),
-                    pa.array([len(r) for r in rows], pa.int64()),
-                    pa.array([r.tobytes() for r in rows], pa.binary()),
+                    pa.array([_pack(r) for r in rows], pa.binary()),
                 ],
-                ["cls", "n", "tokens"],
+                ["id", "cls", "tokens"],
             )
 
-    texts = slim.join(wanted.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("text")
-    sets = texts.mapInArrow(run, "cls long, n long, tokens binary").join(wanted.select("cls").distinct(), "cls", "left_semi")
-    return write_through(sets.groupBy("cls").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "sets")
+    kind = dict(slim.dtypes)["id"]
+    return slim.select("id", "text", slot("id").alias("slot")).mapInArrow(run, f"id {kind}, cls long, tokens binary")
+
+
+def _pack(tokens: np.ndarray) -> bytes:
+    """Sorted tokens as their upper 48 bits each."""
+    return np.ascontiguousarray(tokens.view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 8), dtype=np.uint8)
+    out[:, 2:] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
 
 
-def _open(candidates: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _open(slim: DataFrame, classes: DataFrame, candidates: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) between queries and members of the groups that they may match.
 
     ``candidates`` (cls, comp, gid), ``members`` (gid, cls, comp). A query's overlap with
@@ -159,11 +191,16 @@ def _open(candidates: DataFrame, members: DataFrame, sets: DataFrame, percent: i
         members.join(chunks, "gid")
         .select("gid", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "cls", "comp", F.lit(False).alias("query"))
     )
-    rows = asked.select("gid", F.col("chunk").cast("int"), "cls", "comp", "query").unionByName(held).join(sets, "cls")
+    rows = asked.select("gid", F.col("chunk").cast("int"), "cls", "comp", "query").unionByName(held)
+    wanted = classes.join(candidates.select("cls").unionByName(members.select("cls")).distinct(), "cls").select("cls", "rep")
+    wanted = write_through(wanted, "wanted")
+    sets = _class_sets(slim, wanted, n).withColumnRenamed("id", "rep")
+    rows = rows.join(wanted, "cls").join(sets, ["cls", "rep"]).select("gid", "chunk", "cls", "comp", "query", "tokens")
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates(["query", "cls"])
         queries, group = rows[rows["query"]], rows[~rows["query"]].sort_values("cls")
-        sets = [np.frombuffer(t, dtype=np.uint64) for t in group["tokens"]]
+        sets = [_unpack(t) for t in group["tokens"]]
         if not sets or not len(queries):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         sizes = np.array([len(s) for s in sets])
@@ -174,7 +211,7 @@ def _open(candidates: DataFrame, members: DataFrame, sets: DataFrame, percent: i
         cls, comp = group["cls"].to_numpy(), group["comp"].to_numpy()
         out = []
         for q, own, t in zip(queries["cls"], queries["comp"], queries["tokens"]):
-            query = np.frombuffer(t, dtype=np.uint64)
+            query = _unpack(t)
             lo, hi = np.searchsorted(tokens, query), np.searchsorted(tokens, query, side="right")
             if 100 * np.count_nonzero(hi > lo) < percent * len(query):
                 continue
@@ -189,18 +226,21 @@ def _open(candidates: DataFrame, members: DataFrame, sets: DataFrame, percent: i
     return rows.groupBy("gid", "chunk").applyInPandas(compare, "a long, b long")
 
 
-def _bound(shared: Column, n: Column, least: Column, most: Column, percent: int) -> Column:
-    """Whether a set of ``n`` tokens may match one of ``least`` to ``most``, if ``shared`` prefix tokens at most are common.
+def _may_match(percent: int) -> Column:
+    """Whether a query of ``n`` tokens may match a member of a group, by what their prefixes share.
 
-    The overlap is at most the tokens common to both prefixes and what follows the
-    prefix of one of the two; it must be at least t / (1 + t) of both sizes together.
+    The group's sizes go from ``least`` to ``most``; ``k`` of the query's prefix tokens are
+    in the union of the prefixes. Of one pair, what both hold beyond the common prefix
+    tokens comes after the prefix that ends first. For a group of one member (``alone``)
+    it even comes after the last common token, at ``place`` and ``g_place`` of the two.
     """
+    n, k = F.col("n"), F.col("k")
+    low = F.greatest(F.col("least"), F.ceil(n * percent / 100))
+    high = F.least(F.col("most"), F.floor(n * 100 / percent))
     rest = lambda size: F.floor((size * percent + 99) / 100) - 1
-    return (
-        ((shared + F.greatest(rest(n), rest(most))) * (100 + percent) >= percent * (n + least))
-        & (most * 100 >= n * percent)
-        & (least * percent <= n * 100)
-    )
+    after = F.least(n - F.col("place"), F.col("most") - F.col("g_place")) - 1
+    overlap = k + F.when(F.col("alone"), after).otherwise(F.greatest(rest(n), rest(high)))
+    return (low <= high) & (overlap * (100 + percent) >= percent * (n + low)) & (overlap * 100 >= percent * F.greatest(n, low))
 
 
 def similar_documents(
@@ -215,44 +255,37 @@ def similar_documents(
     without an id, whose component is null. Rows with equal sets are linked, repeated
     rows too. Columns of other names are ignored. An empty table gives no rows.
 
-    Tokens and sets are compared by 64-bit hashes of n-grams, classes by a 64-bit
-    digest. No link is lost: candidates come from exact bounds.
+    Tokens are 64-bit hashes of n-grams, compared by 48 bits where two sets meet; classes
+    are known by a 64-bit digest. No link is lost: candidates come from exact bounds.
     """
     slim = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     order = Order(_frequent(slim, n, percent))
     signed = write_through(_signatures(slim, n, percent, order), "signatures")
+    known = signed.filter("cls IS NOT NULL AND id IS NOT NULL")
     classes = write_through(
-        signed.filter("cls IS NOT NULL AND id IS NOT NULL")
-        .groupBy("cls")
-        .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("central").alias("central"), F.first("prefix").alias("prefix")),
-        "classes",
+        known.groupBy("cls").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes"
     )
-    tokens = classes.select("cls", "n", "central", F.explode("prefix").alias("t"))
+    tokens = known.select("cls", "n", "central", F.posexplode("prefix").alias("place", "t"))
     heads = tokens.groupBy("t").agg(
-        F.count("*").alias("k"), F.max(F.struct("central", "cls", "n")).alias("head")
+        F.min("cls").alias("a"), F.max("cls").alias("b"), F.max_by("cls", "central").alias("head"), F.max_by("n", "central").alias("head_n")
     )
-    heads = heads.filter("k > 1").select("t", F.col("head.cls").alias("head"), F.col("head.n").alias("head_n"))
-    shared = write_through(tokens.drop("central").join(heads, "t"), "shared-tokens")
+    heads = heads.filter("a <> b").drop("a", "b")
+    shared = write_through(tokens.drop("central").join(heads, "t").distinct(), "shared-tokens")
 
     # Stars: each class against the most central class of its tokens.
+    size = prefix_size(F.col("n"), percent)
     stars = (
         shared.filter("cls <> head")
-        .groupBy("cls", "head", "n", "head_n")
+        .filter((F.col("head_n") * 100 >= F.col("n") * percent) & (F.col("head_n") * percent <= F.col("n") * 100))
+        .groupBy("cls", "head", "n")
         .agg(F.count("*").alias("k"))
+        .filter(F.col("k") * 100 >= FAMILY * size.cast("long"))
     )
-    best = stars.groupBy("cls").agg(F.max(F.struct("k", "head")).alias("b")).select("cls", F.col("b.head").alias("family"))
-    asked = stars.filter(_bound(F.col("k"), F.col("n"), F.col("head_n"), F.col("head_n"), percent)).select(
-        "cls", F.col("cls").alias("comp"), F.col("head").alias("gid")
-    )
+    best = stars.groupBy("cls").agg(F.max_by("head", "k").alias("family"))
+    asked = stars.select("cls", F.col("cls").alias("comp"), F.col("head").alias("gid"))
     asked = write_through(asked, "star-queries")
     heads_only = asked.select("gid").distinct().select("gid", F.col("gid").alias("cls"), F.col("gid").alias("comp"))
-    reps = classes.select("cls", "rep")
-    named = lambda *frames: reps.join(
-        _union([f.select("cls") for f in frames]).distinct(), "cls"
-    )
-    first_links = write_through(
-        _open(asked, heads_only, _class_sets(slim, named(asked, heads_only), n), percent), "star-links"
-    )
+    first_links = write_through(_open(slim, classes, asked, heads_only, n, percent), "star-links")
     comps = write_through(components(first_links).withColumnRenamed("node", "cls"), "star-components")
 
     # Groups: classes of one family, linked to its head or not, in bounded parts.
@@ -276,39 +309,45 @@ def similar_documents(
     )
     grouped = write_through(grouped, "groups")
     rows = write_through(
-        shared.select("t", "cls").join(grouped, "cls").select("t", "cls", "n", "comp", "gid", "one"), "matrix-rows"
+        shared.select("t", "place", "cls").join(grouped, "cls").select("t", "place", "cls", "n", "comp", "gid", "one"),
+        "matrix-rows",
     )
     apart = rows.groupBy("t").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("t")
     rows = rows.join(apart, "t", "left_semi")
     matrix = rows.groupBy("t", "gid", "one").agg(
-        F.min("comp").alias("any"), F.min("n").alias("least"), F.max("n").alias("most")
+        F.count("*").alias("held"), F.max("place").alias("g_place"),
+        F.min("comp").alias("any"), F.min("n").alias("least"), F.max("n").alias("most"),
+    )
+    matrix = matrix.select(
+        "t", F.col("gid").alias("g"), F.col("one").alias("g_one"), "held", "g_place", "any", "least", "most"
     )
-    matrix = matrix.select("t", F.col("gid").alias("g"), F.col("one").alias("g_one"), "any", "least", "most")
     # Each pair of groups meets once: unlinked classes ask linked groups, else the smaller number asks.
     asks = (
         ((~F.col("one")) & F.col("g_one"))
         | ((F.col("one") == F.col("g_one")) & (F.col("gid") < F.col("g")))
-        | ((F.col("gid") == F.col("g")) & ~F.col("one"))
+        | ((F.col("gid") == F.col("g")) & ~F.col("one") & (F.col("held") > 1))
     )
     sized = (F.col("most") * 100 >= F.col("n") * percent) & (F.col("least") * percent <= F.col("n") * 100)
     met = (
         rows.join(matrix, "t")
         .filter(asks & sized & ~(F.col("g_one") & (F.col("any") == F.col("comp"))))
         .groupBy("cls", "n", "comp", "g")
-        .agg(F.count("*").alias("k"))
+        .agg(F.count("*").alias("k"), F.max("place").alias("place"), F.max("g_place").alias("g_place"))
+    )
+    spans = grouped.groupBy(F.col("gid").alias("g")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), (F.count("*") == 1).alias("alone")
     )
-    spans = grouped.groupBy(F.col("gid").alias("g")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
     asked = write_through(
         met.join(spans, "g")
-        .filter(_bound(F.col("k"), F.col("n"), F.col("least"), F.col("most"), percent))
+        .filter(_may_match(percent))
         .select("cls", "comp", F.col("g").alias("gid")),
         "queries",
     )
     members = write_through(
         grouped.join(asked.select("gid").distinct(), "gid", "left_semi").select("gid", "cls", "comp"), "members"
     )
-    links = _open(asked, members, _class_sets(slim, named(asked, members), n), percent)
-    whole = components(_union([first_links, links]))
+    links = _open(slim, classes, asked, members, n, percent)
+    whole = components(first_links.unionByName(links))
     placed = signed.select("id", "n", "cls").join(whole.withColumnRenamed("node", "cls"), "cls", "left").select(
         "id", "n", F.coalesce("component", "cls").alias("root")
     )
@@ -321,13 +360,6 @@ def similar_documents(
     )
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
-
-
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their component: those with its smallest id.
 
