@@ -131,6 +131,53 @@ def test_strict_and_lenient_loads(spark, tmp_path):
     assert [r.created_at for r in lenient.collect()] == [None]
 
 
+@pytest.mark.parametrize(
+    "dataset,content",
+    [
+        ({}, "h,h,h,h\nu1,DE,2024-01-01\n"),
+        ({}, "h,h,h,h\nu1,DE,2024-01-01,1,more\n"),
+        ({"format": "json"}, '{"user_id": "u1"}\n{"user_id": \n'),
+        ({"format": "json", "jsonpaths": ["$.a", "$.b", "$.c", "$.d"]}, '{"a": "u1"}\n{"a"\n'),
+    ],
+)
+def test_lines_that_do_not_fit_stop_a_strict_load(spark, tmp_path, dataset, content):
+    write(tmp_path, "users", "part.txt", content)
+    specs = registry(tmp_path, **dataset)
+    with pytest.raises(PySparkException, match="users: cannot read the line"):
+        files.read_dated(spark, specs, DATE)["users"].collect()
+    with pytest.raises(PySparkException, match="users: cannot read the line"):
+        files.read_dated(spark, specs, DATE)["users"].select("country").count()
+    kept = files.read_dated(spark, specs, DATE, strict=False)["users"].count()
+    assert files.rejected_lines(spark, specs["users"], f"{tmp_path}/raw/users/{DATE}").count() == 1
+    some = registry(tmp_path, **dataset, copy_options=["MAXERROR 1"])
+    assert files.read_dated(spark, some, DATE)["users"].count() == kept
+    with pytest.raises(ValueError, match="more than 0 lines"):
+        files.read_dated(spark, registry(tmp_path, **dataset, copy_options=["MAXERROR AS 0"]), DATE)
+
+
+def test_gzip_goes_by_the_name(spark, tmp_path):
+    write(tmp_path, "users", "part.csv", "h,h,h,h\nu1,DE,2024-01-01,1\n")
+    with pytest.raises(ValueError, match="declared gzip"):
+        files.read_dated(spark, registry(tmp_path, compression="gzip"), DATE)
+
+
+def test_options_must_be_known(tmp_path):
+    for option in ("NOSUCHOPTION", "FILLRECORD"):
+        with pytest.raises(ValueError, match=option):
+            registry(tmp_path, copy_options=[option])
+    with pytest.raises(ValueError, match="bzip9"):
+        registry(tmp_path, compression="bzip9")
+
+
+def test_text_options(spark, tmp_path):
+    folder = tmp_path / "raw" / "users" / DATE
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_bytes(b"h,h,h,h\na\xffb,NUL,2024-01-01,1\n")
+    specs = registry(tmp_path, copy_options=["ACCEPTINVCHARS AS '^'", "NULL AS 'NUL'"])
+    got = files.read_dated(spark, specs, DATE)["users"].first()
+    assert (got.user_id, got.country) == ("a^b", None)
+
+
 def test_json_by_name_and_by_path(spark, tmp_path):
     lines = [
         {"score": "12.5", "user_id": "u1", "created_at": "2024-01-01T00:00:00", "other": 1},
@@ -160,9 +207,11 @@ def test_variant_lines(spark, tmp_path):
     write(tmp_path, "users", "p.json", '{"id": 1}\n{"payload": {"id": 2}}\nnot json\n')
     columns = [{"name": "payload", "type": "super"}]
     specs = registry(tmp_path, format="json", columns=columns)
-    got = files.read_dated(spark, specs, DATE)["users"]
+    got = files.read_dated(spark, specs, DATE, strict=False)["users"]
     ids = got.selectExpr("try_variant_get(payload, '$.id', 'int') id").collect()
-    assert sorted((r.id for r in ids), key=str) == [1, 2, None]
+    assert sorted(r.id for r in ids) == [1, 2]
+    with pytest.raises(PySparkException, match="cannot read the line not json"):
+        files.read_dated(spark, specs, DATE)["users"].collect()
     path = f"{tmp_path}/raw/users/{DATE}"
     assert [r.value for r in files.bad_lines(spark, path).collect()] == ["not json"]
 

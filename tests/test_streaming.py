@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -113,8 +115,10 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     write(tmp_path, "users", "2024-01-01", "a.csv", "x,y\nu1,01/31/2024\n")
     stream_land(spark, spec, out, check).awaitTermination()
     write(tmp_path, "users", "2024-01-02", "b.csv", "x,y\nu2,oops\n")
-    stream_land(spark, spec, out, check, max_files=1).awaitTermination()
-    stream_land(spark, spec, out, check).awaitTermination()
+    with pytest.raises(StreamingQueryException, match="cannot load oops"):
+        stream_land(spark, spec, out, check).awaitTermination()
+    stream_land(spark, spec, out, check, strict=False, max_files=1).awaitTermination()
+    stream_land(spark, spec, out, check, strict=False).awaitTermination()
     got = spark.read.parquet(out).orderBy("user_id").collect()
     assert [tuple(r) for r in got] == [
         ("u1", dt.datetime(2024, 1, 31), dt.date(2024, 1, 1)),

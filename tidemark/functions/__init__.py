@@ -14,6 +14,7 @@ from tidemark.functions.times import (
     auto_timestamp,
     coerce_date,
     coerce_timestamp,
+    declared_timestamp,
     duration_seconds,
 )
 
@@ -23,6 +24,7 @@ __all__ = [
     "coerce_date",
     "coerce_number",
     "coerce_timestamp",
+    "declared_timestamp",
     "duration_seconds",
     "empty_as_null",
     "initcap_words",

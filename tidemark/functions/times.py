@@ -71,9 +71,48 @@ def coerce_date(c: Column | str) -> Column:
 
 
 def auto_timestamp(c: Column | str) -> Column:
-    """Recognise the layout of a timestamp on load."""
+    """Recognise the layout of a timestamp on load.
+
+    One pass over the text picks the layout by its shape: digits count as 9 and
+    letters as a. Then one parse follows.
+    """
+    c = F.trim(_col(c))
+    shape = F.regexp_replace(F.regexp_replace(c, "[0-9]", "9"), "[A-Za-z]", "a")
+    by_shape: dict[str, list[str]] = {}
+    for layout in DATETIME_LAYOUTS + DATE_LAYOUTS + AUTO_LAYOUTS:
+        by_shape.setdefault(re.sub("[A-Za-z]", "9", layout.replace("MMM", "\0")).replace("\0", "aaa"), []).append(layout)
+    parsed = [
+        (shape == key, F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in layouts]).cast("timestamp_ntz"))
+        for key, layouts in by_shape.items()
+    ]
+    out = F.when(*parsed[0])
+    for condition, value in parsed[1:]:
+        out = out.when(condition, value)
+    return out.otherwise(_iso(c))
+
+
+#: Parts of a declared layout and the pattern letters they stand for, longest first.
+_PARTS = (
+    ("YYYY", "yyyy"), ("HH24", "HH"), ("HH12", "hh"), ("MON", "MMM"), ("MM", "MM"), ("MI", "mm"), ("DD", "dd"),
+    ("HH", "HH"), ("SS", "ss"), ("US", "SSSSSS"), ("MS", "SSS"), ("AM", "a"), ("PM", "a"), ("YY", "yy"), ("OF", "xxx"),
+)
+
+
+def declared_timestamp(c: Column | str, layout: str) -> Column:
+    """Text in one declared layout, such as ``MM.DD.YYYY HH:MI:SS``, or seconds since 1970."""
     c = F.trim(_col(c))
-    return F.coalesce(_iso(c), *_parse(c, DATETIME_LAYOUTS + DATE_LAYOUTS + AUTO_LAYOUTS))
+    if layout.lower() in ("epochsecs", "epochmillisecs"):
+        number = c.try_cast("decimal(38,6)") / (1 if layout.lower() == "epochsecs" else 1000)
+        return F.timestamp_micros((number * 1_000_000).cast("bigint")).cast("timestamp_ntz")
+    pattern = re.sub(
+        "|".join(part for part, _ in _PARTS) + "|[A-Za-z]",
+        lambda m: dict(_PARTS).get(m[0].upper(), "'" + m[0] + "'"),
+        layout,
+        flags=re.IGNORECASE,
+    )
+    if "hh" not in pattern and " a" in pattern:
+        pattern = pattern.replace("HH", "hh")
+    return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
 
 
 def duration_seconds(c: Column | str) -> Column:

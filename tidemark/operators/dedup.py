@@ -90,34 +90,27 @@ def conflict_report(
 ) -> DataFrame:
     """Keys whose rows differ, with the names of the columns that differ.
 
-    A NULL beside a value counts as a difference. Minimum, maximum and count
-    per column are combined on the map side; nothing is expanded or collected.
+    A NULL beside a value counts as a difference. Rows without a key are no copies of
+    each other and take no part. Columns are compared by 64-bit hashes, of which the
+    smallest, the largest and the count are combined per task: no text is moved, and
+    nothing is sorted, expanded or collected.
     """
     keys = [key] if isinstance(key, str) else list(key)
     columns = list(columns or [c for c in df.columns if c not in keys])
-    # The smallest, the largest and the number of values of each column, by place.
-    lows, highs, counts = (
-        [f"_{what}{i}" for i in range(len(columns))] for what in ("low", "high", "count")
+    hashed = df.dropna(subset=keys).select(
+        *keys, *[F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(f"_h{i}") for i, c in enumerate(columns)]
     )
     aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for c, low, high, count in zip(columns, lows, highs, counts):
-        aggs += [F.min(c).alias(low), F.max(c).alias(high), F.count(c).alias(count)]
-    differing = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    (F.col(low) != F.col(high))
-                    | ((F.col(count) > 0) & (F.col(count) < F.col("n_rows"))),
-                    F.lit(c),
-                )
-                for c, low, high, count in zip(columns, lows, highs, counts)
-            ]
-        )
-    )
+    differing = []
+    for i, c in enumerate(columns):
+        h = f"_h{i}"
+        aggs += [F.min(h).alias(f"_low{i}"), F.max(h).alias(f"_high{i}"), F.count(h).alias(f"_count{i}")]
+        some = (F.col(f"_count{i}") > 0) & (F.col(f"_count{i}") < F.col("n_rows"))
+        differing.append(F.when((F.col(f"_low{i}") != F.col(f"_high{i}")) | some, F.lit(c)))
     return (
-        df.groupBy(*keys)
+        hashed.groupBy(*keys)
         .agg(*aggs)
         .filter("n_rows > 1")
-        .select(*keys, "n_rows", differing.alias("differing"))
+        .select(*keys, "n_rows", F.array_compact(F.array(*differing)).alias("differing"))
         .filter(F.size("differing") > 0)
     )

@@ -61,7 +61,7 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str | Sequenc
         source.dropna(subset=keys)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(_fail_if(F.col("_n") > 1, f"the source of a merge repeats a key of {keys}"))
+        .filter(fail_if(F.col("_n") > 1, f"the source of a merge repeats a key of {keys}"))
         .select(*keys)
     )
     return union_evolve(_not_in(target, unique, keys), source)
@@ -97,5 +97,5 @@ def _null_keyed(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.filter(missing)
 
 
-def _fail_if(condition: Column, message: str) -> Column:
+def fail_if(condition: Column, message: str) -> Column:
     return F.when(condition, F.raise_error(F.lit(message)).cast("boolean")).otherwise(True)

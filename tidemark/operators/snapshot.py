@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.incremental import fail_if
+
 # Names of the history columns.
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
@@ -50,6 +52,7 @@ def snapshot(
         since.alias(UPDATED_AT),
         scd_id(key, since).alias(SCD_ID),
     )
+    fresh = _one_per_key(fresh, key)
     if history is None:
         return fresh
 
@@ -85,6 +88,21 @@ def snapshot(
     return settled_rows.unionByName(both.select(F.inline(versions))).unionByName(keyless)
 
 
+def _one_per_key(fresh: DataFrame, key: str) -> DataFrame:
+    """The rows as they are; a key that occurs twice fails the job.
+
+    Keys are counted per task first, so a repeated key costs its count and not its rows.
+    """
+    counts = (
+        fresh.dropna(subset=[key])
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(fail_if(F.col("_n") > 1, f"the source of a snapshot repeats a value of {key!r}"))
+    )
+    known = fresh.filter(F.col(key).isNotNull()).join(counts.select(key), key, "left_semi")
+    return known.select(*fresh.columns).unionByName(fresh.filter(F.col(key).isNull()))
+
+
 def scd_id(key: str, since: Column) -> Column:
     """Identifier of a version: md5 over its key and the time it is valid from."""
     return F.md5(

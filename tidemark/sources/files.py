@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +15,14 @@ from tidemark.functions import (
     auto_timestamp,
     blank_as_null,
     coerce_date,
+    declared_timestamp,
     empty_as_null,
     truncate_bytes,
 )
 from tidemark.sources.registry import DatasetSpec
 
+_BAD = "_bad_line"
+
 
 def resolve_load_date(explicit=None, run_conf: Mapping | None = None, logical_date=None) -> str:
     """The date to load: an explicit one, else the run's setting, else the logical date."""
@@ -67,7 +71,9 @@ def read_dataset(
     spark: SparkSession, spec: DatasetSpec, path: str, strict: bool = True
 ) -> DataFrame:
     """Scan ``path`` as the spec says. With ``strict`` a value that does not fit its
-    declared type fails the load; without, it becomes NULL."""
+    declared type, or a line that does not fit the format, fails the load. Without, such a
+    value becomes NULL, and such a line is left out; ``rejected_lines`` has them.
+    ``MAXERROR n`` leaves out up to ``n`` lines of a strict load."""
     if spec.format == "csv":
         return read_csv(spark, spec, path, strict)
     if spec.format == "json":
@@ -77,16 +83,89 @@ def read_dataset(
     raise ValueError(f"unsupported format {spec.format!r}")
 
 
+def csv_options(spec: DatasetSpec) -> dict:
+    """Fields in double quotes may hold delimiters, doubled quotes and, if the dataset says
+    ``multiline``, line breaks. Every field is parsed, so that a wrong number of them shows."""
+    return {
+        "sep": spec.delimiter,
+        "header": spec.header,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": spec.multiline,
+        "columnPruning": False,
+    }
+
+
 def read_csv(
     spark: SparkSession, spec: DatasetSpec, path: str, strict: bool = True
 ) -> DataFrame:
     """Columns bind by position; a header line is skipped, not matched."""
-    reader = spark.read.option("sep", spec.delimiter).option("header", spec.header)
+    _check_compression(spark, spec, path)
     if spec.schema is None:
-        return apply_load_options(reader.csv(path), spec, strict)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in spec.schema])
-    raw = reader.option("enforceSchema", True).schema(text).csv(path)
-    return apply_load_options(raw, spec, strict)
+        mode = "FAILFAST" if strict else "DROPMALFORMED"
+        return apply_load_options(
+            spark.read.options(**csv_options(spec), mode=mode).csv(path), spec, strict
+        )
+    return apply_load_options(_well_formed(spark, spec, path, strict), spec, strict)
+
+
+def _with_bad(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
+    """Declared columns as text, and the whole line where it does not fit the format."""
+    if spec.format == "json" and (spec.jsonpaths or _is_variant(spec)):
+        broken = F.try_parse_json("value").isNull() & (F.trim("value") != "")
+        lines = spark.read.text(path)
+        return lines.filter(F.trim("value") != "").select("value", F.when(broken, F.col("value")).alias(_BAD))
+    fields = [
+        f if isinstance(f.dataType, T.VariantType) and spec.format == "json" else T.StructField(f.name, T.StringType())
+        for f in spec.schema
+    ]
+    # Scalars are read as text first: a typed field would turn "12.5" into NULL.
+    schema = T.StructType([*fields, T.StructField(_BAD, T.StringType())])
+    reader = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
+    if spec.format == "csv":
+        return reader.options(**csv_options(spec), enforceSchema=True).csv(path)
+    return reader.options(multiLine=spec.multiline).json(path)
+
+
+def _is_variant(spec: DatasetSpec) -> bool:
+    return spec.schema is not None and [f.dataType for f in spec.schema] == [T.VariantType()]
+
+
+def rejected_lines(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
+    """(line, file): the lines of a CSV or JSON dataset that do not fit its format."""
+    rows = _with_bad(spark, spec, path)
+    return rows.filter(_broken(rows)).select(F.col(_BAD).alias("line"), F.col("_metadata.file_path").alias("file"))
+
+
+def _broken(rows: DataFrame) -> Column:
+    # Spark refuses to read the broken line alone, so another column takes part.
+    other = F.coalesce(F.length(F.col(rows.columns[0]).cast("string")), F.lit(0)) >= 0
+    return F.col(_BAD).isNotNull() & other
+
+
+def _well_formed(spark: SparkSession, spec: DatasetSpec, path: str, strict: bool) -> DataFrame:
+    rows = _with_bad(spark, spec, path)
+    if strict and spec.has_option("MAXERROR"):
+        most = int(spec.option("MAXERROR"))
+        found = rejected_lines(spark, spec, path).limit(most + 1).count()
+        if found > most:
+            raise ValueError(f"{spec.name!r} has more than {most} lines that do not fit its format")
+        strict = False
+    message = F.concat(F.lit(f"{spec.name}: cannot read the line "), F.col(_BAD))
+    whole = ~_broken(rows)
+    if strict:
+        whole = F.when(~whole, F.raise_error(message).cast("boolean")).otherwise(True)
+    return rows.filter(whole).drop(_BAD)
+
+
+def _check_compression(spark: SparkSession, spec: DatasetSpec, path: str) -> None:
+    """Codecs go by file name, so a file that is declared gzip must be named so."""
+    if spec.compression != "gzip":
+        return
+    names = spark.read.format("binaryFile").load(path).select("path")
+    wrong = names.filter(~F.endswith("path", F.lit(".gz"))).head()
+    if wrong:
+        raise ValueError(f"{spec.name!r} is declared gzip, but {wrong[0]} is not named .gz")
 
 
 def read_json(
@@ -97,23 +176,19 @@ def read_json(
     jsonpaths: list[str] | None = None,
 ) -> DataFrame:
     """Top-level keys bind by name, or a list of paths binds to the columns by position."""
+    _check_compression(spark, spec, path)
     if spec.schema is None:
-        return spark.read.json(path)
+        return spark.read.option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
+    if jsonpaths:
+        spec = replace(spec, jsonpaths=tuple(jsonpaths))
     names = spec.schema.fieldNames()
-    paths = jsonpaths or spec.jsonpaths
-    if paths:
-        raw = spark.read.text(path).select(*path_columns(spark, spec, paths))
-        return apply_load_options(raw, spec, strict)
-    if [f.dataType for f in spec.schema] == [T.VariantType()]:
-        return read_variant(spark, path, names[0])
-    text = T.StructType(
-        [
-            f if isinstance(f.dataType, T.VariantType) else T.StructField(f.name, T.StringType())
-            for f in spec.schema
-        ]
-    )
-    # Scalars are read as text first: a typed field would turn "12.5" into NULL.
-    return apply_load_options(spark.read.schema(text).json(path), spec, strict)
+    if spec.jsonpaths:
+        lines = _well_formed(spark, spec, path, strict)
+        return apply_load_options(lines.select(*path_columns(spark, spec)), spec, strict)
+    if _is_variant(spec):
+        lines = _well_formed(spark, spec, path, strict)
+        return lines.select(variant_payload("value", names[0]).alias(names[0]))
+    return apply_load_options(_well_formed(spark, spec, path, strict), spec, strict)
 
 
 def path_columns(
@@ -162,33 +237,51 @@ def apply_load_options(
 ) -> DataFrame:
     """Text columns to their declared types, with the dataset's load options applied.
 
-    Columns in ``keep`` pass through.
+    Columns in ``keep`` pass through. Text is cleaned first, then parsed, then checked:
+    three projections, so that no step is repeated inside the next.
     """
-    fields = spec.schema or [f for f in df.schema if f.name not in keep]
-    loaded = [_loaded(F.col(f.name), f, spec, strict).alias(f.name) for f in fields]
-    return df.select(*loaded, *keep)
-
-
-def _loaded(c: Column, field: T.StructField, spec: DatasetSpec, strict: bool) -> Column:
+    fields = list(spec.schema or [f for f in df.schema if f.name not in keep])
+    texts = df.select(*[_cleaned(F.col(f.name), f, spec).alias(f.name) for f in fields], *keep)
+    typed = [f for f in fields if not isinstance(f.dataType, (T.StringType, T.VariantType))]
+    places = {f.name: f"_value{i}" for i, f in enumerate(typed)}
+    parsed = texts.withColumns({places[f.name]: _parsed(F.col(f.name), f, spec) for f in typed})
+    loaded = []
+    for f in fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            c = _fit(c, f, spec, strict)
+        elif f.name in places:
+            value = F.col(places[f.name])
+            message = F.concat(F.lit(f"{spec.name}.{f.name}: cannot load "), c)
+            c = F.when(c.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value) if strict else value
+        loaded.append(c.alias(f.name))
+    return parsed.select(*loaded, *keep)
+
+
+def _cleaned(c: Column, field: T.StructField, spec: DatasetSpec) -> Column:
     if isinstance(field.dataType, T.VariantType):
         # A column read as VARIANT stays as it is; text is parsed.
         return F.try_parse_json(c) if spec.format == "csv" or spec.jsonpaths else c
+    if spec.has_option("ACCEPTINVCHARS"):
+        # Bytes that are no UTF-8 have become this character when the file was read.
+        c = F.translate(c, "\ufffd", spec.option("ACCEPTINVCHARS") or "?")
+    if spec.option("NULL") is not None:
+        c = F.nullif(c, F.lit(spec.option("NULL")))
     if spec.has_option("BLANKSASNULL"):
         c = blank_as_null(c)
     if spec.has_option("EMPTYASNULL"):
         c = empty_as_null(c)
-    if isinstance(field.dataType, T.StringType):
-        return _fit(c, field, spec, strict)
+    return c
+
+
+def _parsed(c: Column, field: T.StructField, spec: DatasetSpec) -> Column:
     if isinstance(field.dataType, T.TimestampNTZType) and spec.has_option("TIMEFORMAT"):
-        value = auto_timestamp(c)
-    elif isinstance(field.dataType, T.DateType):
-        value = coerce_date(c)
-    else:
-        value = F.trim(c).try_cast(field.dataType)
-    if not strict:
-        return value
-    message = F.concat(F.lit(f"{spec.name}.{field.name}: cannot load "), c)
-    return F.when(c.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+        layout = spec.option("TIMEFORMAT") or "auto"
+        return auto_timestamp(c) if layout.lower() == "auto" else declared_timestamp(c, layout)
+    if isinstance(field.dataType, T.DateType):
+        layout = spec.option("DATEFORMAT") or "auto"
+        return coerce_date(c) if layout.lower() == "auto" else declared_timestamp(c, layout).cast("date")
+    return F.trim(c).try_cast(field.dataType)
 
 
 def _fit(c: Column, field: T.StructField, spec: DatasetSpec, strict: bool) -> Column:

@@ -14,6 +14,22 @@ from pyspark.sql import types as T
 # Formats a dataset may have.
 FORMATS = ("csv", "json", "parquet")
 
+# Load options, those that change what is loaded and those that only tune a warehouse.
+LOAD_OPTIONS = (
+    "TRUNCATECOLUMNS",
+    "BLANKSASNULL",
+    "EMPTYASNULL",
+    "TIMEFORMAT",
+    "DATEFORMAT",
+    "NULL",
+    "IGNOREBLANKLINES",
+    "ACCEPTINVCHARS",
+    "MAXERROR",
+)
+IGNORED_OPTIONS = ("COMPUPDATE", "STATUPDATE")
+COMPRESSIONS = ("none", "gzip")
+
+_OPTION = re.compile(r"^\s*([A-Za-z]+)(?:\s+AS)?(?:\s+(?:'((?:[^']|'')*)'|(\S+)))?\s*$", re.IGNORECASE)
 _TYPE = re.compile(r"^\s*([a-z ]+?)\s*(?:\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?\s*$", re.IGNORECASE)
 _PLAIN = {
     "timestamp": T.TimestampNTZType(),
@@ -43,6 +59,7 @@ class DatasetSpec:
     header: bool = True
     delimiter: str = ","
     compression: str = "none"
+    multiline: bool = False
     jsonpaths: str | tuple[str, ...] | None = None
     required: bool = True
     load_options: tuple[str, ...] = ()
@@ -57,7 +74,21 @@ class DatasetSpec:
         return f"{self.schema_name}.{self.table}" if self.schema_name else self.table
 
     def has_option(self, name: str) -> bool:
-        return any(option.upper().split()[0] == name for option in self.load_options)
+        return any(parse_option(option)[0] == name for option in self.load_options)
+
+    def option(self, name: str) -> str | None:
+        """The value of a load option; of several the last, NULL without one."""
+        values = [v for n, v in map(parse_option, self.load_options) if n == name]
+        return values[-1] if values else None
+
+
+def parse_option(option: str) -> tuple[str, str | None]:
+    """``TIMEFORMAT AS 'auto'`` as its name in capitals and its value, if it has one."""
+    match = _OPTION.match(option)
+    if not match:
+        raise ValueError(f"the load option {option!r} cannot be read")
+    name, quoted, plain = match.groups()
+    return name.upper(), quoted.replace("''", "'") if quoted is not None else plain
 
 
 def load_registry(
@@ -112,6 +143,13 @@ def _spec(name, entry, defaults, base_uri) -> DatasetSpec:
     kind = (pick("format") or "csv").lower()
     if kind not in FORMATS:
         raise ValueError(f"dataset {name!r} has the unsupported format {kind!r}")
+    options = (*defaults.get("copy_options", ()), *entry.get("copy_options", ()))
+    for option in options:
+        if parse_option(option)[0] not in LOAD_OPTIONS + IGNORED_OPTIONS:
+            raise ValueError(f"dataset {name!r} has the unknown load option {option!r}")
+    compression = (pick("compression") or "none").lower()
+    if compression not in COMPRESSIONS:
+        raise ValueError(f"dataset {name!r} has the unknown compression {compression!r}")
     bucket = pick("s3_bucket")
     root = base_uri or (f"s3a://{bucket}" if bucket else "")
     below = entry.get("s3_prefix_base") or f"{(pick('root_prefix') or '').strip('/')}/{name}"
@@ -124,10 +162,11 @@ def _spec(name, entry, defaults, base_uri) -> DatasetSpec:
         format=kind,
         header=bool(pick("header", True)),
         delimiter=pick("delimiter", ","),
-        compression=(pick("compression") or "none").lower(),
+        compression=compression,
+        multiline=bool(pick("multiline", False)),
         jsonpaths=tuple(paths) if isinstance(paths, list) else paths,
         required=bool(pick("required", True)),
-        load_options=(*defaults.get("copy_options", ()), *entry.get("copy_options", ())),
+        load_options=options,
         columns=tuple((c["name"], c["type"]) for c in entry.get("columns") or ()),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.files import apply_load_options, path_columns, variant_payload
+from tidemark.sources.files import apply_load_options, csv_options, path_columns, variant_payload
 from tidemark.sources.registry import DatasetSpec
 
 _DATE = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
@@ -16,11 +16,15 @@ _DATE = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
 def stream_dated(
     spark: SparkSession,
     spec: DatasetSpec,
-    strict: bool = False,
+    strict: bool = True,
     max_files: int | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """All dated folders of a dataset as a stream; ``load_date`` comes from the folder."""
+    """All dated folders of a dataset as a stream; ``load_date`` comes from the folder.
+
+    As in a batch load, what does not fit its type or format stops a strict stream.
+    Without ``strict`` such a value becomes NULL, and such a line is left out.
+    """
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -35,25 +39,34 @@ def stream_dated(
     whole = spec.format == "json" and [f.dataType for f in schema] == [T.VariantType()]
     if whole:
         name = schema.fieldNames()[0]
-        return reader.text(path).select(variant_payload("value", name).alias(name), dated)
+        lines = _readable(reader.text(path), spec, strict)
+        return lines.select(variant_payload("value", name).alias(name), dated)
     if spec.format == "json" and spec.jsonpaths:
-        raw = reader.text(path).select(*path_columns(spark, spec), dated)
+        raw = _readable(reader.text(path), spec, strict).select(*path_columns(spark, spec), dated)
     else:
         text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        reader = reader.schema(text)
+        reader = reader.schema(text).option("mode", "FAILFAST" if strict else "DROPMALFORMED")
         if spec.format == "csv":
-            reader = reader.option("sep", spec.delimiter).option("header", spec.header)
-            reader = reader.option("enforceSchema", True)
+            reader = reader.options(**csv_options(spec), enforceSchema=True)
         raw = reader.format(spec.format).load(path).select("*", dated)
     return apply_load_options(raw, spec, strict, keep=("load_date",))
 
 
+def _readable(lines: DataFrame, spec: DatasetSpec, strict: bool) -> DataFrame:
+    lines = lines.filter(F.trim("value") != "")
+    whole = F.try_parse_json("value").isNotNull()
+    if strict:
+        message = F.concat(F.lit(f"{spec.name}: cannot read the line "), F.col("value"))
+        whole = F.when(~whole, F.raise_error(message).cast("boolean")).otherwise(True)
+    return lines.filter(whole)
+
+
 def stream_land(
     spark: SparkSession,
     spec: DatasetSpec,
     out: str,
     checkpoint: str,
-    strict: bool = False,
+    strict: bool = True,
     max_files: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:

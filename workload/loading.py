@@ -119,6 +119,89 @@ def bad_lines(spark, d):
     return found.select(F.get_json_object(F.concat("value", F.lit("}}")), "$.id").alias("event_id"))
 
 
+_PART_COLUMNS = [
+    {"name": "part", "type": "bigint"},
+    {"name": "name", "type": "varchar(64)"},
+    {"name": "kind", "type": "varchar(64)"},
+]
+
+
+def _part_lines(spark, d):
+    """Parts as CSV lines with quotes, delimiters and line breaks inside of quoted fields."""
+    name = F.concat(F.lit('He said ""'), F.col("p_name"), F.lit('"", ok'))
+    broken = F.concat(F.col("p_type"), F.when(F.col("p_size") < 10, "\nnext").otherwise(""))
+    return table(spark, d, "part").select(
+        F.col("p_partkey").alias("k"),
+        F.col("p_size").alias("size"),
+        F.concat(F.col("p_partkey"), F.lit(',"'), name, F.lit('","'), broken, F.lit('"')).alias("value"),
+    )
+
+
+def load_csv_quoted(spark, d):
+    """Doubled quotes, delimiters and line breaks inside of quoted fields."""
+    root = _land(spark, "quoted", _part_lines(spark, d).select("value"), "text")
+    specs = _registry(root, columns=_PART_COLUMNS, header=False, multiline=True)
+    return files.read_dated(spark, specs, LOAD_DATE)["enrollments"].drop("load_date")
+
+
+def load_bad_lines_csv(spark, d):
+    """Lines with a field too many or too few are left out of the load and listed apart."""
+    line = F.concat_ws(",", "p_partkey", "p_brand", "p_type")
+    lines = table(spark, d, "part").select(
+        F.when(F.col("p_size") < 10, F.concat(line, F.lit(",more")))
+        .when(F.col("p_size") < 20, F.col("p_partkey").cast("string"))
+        .otherwise(line)
+        .alias("value")
+    )
+    root = _land(spark, "ragged", lines, "text")
+    specs = _registry(root, columns=_PART_COLUMNS, header=False)
+    good = files.read_dated(spark, specs, LOAD_DATE, strict=False)["enrollments"]
+    bad = files.rejected_lines(spark, specs["enrollments"], f"{root}/raw/enrollments/{LOAD_DATE}")
+    return good.select("part", F.lit(True).alias("loaded")).unionByName(
+        bad.select(F.split("line", ",")[0].cast("bigint").alias("part"), F.lit(False).alias("loaded"))
+    )
+
+
+def load_bad_lines_json(spark, d):
+    """Lines that are no JSON are left out of the load and listed apart."""
+    document = F.to_json(F.struct(F.col("p_partkey").alias("part"), F.col("p_brand").alias("name")))
+    lines = table(spark, d, "part").select(
+        F.when(F.col("p_size") < 10, F.rtrim(document, F.lit("}"))).otherwise(document).alias("value")
+    )
+    root = _land(spark, "malformed", lines, "text")
+    specs = _registry(root, columns=_PART_COLUMNS, format="json")
+    good = files.read_dated(spark, specs, LOAD_DATE, strict=False)["enrollments"]
+    bad = files.rejected_lines(spark, specs["enrollments"], f"{root}/raw/enrollments/{LOAD_DATE}")
+    number = F.regexp_extract("line", '"part":([0-9]+)', 1).cast("bigint")
+    return good.select("part", F.lit(True).alias("loaded")).unionByName(
+        bad.select(number.alias("part"), F.lit(False).alias("loaded"))
+    )
+
+
+def load_time_layout(spark, d):
+    """Times in a declared layout, or as seconds since 1970; a text that stands for NULL."""
+    source = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("k"),
+        F.date_format("o_orderdate", "dd.MM.yyyy HH:mm:ss").alias("a"),
+        F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("us"),
+        F.when(F.col("o_orderstatus") == "F", "NUL").otherwise(F.col("o_orderstatus")).alias("s"),
+    ).select("k", "a", F.expr("us div 1000000").cast("string").alias("b"), "s")
+    columns = [{"name": "k", "type": "bigint"}, {"name": "a", "type": "timestamp"}, {"name": "s", "type": "varchar(8)"}]
+    out = None
+    for text, layout in (("a", "DD.MM.YYYY HH24:MI:SS"), ("b", "epochsecs")):
+        root = _land(spark, "layout", source.select("k", text, "s"), "csv")
+        specs = load_registry(
+            {
+                "defaults": {"root_prefix": "raw", "copy_options": [f"TIMEFORMAT AS '{layout}'", "NULL AS 'NUL'"]},
+                "datasets": {"enrollments": {"columns": columns, "header": False}},
+            },
+            base_uri=root,
+        )
+        loaded = files.read_dated(spark, specs, LOAD_DATE)["enrollments"].drop("load_date")
+        out = loaded if out is None else out.unionByName(loaded)
+    return out
+
+
 def load_options(spark, d):
     """Blank and empty text to NULL, long text cut, times in any known layout."""
     p = F.col("p_type")
@@ -277,6 +360,24 @@ QUERIES = {
           left(p_name, 6) AS name, TIMESTAMP '2024-01-31' AS seen_at, p_retailprice AS price
           FROM part""",
     ),
+    "load_csv_quoted": (
+        load_csv_quoted,
+        """SELECT p_partkey AS part, 'He said "' || p_name || '", ok' AS name,
+          p_type || CASE WHEN p_size < 10 THEN chr(10) || 'next' ELSE '' END AS kind FROM part""",
+    ),
+    "load_bad_lines_csv": (
+        load_bad_lines_csv,
+        "SELECT p_partkey AS part, p_size >= 20 AS loaded FROM part",
+    ),
+    "load_bad_lines_json": (
+        load_bad_lines_json,
+        "SELECT p_partkey AS part, p_size >= 10 AS loaded FROM part",
+    ),
+    "load_time_layout": (
+        load_time_layout,
+        """SELECT k, a, s FROM (SELECT o_orderkey AS k, date_trunc('second', o_orderdate) AS a,
+          CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS s FROM orders), range(2)""",
+    ),
     "append_load": (
         append_load,
         f"SELECT *, {_DATE} FROM {FIRST} UNION ALL SELECT *, {_DATE} FROM {FIRST}",

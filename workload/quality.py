@@ -135,8 +135,8 @@ def _data_tests_sql() -> str:
 
 
 def star_enrich(spark, d):
-    nation = joins.broadcast_dim(table(spark, d, "nation"))
-    region = joins.broadcast_dim(table(spark, d, "region"))
+    nation = table(spark, d, "nation")
+    region = table(spark, d, "region")
     suppliers = joins.enrich(
         table(spark, d, "supplier")
         .withColumnRenamed("s_suppkey", "l_suppkey")
@@ -235,7 +235,7 @@ def coerce_numbers(spark, d):
         .otherwise("null")
     )
     text = F.concat(F.lit('{"Quantity": '), quantity, F.lit("}"))
-    v = inputs.spread(table(spark, d, "lineitem")).select(*LINE_ID, F.parse_json(text).alias("v"))
+    v = table(spark, d, "lineitem").select(*LINE_ID, F.parse_json(text).alias("v"))
     return v.select(
         *LINE_ID,
         coerce_number("v", "$.Quantity").alias("quantity"),
