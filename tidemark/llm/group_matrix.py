@@ -226,21 +226,38 @@ def _open(slim: DataFrame, classes: DataFrame, candidates: DataFrame, members: D
     return rows.groupBy("gid", "chunk").applyInPandas(compare, "a long, b long")
 
 
-def _may_match(percent: int) -> Column:
-    """Whether a query of ``n`` tokens may match a member of a group, by what their prefixes share.
+def _need(n: Column, m: Column, percent: int) -> Column:
+    """Tokens that sets of ``n`` and ``m`` must share at least."""
+    return F.ceil((n + m) * percent / (100 + percent))
+
+
+def _may_meet(percent: int) -> Column:
+    """Whether a shared token can be one of the first that a query and a member share.
 
-    The group's sizes go from ``least`` to ``most``; ``k`` of the query's prefix tokens are
-    in the union of the prefixes. Of one pair, what both hold beyond the common prefix
-    tokens comes after the prefix that ends first. For a group of one member (``alone``)
-    it even comes after the last common token, at ``place`` and ``g_place`` of the two.
+    Of sets of n and m tokens that share a tokens, one shared token is among the first
+    n - a + 1 of the one and m - a + 1 of the other, so later ones need not be looked
+    at. A query of ``n`` tokens has the token at ``place``, the members of a group have
+    ``least`` to ``most`` tokens, and the token at ``g_first`` or later.
     """
-    n, k = F.col("n"), F.col("k")
+    n = F.col("n")
     low = F.greatest(F.col("least"), F.ceil(n * percent / 100))
     high = F.least(F.col("most"), F.floor(n * 100 / percent))
-    rest = lambda size: F.floor((size * percent + 99) / 100) - 1
-    after = F.least(n - F.col("place"), F.col("most") - F.col("g_place")) - 1
-    overlap = k + F.when(F.col("alone"), after).otherwise(F.greatest(rest(n), rest(high)))
-    return (low <= high) & (overlap * (100 + percent) >= percent * (n + low)) & (overlap * 100 >= percent * F.greatest(n, low))
+    return (
+        (low <= high)
+        & (F.col("place") + _need(n, low, percent) <= n)
+        & (F.col("g_first") + _need(n, high, percent) <= high)
+    )
+
+
+def _may_match(percent: int) -> Column:
+    """Whether a query of ``n`` tokens may match a group's member, by the tokens they met at.
+
+    For a group of one member (``alone``), all that both share beyond the ``k`` tokens they
+    met at comes after the last of these, at ``place`` and ``g_place`` of the two.
+    """
+    n, m = F.col("n"), F.col("most")
+    after = F.least(n - F.col("place"), m - F.col("g_place")) - 1
+    return ~F.col("alone") | (F.col("k") + after >= _need(n, m, percent))
 
 
 def similar_documents(
@@ -315,11 +332,11 @@ def similar_documents(
     apart = rows.groupBy("t").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("t")
     rows = rows.join(apart, "t", "left_semi")
     matrix = rows.groupBy("t", "gid", "one").agg(
-        F.count("*").alias("held"), F.max("place").alias("g_place"),
+        F.count("*").alias("held"), F.min("place").alias("g_first"), F.max("place").alias("g_place"),
         F.min("comp").alias("any"), F.min("n").alias("least"), F.max("n").alias("most"),
     )
     matrix = matrix.select(
-        "t", F.col("gid").alias("g"), F.col("one").alias("g_one"), "held", "g_place", "any", "least", "most"
+        "t", F.col("gid").alias("g"), F.col("one").alias("g_one"), "held", "g_first", "g_place", "any", "least", "most"
     )
     # Each pair of groups meets once: unlinked classes ask linked groups, else the smaller number asks.
     asks = (
@@ -327,10 +344,9 @@ def similar_documents(
         | ((F.col("one") == F.col("g_one")) & (F.col("gid") < F.col("g")))
         | ((F.col("gid") == F.col("g")) & ~F.col("one") & (F.col("held") > 1))
     )
-    sized = (F.col("most") * 100 >= F.col("n") * percent) & (F.col("least") * percent <= F.col("n") * 100)
     met = (
         rows.join(matrix, "t")
-        .filter(asks & sized & ~(F.col("g_one") & (F.col("any") == F.col("comp"))))
+        .filter(asks & _may_meet(percent) & ~(F.col("g_one") & (F.col("any") == F.col("comp"))))
         .groupBy("cls", "n", "comp", "g")
         .agg(F.count("*").alias("k"), F.max("place").alias("place"), F.max("g_place").alias("g_place"))
     )
