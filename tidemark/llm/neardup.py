@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,29 +89,38 @@ def _met_before(t: int, homes_a, near_a, homes_b, near_b) -> np.ndarray:
     return out
 
 
-def _tile(t: int, left: pd.DataFrame, right: pd.DataFrame, kind: int, cosine: float, tables: int) -> tuple:
-    """Links of a tile as index pairs. kind 0: homes with themselves, 1: two parts of homes, 2: neighbours with homes."""
-    stack = lambda rows, c, d: np.stack([np.frombuffer(x, dtype=d) for x in rows[c]])
-    x, y = stack(left, "unit", np.float64), stack(right, "unit", np.float64)
-    if x.shape[1] != y.shape[1]:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    close = x @ y.T >= cosine
+def _links(t: int, kind: int, cls, unit, homes, near, left, right, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a tile between rows ``left`` and ``right``. kind 0: homes with themselves, 1: two parts of homes, 2: neighbours with homes."""
+    close = unit[left] @ unit[right].T >= cosine
     if kind == 0:
         close = np.triu(close, 1)
     i, j = np.nonzero(close)
+    i, j = left[i], right[j]
     if not len(i):
         return i, j
-    a, b = left["cls"].to_numpy()[i], right["cls"].to_numpy()[j]
-    ha, hb = np.stack(left["homes"])[i], np.stack(right["homes"])[j]
-    na = np.stack(left["near"]).reshape(len(left), tables, -1)[i]
-    nb = np.stack(right["near"]).reshape(len(right), tables, -1)[j]
-    good = (a != b) & ~_met_before(t, ha, na, hb, nb)
+    good = (cls[i] != cls[j]) & ~_met_before(t, homes[i], near[i], homes[j], near[j])
     if kind == 2:  # if each is the other's neighbour, the smaller number asks
-        mutual = (nb[:, t] == ha[:, t][:, None]).any(axis=1)
-        good &= ~mutual | (a < b)
+        mutual = (near[j, t] == homes[i, t][:, None]).any(axis=1)
+        good &= ~mutual | (cls[i] < cls[j])
     return i[good], j[good]
 
 
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted batches cut anew so that every tile is in one piece."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        tile = table.column("tile").to_numpy()
+        other = np.flatnonzero(tile != tile[-1]) if len(tile) else tile
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+        held = table.slice(cut)
+    if held is not None and len(held):
+        yield held.combine_chunks()
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Pairs that join what the others join already left out."""
     root: dict[int, int] = {}
@@ -175,11 +183,12 @@ def near_duplicates(
         "vector-classes",
     )
     width = blocks * probes
-    at_home = classes.select("cls", "label", F.posexplode("homes").alias("t", "cell"), F.lit(True).alias("home"))
-    beside = classes.select("cls", "label", F.posexplode("near").alias("k", "cell"), F.lit(False).alias("home")).select(
-        "cls", "label", F.floor(F.col("k") / width).cast("int").alias("t"), "cell", "home"
+    classes = classes.withColumn("size", F.octet_length("unit"))
+    at_home = classes.select("cls", "label", "size", F.posexplode("homes").alias("t", "cell"), F.lit(True).alias("home"))
+    beside = classes.select("cls", "label", "size", F.posexplode("near").alias("k", "cell"), F.lit(False).alias("home")).select(
+        "cls", "label", "size", F.floor(F.col("k") / width).cast("int").alias("t"), "cell", "home"
     )
-    key = ["label", "t", "cell"]
+    key = ["label", "size", "t", "cell"]
     places = at_home.unionByName(beside)
     full = (
         places.groupBy(*key)
@@ -208,33 +217,44 @@ def near_duplicates(
     )
     for_near = F.transform(upto(F.col("ph")), lambda k: tile(2, own, k, 0))
     tiles = dealt.select(*key, "cls", F.inline(F.when(F.col("home"), for_home).otherwise(F.coalesce(for_near, none))))
-    rows = tiles.join(classes.select("cls", "m", "unit", "homes", "near"), "cls")
-
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        t, kind = int(key[1]), int(key[3])
-        rows = rows.sort_values("cls")
-        left = rows[rows["side"] == 0]
-        right = left if kind == 0 else rows[rows["side"] == 1]
-        out = pd.DataFrame({"a": [], "b": [], "n": []}).astype({"a": "int64", "b": "Int64", "n": "int64"})
-        if not len(left) or not len(right) or (kind == 0 and len(left) < 2):
-            return out
-        i, j = _tile(t, left, right, kind, cosine, tables)
-        if not len(i):
-            return out
-        a, b = left["cls"].to_numpy(), right["cls"].to_numpy()
-        to_left = np.bincount(i, right["m"].to_numpy()[j], len(a)).astype(np.int64)
-        to_right = np.bincount(j, left["m"].to_numpy()[i], len(b)).astype(np.int64)
-        links = _forest(a[i], b[j])
-        frames = [
-            pd.DataFrame({"a": a[to_left > 0], "b": None, "n": to_left[to_left > 0]}),
-            pd.DataFrame({"a": b[to_right > 0], "b": None, "n": to_right[to_right > 0]}),
-            pd.DataFrame({"a": [x for x, _ in links], "b": [y for _, y in links], "n": 0}),
-        ]
-        return pd.concat([f.astype({"a": "int64", "b": "Int64", "n": "int64"}) for f in frames])
-
-    found = write_through(
-        rows.groupBy(*key, "kind", "i", "j").applyInPandas(compare, "a long, b long, n long"), "vector-links"
+    rows = (
+        tiles.select(F.xxhash64(*key, "kind", "i", "j").alias("tile"), "t", "kind", "side", "cls")
+        .join(classes.select("cls", "m", "unit", "homes", "near"), "cls")
+        .repartition("tile")
+        .sortWithinPartitions("tile")
     )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_tiles(batches):
+            tile, ts, kinds, side, cls, m = (table.column(c).to_numpy() for c in ("tile", "t", "kind", "side", "cls", "m"))
+            homes = table.column("homes").chunk(0).flatten().to_numpy().reshape(len(table), tables)
+            near = table.column("near").chunk(0).flatten().to_numpy().reshape(len(table), tables, width)
+            units = table.column("unit").chunk(0)
+            edges = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1], True])
+            out_a, out_b, out_n = [], [], []
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                kind, one, two = int(kinds[lo]), side[lo:hi] == 0, side[lo:hi] == 1
+                if kind == 0:
+                    two = one
+                if hi - lo < 2 or not one.any() or not two.any():
+                    continue
+                unit = np.stack([np.frombuffer(u.as_buffer(), dtype=np.float64) for u in units[lo:hi]])
+                part = slice(lo, hi)
+                i, j = _links(
+                    int(ts[lo]), kind, cls[part], unit, homes[part], near[part],
+                    np.flatnonzero(one), np.flatnonzero(two), cosine,
+                )
+                if not len(i):
+                    continue
+                links = np.bincount(i, m[part][j], hi - lo) + np.bincount(j, m[part][i], hi - lo)
+                some = np.flatnonzero(links)
+                joined = _forest(cls[part][i], cls[part][j])
+                out_a += [*cls[part][some].tolist(), *(x for x, _ in joined)]
+                out_b += [*[None] * len(some), *(y for _, y in joined)]
+                out_n += [*links[some].astype(np.int64).tolist(), *[0] * len(joined)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (out_a, out_b, out_n)], ["a", "b", "n"])
+
+    found = write_through(rows.mapInArrow(compare, "a long, b long, n long"), "vector-links")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))
     roots = components(found.filter("b IS NOT NULL")).select(F.col("node").alias("cls"), F.col("component").alias("root"))
     whole = (
