@@ -1,0 +1,77 @@
+"""Formatting: an exact round trip, marks inside texts, the order of turns."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from tidemark.llm import chat
+from tidemark.llm.queries import op1_chat_formatting
+
+SCHEMA = "conv_id long, turn long, role string, text string, state string, segment string"
+MARKS = ["[INST]", "[/INST]", "<s>", "</s>", "[SYS]", "[TURN]", "[:]", "\\", "[", "<", "a"]
+
+
+@given(
+    st.sampled_from(["user", "assistant", "system", "tool", "", "[INST]", "a[:]b"]),
+    st.lists(st.sampled_from([*MARKS, "é", "\n"]), max_size=12).map("".join),
+)
+def test_every_turn_is_read_back(role, text):
+    template = chat.Template()
+    segment, start, end = template.segment(role, text, template.escaper())
+    assert template.read(segment) == (role, text)
+    inner = chat.unescape(segment[start:end])
+    assert inner == (text if role == "assistant" else "")
+    left, right = template.marks.get(role, (None, None))
+    if left:
+        body = segment[len(left) : -len(right)]
+        assert not any(m in body for m in template.controls)
+
+
+def test_marks_must_not_overlap():
+    with pytest.raises(ValueError):
+        chat.Template(marks={"user": ("<<U>>", "<</U>>")})
+
+
+def test_segments_states_and_ties(spark, frame):
+    rows = [
+        (1, 1, "assistant", "b", "x", "y"), (1, 0, "user", "a", "x", "y"),
+        (2, 0, "assistant", "first", None, None), (2, 1, "user", None, None, None),
+        (3, 0, "user", "same", None, None), (3, 0, "user", "same", None, None),
+        (None, None, None, None, None, None), (4, 0, "user", "w " * 60_000, None, None),
+    ]
+    got = chat.format_turns(frame(rows, SCHEMA)).orderBy("conv_id", "number").collect()
+    assert len(got) == len(rows)
+    states = {}
+    for r in got:
+        states.setdefault(r.conv_id, []).append(r.state)
+    assert states == {1: ["asked", "answered"], 2: ["error", "error"], 3: ["asked", "error"], None: ["error"], 4: ["asked"]}
+    whole = {r.conv_id: r for r in chat.format_conversations(frame(rows, SCHEMA)).collect()}
+    assert whole[1].formatted == "[INST]a[/INST]<s>b</s>" and whole[1].valid
+    assert [(s.start, s.end) for s in whole[1].loss] == [(17, 18)]
+    assert not whole[2].valid and not whole[4].valid
+    assert chat.format_turns(frame([], SCHEMA)).count() == 0
+
+
+def test_query_against_plain_python(spark):
+    import duckdb
+
+    folder = "/root/testdata/sf0.001"
+    turns = duckdb.sql(f"SELECT conv_id, turn, role, coalesce(text, '') FROM '{folder}/conversations.parquet' ORDER BY ALL").fetchall()
+    turns += [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    want = {}
+    for c, _, role, text in turns:
+        w = want.setdefault(c, [0, "", ""])
+        w[0] += 1
+        w[1] += f"{role}\n{text}\n"
+        w[2] += text if role == "assistant" else ""
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    got = op1_chat_formatting(spark, folder).collect()
+    assert len(got) == len(want)
+    for r in got:
+        n, all_turns, loss = want[r.conv_id]
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (n, digest(all_turns), len(loss), digest(loss))
+        assert r.formatted_chars > len(all_turns) - len(turns) * 12
