@@ -238,10 +238,10 @@ def _indexes(docs: DataFrame, benchmark: DataFrame, similarity: float, target: f
     items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
     blocks = max(1, -(-items.count() // ITEMS_AT_ONCE))
     for block in range(blocks):
-        held = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").toPandas()
-        w = words.tokenize(pa.array(held["text"], pa.string()))
+        held = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").toArrow()
+        w = words.tokenize(held.column("text").combine_chunks())
         index = Index([w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:])], similarity, target)
-        yield docs.sparkSession.sparkContext.broadcast((index, pa.array(held["item"])))
+        yield docs.sparkSession.sparkContext.broadcast((index, held.column("item").combine_chunks()))
 
 
 def find_contamination(

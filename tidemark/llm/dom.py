@@ -187,16 +187,17 @@ class Nodes:
         headings = self.up((self.code >= _CODE["h1"]) & (self.code <= _CODE["h3"]))
         items = self.up(self.code == _CODE["li"])
         whole = text[self.first[self.page]]
-        parent = np.maximum(self.parent, 0)
-        children = np.bincount(parent[self.parent >= 0], minlength=n)
-        pair = parent * (_OTHER + 1) + self.code
-        _, back, alike = np.unique(np.where(self.parent >= 0, pair, -1), return_inverse=True, return_counts=True)
+        root = self.parent < 0
+        parent = np.where(root, np.arange(n), self.parent)
+        children = np.bincount(parent[~root], minlength=n)
+        pair = np.where(root, -1 - np.arange(n), parent * (_OTHER + 1) + self.code)
+        _, back, alike = np.unique(pair, return_inverse=True, return_counts=True)
         order = np.zeros(n)
         below = np.flatnonzero(self.parent >= 0)
         by = below[np.argsort(parent[below], kind="stable")]
         starts = np.r_[True, parent[by][1:] != parent[by][:-1]] if len(by) else np.zeros(0, bool)
         order[by] = np.arange(len(by)) - np.maximum.accumulate(np.where(starts, np.arange(len(by)), 0))
-        siblings = np.maximum(children[parent], 1)
+        siblings = np.where(root, 1, children[parent])
         others = (text[parent] - self.own[parent]) / siblings
         tags = self.down(1 << self.code)
         groups = self.down(self.groups)

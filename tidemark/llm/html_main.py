@@ -103,8 +103,9 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
     end(head)
     body = put("body")
     wrapped = put(_named(rng, "div id=page", "div class=wrapper", "div")) if rng.random() < 0.5 else ""
+    often = _named(rng, 0.1, 0.35, 0.6)
     for kind in ("notice", "header", "menu", "advert", "form", "side"):
-        if rng.random() < 0.55:
+        if rng.random() < often + 0.4 * (kind == "menu"):
             junk(kind)
     outer = put(_named(rng, "main", "section", "div class=columns")) if rng.random() < 0.4 else ""
     inside = True
@@ -115,7 +116,7 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
     if rng.random() < 0.9:
         leaf(_named(rng, "h1", "h2"), escape(title), True)
     for i, text in enumerate(paragraphs):
-        if rng.random() < 0.08:
+        if rng.random() < often / 6:
             junk(_named(rng, "advert", "share", "notice", "side", "form"))
         kind = rng.random()
         if kind < 0.05:
@@ -133,11 +134,11 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
             leaf("p", ("<b>" if i == 0 and kind < 0.3 else "") + escape(text), True)
     if rng.random() < 0.15:
         leaf("p", escape(_words(rng, pool, 1, 8)), True)
-    if rng.random() < 0.3:
+    if rng.random() < often / 2:
         junk(_named(rng, "comment", "share", "advert", "side"))
     end(region)
     for kind in ("comment", "side", "share", "advert"):
-        if rng.random() < 0.4:
+        if rng.random() < often / 1.5:
             junk(kind)
     if outer:
         end(outer)
@@ -152,25 +153,25 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
     return "".join(out), labels
 
 
-def fit_layouts(pages: list[str], layouts: int = 3, seed: int = 5, **options) -> boosting.Trees:
-    """Trees from random layouts of the texts of ``pages``."""
+def fit_layouts(pages: list[str], layouts: int = 700, seed: int = 5, **options) -> boosting.Trees:
+    """Trees from ``layouts`` random layouts of the texts of ``pages``; without pages, of made-up words."""
     rng = np.random.default_rng(seed)
-    texts = [[t for _, t in parse(p).blocks] for p in pages]
-    pool = [w for ts in texts for t in ts for w in t.split()[:40]] or ["word"]
+    texts = [t for p in pages for _, t in parse(p).blocks]
+    pool = [w for t in texts for w in t.split()[:40]] or ["word", "text", "a"]
+    texts = texts or [_words(rng, pool, 1, 60) for _ in range(50)]
     made: list[Page] = []
     labels: list[bool] = []
-    for ts in texts:
-        for _ in range(layouts):
-            take = np.sort(rng.permutation(len(ts))[: _named(rng, 1, 2, 4, 8, 16)])
-            chosen = [ts[i] for i in take] or [_words(rng, pool, 1, 60)]
-            html, marks = layout(_words(rng, pool, 1, 12), chosen, pool, rng)
-            page = parse(html)
-            if len(page.code) != len(marks):
-                raise ValueError("a layout was not read as it was written")
-            made.append(page)
-            labels += marks
-    x = Nodes(made).features() if made else np.zeros((0, Nodes([Page()]).features().shape[1]))
-    return boosting.fit(x, np.array(labels, dtype=float), **{"trees": 40, "depth": 5, "rate": 0.3, "bins": 32, "least_weight": 0.5, **options})
+    for _ in range(layouts):
+        many = rng.integers(1, _named(rng, 2, 4, 10, 25, 60))
+        chosen = [texts[i] for i in rng.integers(len(texts), size=many)]
+        html, marks = layout(_words(rng, pool, 1, 14), chosen, pool, rng)
+        page = parse(html)
+        if len(page.code) != len(marks):
+            raise ValueError("a layout was not read as it was written")
+        made.append(page)
+        labels += marks
+    options = {"trees": 40, "depth": 5, "rate": 0.5, "bins": 32, "least_weight": 0.5, **options}
+    return boosting.fit(Nodes(made).features(), np.array(labels, dtype=float), **options)
 
 
 def main_blocks(html: list[str], trees: boosting.Trees) -> list[list[str]]:
