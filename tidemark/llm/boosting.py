@@ -41,11 +41,11 @@ def fit(
     x: np.ndarray,
     y: np.ndarray,
     trees: int = 80,
-    depth: int = 4,
-    rate: float = 0.1,
+    depth: int = 3,
+    rate: float = 0.2,
     bins: int = 64,
-    ridge: float = 1.0,
-    least_weight: float = 4.0,
+    ridge: float = 0.3,
+    least_weight: float = 0.3,
 ) -> Trees:
     """Fit trees to 0/1 labels by second-order boosting of the logistic loss.
 
