@@ -294,6 +294,10 @@ def test_missing_and_malformed_children(spark):
     assert [r.pos for r in documents.explode_child(parsed, "measurements").collect()] == [0, 1]
     counts = documents.explode_all(parsed).groupBy("table").count()
     assert dict(rows(counts)) == {"measurement": 2, "tag": 1}
+    # What no table can take is reported with its envelope.
+    assert [r.reasons for r in documents.malformed(parsed).collect()] == [["malformed:events"]]
+    other = documents.parse_tag_document(envelopes(spark, {"measurements": {"MeasurementID": "x"}, "tag": ["t"]}))
+    assert sorted(documents.malformed(other).first().reasons) == ["malformed:measurements", "malformed:tag"]
 
 
 def test_one_pass_agrees_with_one_table_at_a_time(spark):

@@ -17,6 +17,7 @@ from tidemark.operators.incremental import (
     newer_than_max,
     union_evolve,
 )
+from tidemark.operators.dedup import conflict_report
 from tidemark.operators.snapshot import META, snapshot, validity_ranges
 
 QUIET = settings(
@@ -183,3 +184,19 @@ def test_mark_reaches_the_scan(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts" in plan
     assert rows(got) == [("b",)]
+
+
+def test_snapshot_refuses_a_repeated_key(spark):
+    source = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "k long, v string")
+    with pytest.raises(PySparkException, match="repeats a value of 'k'"):
+        snapshot(None, source, "k", strategy="check", run_at="2024-01-01").collect()
+    once = snapshot(None, source.filter("v <> 'b'"), "k", strategy="check", run_at="2024-01-01")
+    assert once.count() == 3
+
+
+def test_conflict_report_ignores_rows_without_a_key(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (1, "a"), (1, None), (2, "x"), (2, "x")], "k long, v string")
+    report = conflict_report(df, "k")
+    assert [(r.k, r.n_rows, r.differing) for r in report.collect()] == [(1, 2, ["v"])]
+    plan = report._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan

@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tests.conftest import rows
+from tidemark.operators.checks import DataTest
 from tidemark.plans import learning
-from tidemark.plans.layers import check_layers, materialize_layers, run_layers
+from tidemark.plans.layers import FailedTests, check_layers, materialize_layers, run_layers
 from tidemark.sources.files import variant_payload
 
 QUIET = settings(
@@ -192,7 +194,7 @@ def test_materialized_layers_agree(spark, tmp_path):
     first, second = raw_tables(spark, *FIRST), raw_tables(spark, *SECOND, created="2024-02-01")
     want = run_layers(second, run_layers(first))
     for raw in (first, second, second):
-        materialize_layers(spark, raw, database, root)
+        materialize_layers(spark, raw, database, root, suite=())
     for name in want:
         if name in ("stg_users", "stg_courses"):
             got = spark.table(name)
@@ -204,3 +206,16 @@ def test_materialized_layers_agree(spark, tmp_path):
     assert sorted(r[0] for r in parts) == [
         "event_date=2024-01-01", "event_date=2024-01-03", "event_date=2024-01-04",
     ]
+
+
+def test_failing_tests_withhold_the_reports(spark, tmp_path):
+    database, root = "gated", str(tmp_path / "gated")
+    raw = raw_tables(spark, *FIRST)
+    passing = [DataTest("fact_events", "not_null", "event_id")]
+    failing = [*passing, DataTest("fact_events", "predicate", "event_id IS NOT NULL")]
+    with pytest.raises(FailedTests, match="predicate"):
+        materialize_layers(spark, raw, database, root, suite=failing)
+    assert spark.catalog.tableExists(f"{database}.fact_events")
+    assert not spark.catalog.tableExists(f"{database}.daily_active_learners")
+    materialize_layers(spark, raw, database, root, suite=passing)
+    assert spark.table(f"{database}.daily_active_learners").count() > 0

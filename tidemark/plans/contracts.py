@@ -208,15 +208,6 @@ class Contract:
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.data_type) for f in self.fields])
 
-    @property
-    def is_master(self) -> bool:
-        return self.table in MASTER_KEYS
-
-    @property
-    def row_bytes(self) -> int:
-        """The most a row's values can take: declared text lengths plus eight bytes a number."""
-        return sum(f.length or 8 for f in self.fields)
-
 
 def contract(table: str, columns: str) -> Contract:
     """A contract from a line like ``"TagID 20, Value double"``."""

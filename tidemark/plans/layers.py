@@ -69,10 +69,15 @@ def materialize_layers(
     root: str,
     lookback: str | None = None,
     grain: str = "day",
+    suite: Sequence[DataTest] = learning.TESTS,
 ) -> None:
     """The same run on catalog tables: staging views, history, dimensions and
     reports rebuilt, events and enrollments merged into their date partitions.
 
+    Reports are built only after the tests in ``suite`` have passed on the new tables;
+    if one fails, ``FailedTests`` is raised and the reports stay as they were. An empty
+    suite builds them untested.
+
     Facts carry the first day of their ``grain`` of time, such as their month,
     as one more column, which they are partitioned by.
     """
@@ -117,10 +122,26 @@ def materialize_layers(
         by = ("event_id", "event_ts", "event_date")
         staged = merge(_stage_events(raw["events"]), "stg_events", *by, "delete+insert")
         fact = merge(learning.fact_events(staged), "fact_events", *by, "merge")
+        tables = {t: existing(t) for t in sorted({t.table for t in suite} | {t.parent for t in suite} - {None})}
+        require_passed({t: df for t, df in tables.items() if df is not None}, suite)
         for table, report in run_reports({"fact_events": fact}).items():
             rebuild(report, table)
 
 
+class FailedTests(ValueError):
+    """Declared tests that did not pass, with their counts of failures."""
+
+
+def require_passed(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> None:
+    """Raise ``FailedTests`` unless every test in the suite passes, as far as its tables are there."""
+    if not suite:
+        return
+    # One row per test, so what is collected does not grow with the data.
+    failed = check_layers(tables, suite).filter("NOT passed").collect()
+    if failed:
+        raise FailedTests(", ".join(f"{r.test}: {r.failures}" for r in failed))
+
+
 def _stage_events(
     raw: DataFrame, existing: DataFrame | None = None, lookback: str | None = None
 ) -> DataFrame:

@@ -79,7 +79,11 @@ def append_table(
     create_if_absent(spark, name, df.schema, partition_by, root)
     _add_columns(spark, name, df)
     if mode == "append":
-        _by_position(df, name).write.mode("append").insertInto(name)
+        rows = _by_position(df, name)
+        if partition_by:
+            # Gathered by partition, or every task would add a file to every partition.
+            rows = rows.hint("rebalance", partition_by)
+        rows.write.mode("append").insertInto(name)
     elif mode == "replace_date":
         if partition_by is None:
             raise ValueError("replace_date needs a partitioned table")

@@ -16,12 +16,25 @@ def parse_tag_document(df: DataFrame, col: str = "data") -> DataFrame:
 
 
 def malformed(parsed: DataFrame) -> DataFrame:
-    """The envelopes whose document could not be read, with the reason."""
-    return (
-        parsed.filter(F.col("doc").isNull())
-        .drop("doc")
-        .withColumn("reasons", F.array(F.lit("malformed:data")))
+    """The envelopes of which something could not be read, with the reasons.
+
+    ``malformed:data`` if the document is no JSON object; ``malformed:<key>`` if a list
+    of child records is something else, or a master record is no object.
+    """
+    wrong = [
+        F.when(_is_wrong(key), F.lit(f"malformed:{key}")) for key in sorted(TARGET_OF)
+    ]
+    reasons = F.when(F.col("doc").isNull(), F.array(F.lit("malformed:data"))).otherwise(
+        F.array_compact(F.array(*wrong))
     )
+    return parsed.withColumn("reasons", reasons).filter(F.size("reasons") > 0).drop("doc")
+
+
+def _is_wrong(key: str, doc: str = "doc") -> Column:
+    key = KEY_ALIASES.get(key, key)
+    value = F.try_variant_get(doc, f"$.{key}", "variant")
+    wanted = "^OBJECT" if key in MASTER_KEYS else "^ARRAY"
+    return value.isNotNull() & ~F.is_variant_null(value) & ~F.schema_of_variant(value).rlike(wanted)
 
 
 def records_of(key: str, doc: str = "doc") -> Column:

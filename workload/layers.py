@@ -62,7 +62,7 @@ def materialized_layers(spark, d):
     database = f"tide_layers_{uuid.uuid4().hex[:12]}"
     root = shared_dir(spark, "layers")
     for load in _loads(spark, d):
-        materialize_layers(spark, load, database, root, grain="month")
+        materialize_layers(spark, load, database, root, grain="month", suite=())
     daily = spark.table(f"{database}.daily_active_learners")
     facts = spark.table(f"{database}.fact_enrollments").groupBy("enrollment_channel").agg(
         F.count(F.lit(1)).alias("n")
