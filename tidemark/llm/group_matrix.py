@@ -368,7 +368,8 @@ def similar_documents(
         "id", "n", F.coalesce("component", "cls").alias("root")
     )
     placed = write_through(placed, "placed")
-    least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
+    # A table of its own, so that a root with very many rows is split when it is joined.
+    least = write_through(placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least")), "least")
     return placed.join(least, "root", "left").select(
         F.col("id").alias(id),
         F.col("n").alias("n_shingles"),

@@ -264,7 +264,8 @@ def near_duplicates(
         .select("cls", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"))
     )
     placed = write_through(ready.select("row", "id", "cls").join(whole, "cls", "left"), "vector-places")
-    least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
+    # A table of its own, so that a root with very many rows is split when it is joined.
+    least = write_through(placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least")), "least")
     out = placed.join(least, "root", "left").withColumn("component_id", F.coalesce("least", "id"))
     return out.select(
         F.col("id").alias(id),
