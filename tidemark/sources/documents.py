@@ -21,16 +21,18 @@ def malformed(parsed: DataFrame) -> DataFrame:
     ``malformed:data`` if the document is no JSON object; ``malformed:<key>`` if a list
     of child records is something else, or a master record is no object.
     """
-    wrong = [
-        F.when(_is_wrong(key), F.lit(f"malformed:{key}")) for key in sorted(TARGET_OF)
-    ]
-    reasons = F.when(F.col("doc").isNull(), F.array(F.lit("malformed:data"))).otherwise(
-        F.array_compact(F.array(*wrong))
-    )
+    # The document is bound once: every use of the column itself would parse the text again.
+    wrong = F.transform(
+        F.array("doc"),
+        lambda doc: F.array_compact(
+            F.array(*[F.when(_is_wrong(key, doc), F.lit(f"malformed:{key}")) for key in sorted(TARGET_OF)])
+        ),
+    )[0]
+    reasons = F.when(F.col("doc").isNull(), F.array(F.lit("malformed:data"))).otherwise(wrong)
     return parsed.withColumn("reasons", reasons).filter(F.size("reasons") > 0).drop("doc")
 
 
-def _is_wrong(key: str, doc: str = "doc") -> Column:
+def _is_wrong(key: str, doc: Column) -> Column:
     key = KEY_ALIASES.get(key, key)
     value = F.try_variant_get(doc, f"$.{key}", "variant")
     wanted = "^OBJECT" if key in MASTER_KEYS else "^ARRAY"
