@@ -7,7 +7,8 @@ import random
 from pyspark.sql import functions as F
 
 from tidemark.llm import warc
-from tidemark.llm.queries import captures, op2_warc_revisits
+from tidemark.llm.queries import OP2_SQL, captures, op2_warc_revisits
+from tools.compare import compare, duck
 
 SCHEMA = (
     "record_id long, url string, ts long, kind string, status int,"
@@ -82,6 +83,11 @@ def test_canonical_urls(spark):
     assert got == cases
 
 
+def test_query_agrees_with_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    assert compare(spark, duck(folder), op2_warc_revisits, OP2_SQL, folder) is None
+
+
 def test_query_against_plain_search(spark):
     folder = "/root/testdata/sf0.001"
     records = [

@@ -71,7 +71,7 @@ def captures(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit("")).cast("binary")), F.lit('"')).alias("tag"),
         F.concat(F.regexp_extract("url", "^(.*?://[^/?#]*)", 1), F.lit("/")).alias("root"),
         F.concat(F.lit('"'), F.regexp_extract("url", "://[^/]*/([a-z]*)", 1), F.lit('"')).alias("root_tag"),
-        F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(4)).alias("turn"),
+        F.substring(F.md5(F.col("url").cast("binary")), 1, 1).isin("0", "1", "2", "3").alias("first"),
     )
     field = lambda name, value: F.struct(F.lit(name).alias("name"), value.alias("value"))
     record = lambda k, url, kind, status, *fields: F.struct(
@@ -82,7 +82,7 @@ def captures(spark: SparkSession, d: str) -> DataFrame:
         status.alias("status"),
         F.array(*fields).alias("headers"),
     )
-    first = F.col("turn") == 0
+    first = F.col("first")
     records = F.array(
         record(0, F.col("url"), F.lit("response"), F.lit(200), field("ETag", F.col("tag")), field("Date", F.lit("a")), field("Content-Type", F.lit("text/html"))),
         record(1, F.concat("url", F.lit("#x")), F.lit("revisit"), F.lit(304), field("etag", F.concat(F.lit("W/"), "tag")), field("Date", F.lit("b")), field("Content-Type", F.lit("none"))),
@@ -101,6 +101,40 @@ def op2_warc_revisits(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+OP2_SQL = r"""
+WITH p AS (SELECT page_id, url, '"' || md5(coalesce(html, '')) || '"' AS tag,
+    regexp_extract(url, '^(.*?://[^/?#]*)', 1) || '/' AS root,
+    '"' || regexp_extract(url, '://[^/]*/([a-z]*)', 1) || '"' AS root_tag,
+    md5(url)[1] IN ('0', '1', '2', '3') AS first FROM pages WHERE url IS NOT NULL),
+r AS (SELECT page_id * 3 AS record_id, url, true AS whole_response, tag AS etag,
+    [{'n': 'etag', 'v': tag}, {'n': 'date', 'v': 'a'}, {'n': 'content-type', 'v': 'text/html'}] AS h FROM p
+  UNION ALL SELECT page_id * 3 + 1, url || '#x', false, tag,
+    [{'n': 'etag', 'v': 'W/' || tag}, {'n': 'date', 'v': 'b'}, {'n': 'content-type', 'v': 'none'}] FROM p
+  UNION ALL SELECT page_id * 3 + 2, root, first, root_tag,
+    [{'n': 'etag', 'v': root_tag}, {'n': 'age', 'v': CAST(page_id AS VARCHAR)}] FROM p),
+w AS (SELECT *, regexp_replace(trim(url), '#.*$', '') AS u FROM r),
+x AS (SELECT *, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+    lower(regexp_extract(u, '^[^:/?]+://([^/?]*)', 1)) AS host,
+    regexp_extract(u, '^[^:/?]+://[^/?]*([^?]*)', 1) AS path,
+    array_to_string(list_filter(string_split(regexp_extract(u, '^[^?]*\?(.*)$', 1), '&'),
+      lambda q: NOT starts_with(q, 'utm_') AND q <> ''), '&') AS query FROM w),
+c AS (SELECT *, CASE WHEN scheme = '' THEN u ELSE scheme || '://'
+    || CASE scheme WHEN 'http' THEN regexp_replace(host, ':80$', '')
+         WHEN 'https' THEN regexp_replace(host, ':443$', '') ELSE host END
+    || CASE path WHEN '' THEN '/' ELSE path END
+    || CASE query WHEN '' THEN '' ELSE '?' || query END END AS canonical_url FROM x),
+o AS (SELECT canonical_url AS page, record_id AS original_id, etag AS old, h AS stored FROM c WHERE whole_response),
+m AS (SELECT c.*, o.original_id, o.old, o.stored, list_filter(h, lambda f: f.n <> 'content-type') AS fresh
+  FROM c ASOF LEFT JOIN o ON c.canonical_url = o.page AND c.record_id > o.original_id WHERE NOT whole_response)
+SELECT record_id, canonical_url,
+  CASE WHEN original_id IS NULL THEN 'no_original' WHEN old = etag THEN 'resolved' ELSE 'mismatch' END AS status,
+  CASE WHEN old = etag THEN original_id END AS original_id,
+  CASE WHEN old = etag THEN array_to_string(list_transform(list_concat(
+    list_filter(stored, lambda f: NOT list_contains(list_transform(fresh, lambda g: g.n), f.n)), fresh),
+    lambda f: f.n || ': ' || f.v), chr(10)) END AS headers
+FROM m
+"""
+
 RULES = (
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -179,7 +213,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": (op1_chat_formatting, None),
-    "op2_warc_revisits": (op2_warc_revisits, None),
+    "op2_warc_revisits": (op2_warc_revisits, OP2_SQL),
     "op3_url_filters": (op3_url_filters, OP3_SQL),
     "op4_html_extraction": (op4_html_extraction, None),
     "op5_embedding_near_dedup": (op5_embedding_near_dedup, None),
