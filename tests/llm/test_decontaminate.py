@@ -72,6 +72,30 @@ def test_against_edit_distance_everywhere(spark, frame):
     assert len(got) >= 0.97 * len(want)
 
 
+def changed(item, edits, word, rng):
+    copy = item.split()
+    for _ in range(edits):
+        kind, at = rng.randrange(3), rng.randrange(len(copy))
+        copy[at : at + (kind != 1)] = [word()] * (kind != 2)
+        copy = copy or [word()]
+    return " ".join(copy)
+
+
+def test_small_benchmarks_lose_no_edited_copy(spark, frame):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(400)}"
+    for count in (1, 10):
+        items = [(k, " ".join(word() for _ in range(rng.randrange(16, 60)))) for k in range(count)]
+        docs = []
+        for k in range(200):
+            _, item = items[k % count]
+            copy = changed(item, len(item.split()) // 5, word, rng)
+            docs.append((k, " ".join(["out"] * rng.randrange(9)) + f" {copy} out"))
+        found = dc.find_contamination(frame([(*r, "", "", "") for r in docs], DOCS), frame([(*r, "", "") for r in items], ITEMS))
+        got = {(r.doc_id, r.item_id): r.edits for r in found.collect()}
+        assert got == brute(docs, items) and len(got) >= 200
+
+
 def test_blocks_of_items_and_dropping(spark, frame, monkeypatch):
     docs, items = planted(1)
     table, bench = frame([(*r, "a", "b", "c") for r in docs], DOCS), frame([(*r, "", "") for r in items], ITEMS)

@@ -1,19 +1,16 @@
 """Benchmark decontamination: item-sized windows of documents that edits turn into a benchmark item.
 
-The edit distance of word sequences is embedded into Hamming distance by a random walk
-(CGK): at every step the word under the pointer is written out, and a random bit of the
-step and the word says whether the pointer moves on. After an edit two walks fall in
-step again soon, so windows a few edits apart agree at most steps. Each table is a walk
-of its own from some place inside the item, at a word that is rare in the benchmark if
-there is one; a window is a candidate if it writes the item's words at a few sampled steps. Tables are added until windows with the most edits
-allowed are found at the target rate, which is measured on edited items. Candidates are
-verified by the exact edit distance.
+An item that may have k edits is divided into k + 1 segments of near equal length. An edit
+of a word touches one segment at most, so in any window within k edits some segment stands
+unchanged, at most k words from its place. Every window where a document has the words of a
+segment is a candidate, and candidates are verified by the exact edit distance. Nothing is
+sampled: wherever the edits are, and however few the items, all windows are found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,110 +19,56 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 
-SPANS = (8, 4, 2, 1)
-SAMPLED = 3
-MOST_TABLES = 32
+#: Segments are looked up by this many of their first words.
+LONGEST = 8
+#: Candidates and cells of their windows that are held at a time.
+CANDIDATES_AT_ONCE = 1 << 18
+CELLS_AT_ONCE = 1 << 18
 #: Items are searched for in blocks of this many, so what a task holds of them is bounded.
 ITEMS_AT_ONCE = 20_000
 
 
-@dataclass(frozen=True)
-class Table:
-    """One walk: its number and seed, and the steps sampled, of which step 0 is always one."""
+class Table(NamedTuple):
+    """Segments of one length: words they have at each place, and their sorted codes with item and offset."""
 
-    span: int
-    number: int
-    seed: int
-    steps: tuple[int, ...]
-
-
-def make_table(span: int, number: int) -> Table:
-    rng = np.random.default_rng([span, number])
-    reach = max(1, span * 3 // 2)
-    later = rng.choice(np.arange(1, reach), min(SAMPLED, reach) - 1, replace=False)
-    return Table(span, number, int(rng.integers(1 << 62)), (0, *sorted(later.tolist())))
-
-
-def _step_bits(hashes: np.ndarray, table: Table, step: int) -> np.ndarray:
-    factor = words.mix(np.array([table.seed + step], dtype=np.uint64))[0] | np.uint64(1)
-    return ((hashes * factor) >> np.uint64(63)).astype(np.int8)
-
-
-def walk(hashes: np.ndarray, table: Table) -> np.ndarray:
-    """Positions read at the sampled steps by the walk from word 0; may run past the end."""
-    at, out = 0, []
-    for step in range(table.steps[-1] + 1):
-        if step in table.steps:
-            out.append(at)
-        if at < len(hashes):
-            at += int(_step_bits(hashes[at : at + 1], table, step)[0])
-    return np.array(out)
+    allowed: list[np.ndarray]
+    codes: np.ndarray
+    items: np.ndarray
+    offsets: np.ndarray
 
 
 class Index:
-    """The items of one block, coded by every table."""
+    """The items of one block and their segments."""
 
-    def __init__(self, items: list[np.ndarray], similarity: float, target: float) -> None:
+    def __init__(self, items: list[np.ndarray], similarity: float) -> None:
+        if not 0 < similarity <= 1:
+            raise ValueError(f"similarity must be above 0 and at most 1, not {similarity}")
         self.items = [i for i in items]
         self.edits = [int((1 - similarity) * len(i) + 1e-9) for i in items]
-        spans = {s: [k for k, i in enumerate(items) if self._span(i) == s] for s in SPANS}
         self.vocabulary = np.unique(np.concatenate([*items, np.zeros(0, np.uint64)]))
         self.seen = np.zeros(1 << 20, dtype=bool)
         self.seen[self.vocabulary >> np.uint64(44)] = True
-        _, back, times = np.unique(np.concatenate([*items, np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
-        ends = np.cumsum([len(i) for i in items], dtype=np.int64)
-        #: Where walks begin in each item: at words that are rare in the benchmark first.
-        self.places = [np.argsort(times[back[e - len(i) : e]], kind="stable") for i, e in zip(items, ends)]
-        self.tables = []
-        for span, members in spans.items():
-            if members:
-                self.tables += self._enough(span, members, target)
-
-    @staticmethod
-    def _span(item: np.ndarray) -> int:
-        return next((s for s in SPANS if s <= len(item)), 0)
-
-    def _coded(self, table: Table, members: list[int]) -> tuple:
-        """For each sampled step the words that items have there; codes of all steps, sorted, with item and offset."""
-        rows = []
-        for k in members:
-            item, places = self.items[k], self.places[k]
-            for turn in range(len(places)):
-                offset = int(places[(table.number + turn) % len(places)])
-                at = walk(item[offset:], table) + offset
-                if at[-1] < len(item):
-                    rows.append((k, offset, np.searchsorted(self.vocabulary, item[at]) + 1))
-                    break
-        symbols = np.array([r[2] for r in rows]).reshape(len(rows), len(table.steps))
+        segments: dict[int, list[tuple]] = {}
+        for k, (item, edits) in enumerate(zip(items, self.edits)):
+            symbols = np.searchsorted(self.vocabulary, item) + 1
+            ends = [len(item) * i // (edits + 1) for i in range(edits + 2)]
+            for begin, end in zip(ends[:-1], ends[1:]):
+                length = min(end - begin, LONGEST)
+                if length:
+                    segments.setdefault(length, []).append((k, begin, symbols[begin : begin + length]))
+        self.tables = [self._coded(rows) for _, rows in sorted(segments.items())]
+
+    def _coded(self, rows: list[tuple]) -> Table:
+        symbols = np.array([r[2] for r in rows])
         allowed = []
-        for j in range(len(table.steps)):
+        for j in range(symbols.shape[1]):
             mask = np.zeros(len(self.vocabulary) + 1, dtype=bool)
             mask[symbols[:, j]] = True
             allowed.append(mask)
         codes = _fold(symbols.T)
         order = np.argsort(codes, kind="stable")
-        return (
-            table, allowed, codes[order],
-            np.array([r[0] for r in rows], dtype=np.int64)[order],
-            np.array([r[1] for r in rows], dtype=np.int64)[order],
-        )
-
-    def _enough(self, span: int, members: list[int], target: float) -> list[tuple]:
-        """Tables until edited items are found at the target rate; at most 400 items are edited for that."""
-        rng = np.random.default_rng(span)
-        tried = [members[i] for i in np.linspace(0, len(members) - 1, min(400, len(members))).astype(int)]
-        texts = [_edited(self.items[k], self.edits[k], self.vocabulary, rng) for k in tried]
-        hashes = np.concatenate(texts)
-        first = np.cumsum([0, *(len(t) for t in texts)])
-        found: set[int] = set()
-        tables = []
-        for number in range(MOST_TABLES):
-            tables.append(self._coded(make_table(span, number), members))
-            rows, _, items = self.candidates(hashes, first, tables[-1:])
-            found |= {int(r) for r, k in zip(rows, items) if tried[r] == k}
-            if len(found) >= target * len(tried):
-                break
-        return tables
+        item, offset = (np.array([r[i] for r in rows], dtype=np.int64)[order] for i in (0, 1))
+        return Table(allowed, codes[order], item, offset)
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """1 and up for words of any item, 0 for others."""
@@ -136,66 +79,66 @@ class Index:
             out[maybe] = np.where(self.vocabulary[place] == hashes[maybe], place + 1, 0)
         return out
 
-    def candidates(self, hashes: np.ndarray, first: np.ndarray, tables: list[tuple]) -> np.ndarray:
-        """Rows (row, start of the window, item) of all windows that agree with an item in a table."""
-        ids = self.ids(hashes)
-        found = [np.zeros((3, 0), dtype=np.int64)]
-        longest = max((t[0].steps[-1] for t in tables), default=0) + 1
-        h = np.r_[hashes, np.zeros(longest, dtype=np.uint64)]
-        s = np.r_[ids, np.zeros(longest, dtype=np.int32)]
-        begins = np.zeros(len(self.vocabulary) + 1, dtype=bool)
-        for t in tables:
-            begins |= t[1][0]
-        some = np.flatnonzero(begins[ids])
-        for table, allowed, codes, item, offset in tables:
-            pad = table.steps[-1] + 1
-            origin = some[allowed[0][ids[some]]]
-            at, read = origin, [s[origin]]
-            for step in range(pad):
-                if step and step in table.steps:
-                    symbol = s[at]
-                    keep = allowed[len(read)][symbol]
-                    origin, at, read = origin[keep], at[keep], [r[keep] for r in read]
-                    read.append(symbol[keep])
-                if not len(at):
-                    break
-                at = at + _step_bits(h[at], table, step)
-            if not len(at):
-                continue
-            code = _fold(np.array(read))
-            lo, hi = np.searchsorted(codes, code), np.searchsorted(codes, code, side="right")
-            many = hi - lo
-            which = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            begin = np.repeat(origin, many)
-            row = np.searchsorted(first, begin, side="right") - 1
-            found.append(np.stack([row, begin - offset[which], item[which]]))
-        whole = np.concatenate(found, axis=1)
-        whole = whole[:, np.lexsort(whole)]
-        fresh = np.ones(whole.shape[1], dtype=bool)
-        fresh[1:] = (whole[:, 1:] != whole[:, :-1]).any(axis=0)
-        return whole[:, fresh]
+    def candidates(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows (row, start of the window, item) of all windows that have a segment of an item, a bounded number at a time."""
+        ids = np.r_[self.ids(hashes), np.zeros(LONGEST, dtype=np.int32)]
+        some = np.flatnonzero(ids)
+        hits = [np.zeros((4, 0), dtype=np.int64)]
+        for number, table in enumerate(self.tables):
+            at = some
+            for j, mask in enumerate(table.allowed):
+                at = at[mask[ids[at + j]]]
+            code = _fold(ids[at + np.arange(len(table.allowed))[:, None]])
+            lo, hi = np.searchsorted(table.codes, code), np.searchsorted(table.codes, code, side="right")
+            hits.append(np.stack([at, np.full(len(at), number), lo, hi - lo])[:, hi > lo])
+        hit = np.concatenate(hits, axis=1)
+        hit = hit[:, np.argsort(hit[0], kind="stable")]
+        part = np.cumsum(hit[3]) // CANDIDATES_AT_ONCE
+        for some in np.split(hit, np.flatnonzero(np.diff(part)) + 1, axis=1):
+            found = [np.zeros((3, 0), dtype=np.int64)]
+            for number, table in enumerate(self.tables):
+                at, _, lo, many = some[:, some[1] == number]
+                which = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                begin = np.repeat(at, many)
+                row = np.searchsorted(first, begin, side="right") - 1
+                found.append(np.stack([row, begin - table.offsets[which], table.items[which]]))
+            whole = np.concatenate(found, axis=1)
+            whole = whole[:, np.lexsort(whole)]
+            fresh = np.ones(whole.shape[1], dtype=bool)
+            fresh[1:] = (whole[:, 1:] != whole[:, :-1]).any(axis=0)
+            yield whole[:, fresh]
 
     def matches(self, w: words.Words) -> tuple[np.ndarray, ...]:
         """(row, item, edits, start) of every row's best window for each item it holds."""
-        hashes = w.hashes
-        rows, starts, items = self.candidates(hashes, w.first, self.tables)
+        best = [np.zeros((4, 0), dtype=np.int64)]
+        for found in self.candidates(w.hashes, w.first):
+            best.append(_best(np.concatenate([best.pop(), self._verified(w, *found)], axis=1)))
+        rows, items, edits, starts = best[0]
+        return rows, items, edits, np.maximum(starts - w.first[rows], 0)
+
+    def _verified(self, w: words.Words, rows: np.ndarray, starts: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """Rows (row, item, edits, start) of the candidates with no more edits than their items may have."""
         edits = np.full(len(starts), 1 << 30)
         most = np.array(self.edits, dtype=np.int64)[items] if len(items) else items
         lengths = np.array([len(self.items[k]) for k in items], dtype=np.int64)
         for n in np.unique(lengths):
             group = np.flatnonzero(lengths == n)
-            for part in np.array_split(group, -(-len(group) // 2048)):
-                k = int(most[part[0]])
+            k = int(most[group[0]])
+            size = max(1, CELLS_AT_ONCE // int(n + 2 * k))
+            for part in np.split(group, range(size, len(group), size)):
                 window = starts[part][:, None] + np.arange(-k, n + k)[None, :]
                 inside = (window >= w.first[rows[part]][:, None]) & (window < w.first[rows[part] + 1][:, None])
-                text = np.where(inside, hashes[np.clip(window, 0, max(len(hashes) - 1, 0))], np.uint64(0))
+                text = np.where(inside, w.hashes[np.clip(window, 0, max(len(w.hashes) - 1, 0))], np.uint64(0))
                 edits[part] = least_edits(np.stack([self.items[i] for i in items[part]]), text)
-        good = np.flatnonzero(edits <= most)
-        order = good[np.lexsort((starts[good], edits[good], items[good], rows[good]))]
-        first = np.ones(len(order), dtype=bool)
-        first[1:] = (rows[order][1:] != rows[order][:-1]) | (items[order][1:] != items[order][:-1])
-        order = order[first]
-        return rows[order], items[order], edits[order], np.maximum(starts[order] - w.first[rows[order]], 0)
+        return np.stack([rows, items, edits, starts])[:, edits <= most]
+
+
+def _best(found: np.ndarray) -> np.ndarray:
+    """Of rows (row, item, edits, start) the one with the fewest edits, then the earliest, by row and item."""
+    found = found[:, np.lexsort(found[::-1])]
+    fresh = np.ones(found.shape[1], dtype=bool)
+    fresh[1:] = (found[:2, 1:] != found[:2, :-1]).any(axis=0)
+    return found[:, fresh]
 
 
 def _fold(symbols: np.ndarray) -> np.ndarray:
@@ -205,21 +148,6 @@ def _fold(symbols: np.ndarray) -> np.ndarray:
     return code
 
 
-def _edited(item: np.ndarray, edits: int, vocabulary: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """The item after ``edits`` random changes, insertions and deletions of words."""
-    out = item.tolist()
-    for _ in range(edits):
-        kind, at = rng.integers(3), int(rng.integers(len(out)))
-        word = vocabulary[rng.integers(len(vocabulary))]
-        if kind == 0:
-            out[at] = word
-        elif kind == 1:
-            out.insert(at, word)
-        elif len(out) > 1:
-            del out[at]
-    return np.array(out, dtype=np.uint64)
-
-
 def least_edits(items: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """Least edit distance of each row of ``items`` to any stretch of the same row of ``texts``."""
     count, width = texts.shape
@@ -233,14 +161,14 @@ def least_edits(items: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return row.min(axis=1)
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, similarity: float, target: float, text: str, item: str) -> Iterator:
+def _indexes(docs: DataFrame, benchmark: DataFrame, similarity: float, text: str, item: str) -> Iterator:
     """Broadcast indexes of the benchmark, ``ITEMS_AT_ONCE`` items each, with the items' ids."""
     items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
     blocks = max(1, -(-items.count() // ITEMS_AT_ONCE))
     for block in range(blocks):
         held = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").toArrow()
         w = words.tokenize(held.column("text").combine_chunks())
-        index = Index([w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:])], similarity, target)
+        index = Index([w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:])], similarity)
         yield docs.sparkSession.sparkContext.broadcast((index, held.column("item").combine_chunks()))
 
 
@@ -258,8 +186,8 @@ def find_contamination(
     An item of ``n_words`` words is contained if some stretch of the document is at
     most (1 - ``similarity``) * n_words word edits away from it; ``edits`` is the least
     distance found, ``start`` the word where that window begins. Words are split at
-    white space, A-Z count as a-z. A window with no edits is always found, one with the
-    most edits allowed at the rate ``target``.
+    white space, A-Z count as a-z. All windows with no more edits than allowed are found,
+    so any rate ``target`` is met; it is kept for callers that name one.
 
     Items without words are in no document, texts without words hold none. Repeated
     rows give a row each, items that repeat are reported each, null ids stay null.
@@ -269,7 +197,7 @@ def find_contamination(
     ids = dict(docs.dtypes)[id], dict(benchmark.dtypes)[item]
     slim = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     found = None
-    for shared in _indexes(docs, benchmark, similarity, target, text, item):
+    for shared in _indexes(docs, benchmark, similarity, text, item):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
@@ -297,7 +225,7 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, target: float = 0.99, text: str = "text", item: str = "item_id"
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that contain no benchmark item; see ``find_contamination``."""
-    for shared in _indexes(docs, benchmark, similarity, target, text, item):
+    for shared in _indexes(docs, benchmark, similarity, text, item):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value[0]
