@@ -96,6 +96,21 @@ def test_small_benchmarks_lose_no_edited_copy(spark, frame):
         assert got == brute(docs, items) and len(got) >= 200
 
 
+def test_blocks_of_edits_anywhere(spark, frame):
+    rng = random.Random(6)
+    for count in (1, 40):
+        items = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(16, 60)))) for k in range(count)]
+        docs = []
+        for k, item in items:
+            w = item.split()
+            n = len(w) // 5
+            for at in (0, (len(w) - n) // 2, len(w) - n):
+                docs.append((len(docs), " ".join([*w[:at], *["other"] * n, *w[at + n :]])))
+                docs.append((len(docs), " ".join([*w[:at], *w[at + n :]])))
+        found = dc.find_contamination(frame([(*r, "", "", "") for r in docs], DOCS), frame([(*r, "", "") for r in items], ITEMS))
+        assert {(r.doc_id, r.item_id): r.edits for r in found.collect()} == brute(docs, items)
+
+
 def test_blocks_of_items_and_dropping(spark, frame, monkeypatch):
     docs, items = planted(1)
     table, bench = frame([(*r, "a", "b", "c") for r in docs], DOCS), frame([(*r, "", "") for r in items], ITEMS)
