@@ -111,6 +111,14 @@ def test_blocks_of_edits_anywhere(spark, frame):
         assert {(r.doc_id, r.item_id): r.edits for r in found.collect()} == brute(docs, items)
 
 
+def test_exact_copies_of_short_items(spark, frame):
+    rng = random.Random(7)
+    items = [(k, " ".join(f"w{rng.randrange(9000)}" for _ in range(2 + k % 2))) for k in range(2000)]
+    docs = [(k, f"x {item} y") for k, item in items]
+    found = dc.find_contamination(frame([(*r, "", "", "") for r in docs], DOCS), frame([(*r, "", "") for r in items], ITEMS))
+    assert {(k, k) for k, _ in items} <= {(r.doc_id, r.item_id) for r in found.collect()}
+
+
 def test_blocks_of_items_and_dropping(spark, frame, monkeypatch):
     docs, items = planted(1)
     table, bench = frame([(*r, "a", "b", "c") for r in docs], DOCS), frame([(*r, "", "") for r in items], ITEMS)
