@@ -36,6 +36,24 @@ def test_blocks(source, blocks):
     assert [t for _, t in parse(source).blocks] == blocks
 
 
+@pytest.mark.parametrize(
+    "source,blocks",
+    [
+        ("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds", ["if x=1 holds"]),
+        ("<p>a</p><object data=x>fallback</object><p>b", ["a", "fallback", "b"]),
+        ("<p>a <svg><path d=z /></svg> b <noscript>c</noscript> d", ["a b c d"]),
+        ("<svg/>a <canvas>b</canvas><p>c", ["a b", "c"]),
+        ("<noscript>a<p>b</p></noscript><svg><text>c</text></svg>", ["a", "b", "c"]),
+        ("<p>a</p><noscript>b<p>c", ["a", "b", "c"]),
+        ("<p>a</p><object><div>b</div><svg>c<p>d", ["a", "b", "c", "d"]),
+        ("<template>x</template><p>a</p><template><p>b", ["a", "b"]),
+        ("<iframe src=x>a</iframe><p>b<iframe>", ["a", "b"]),
+    ],
+)
+def test_no_text_of_other_tags_is_lost(source, blocks):
+    assert [t for _, t in parse(source).blocks] == blocks
+
+
 def test_decoder_finds_the_best_labels_without_contradictions():
     rng = np.random.default_rng(1)
     page = parse("<div><p>a</p><div><p>b</p><ul><li>c</li></ul></div></div><p>d</p>")

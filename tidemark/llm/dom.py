@@ -17,10 +17,15 @@ _CODE = {t: i for i, t in enumerate(TAGS)} | {
 }
 _OTHER = len(TAGS)
 _BLOCK = {*_CODE, "dl", "dt", "dd", "address", "fieldset", "details", "summary", "dialog", "button", "select",
-          "option", "label", "textarea", "tbody", "thead", "tfoot", "caption", "iframe", "hgroup", "search"}
-_SILENT = {"script", "style", "template", "noscript", "svg", "math", "object", "iframe", "canvas"}
+          "option", "label", "textarea", "tbody", "thead", "tfoot", "caption", "iframe", "hgroup", "search",
+          "noscript", "svg", "object", "canvas"}
+#: Their insides are no text. The first two go on to the end of the page if nothing closes them.
+_SILENT = {"script", "style", "template"}
+_RAW = {"script", "style"}
+#: Nodes where a block begins; within a block that has text they are inline.
+_EITHER = {"iframe", "noscript", "svg", "object", "canvas"}
 _VOID_BLOCK = {"hr"}
-_CLOSES_P = _BLOCK - {"option", "label", "button", "select", "textarea", "tr", "td", "th", "tbody", "thead", "tfoot"}
+_CLOSES_P = _BLOCK - {"option", "label", "button", "select", "textarea", "tr", "td", "th", "tbody", "thead", "tfoot"} - _EITHER
 _LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
          "body": {"head", "title"}}
@@ -121,7 +126,9 @@ def parse(html: str) -> Page:
         elif name in _SILENT:
             if not m[3].endswith("/"):
                 close = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
-                at = close.end() if close else end
+                at = close.end() if close else end if name in _RAW else at
+        elif name in _EITHER and (m[3].endswith("/") or any(t.strip() for t in held)):
+            continue
         elif name in _VOID_BLOCK:
             flush()
             close_until({"p"}, {"div", "td", "section", "article"})

@@ -195,7 +195,7 @@ def extract_main_text(
     """(id, url, text, n_chars) for every row of ``pages``: blocks of main text, two line feeds between.
 
     The whole page is read. White space in a block is one space; character references
-    are decoded; scripts, styles and comments of the markup are no text. A null or empty
+    are decoded; scripts, styles, templates and comments of the markup are no text. A null or empty
     page, or one without main text, gives an empty text; ``n_chars`` counts code points.
     Rows that repeat are each extracted, ids and urls may be null. Columns of other
     names are ignored; an empty table gives no rows.
