@@ -101,6 +101,36 @@ def test_text_known_by_construction(spark, frame):
     assert html_main.extract_main_text(frame([], SCHEMA)).count() == 0
 
 
+def test_subheadings_tables_and_figures_are_main_text():
+    pool = [f"word{k}" for k in range(300)]
+    trees = html_main.fit_layouts([f"<p>{' '.join(pool[i * n % 300] for i in range(n))}." for n in range(3, 80)])
+    rng = np.random.default_rng(4)
+    text = lambda a, b: " ".join(pool[i] for i in rng.integers(300, size=rng.integers(a, b + 1)))
+    rich = {
+        "table": lambda: "<table>" + "".join(f"<tr><th>{text(1, 3)}<td>{text(1, 3)}<td>{text(1, 3)}" for _ in range(rng.integers(2, 30))) + "</table>",
+        "list": lambda: f"<h3>{text(1, 4)}</h3><ul>" + "".join(f"<li>{text(1, 5)}" for _ in range(5)) + "</ul>",
+        "section": lambda: f"<h4>{text(1, 4)}</h4><p>{text(10, 60)}</p><h6>{text(1, 3)}</h6><p>{text(5, 30)}</p>",
+        "terms": lambda: "<dl>" + "".join(f"<dt>{text(1, 3)}<dd>{text(1, 12)}" for _ in range(8)) + "</dl>",
+        "pre": lambda: f"<pre><code>{text(5, 80)}</code></pre>",
+        "figure": lambda: f"<figure><img><figcaption>{text(1, 15)}</figcaption></figure>",
+        "object": lambda: f"<object>{text(1, 15)}</object>",
+    }
+    menu = "<ul>" + "".join(f"<li><a href=/{w}>{w}</a></li>" for w in pool[:6]) + "</ul>"
+    for kind, make in rich.items():
+        pages, want = [], []
+        for k in range(60):
+            inner = f"<h1>{text(2, 6)}</h1>" + "".join(f"<p>{text(10, 60)}.</p>" for _ in range(rng.integers(0, 4)))
+            inner += "".join(make() for _ in range(rng.integers(1, 4)))
+            region = ("article", "div class=content", "main", "div id=main")[k % 4]
+            pages.append(
+                f"<html><head><title>{text(2, 6)}</title></head><body><nav>{menu}</nav><{region}>{inner}</{region.split()[0]}>"
+                f"<aside><h3>{text(1, 3)}</h3>{menu}</aside><footer>{text(3, 20)}</footer></body></html>"
+            )
+            want.append([t for _, t in parse(inner).blocks])
+        got = html_main.main_blocks(pages, trees)
+        assert sum(g == w for g, w in zip(got, want)) >= 58, kind
+
+
 def test_query_against_the_articles(spark):
     import duckdb
 

@@ -97,6 +97,42 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
         else:
             links('ul class="share"', 2, 5)
 
+    def special(text: str) -> None:
+        """Main text in a table, figure, list of terms, preformatted block or object."""
+        parts = [escape(t) for t in text.split(". ")]
+        kind = _named(rng, "table", "figure", "dl", "pre", "object")
+        if kind == "table":
+            tags = [put(_named(rng, "div", "div class=table"), main=True)] if rng.random() < 0.4 else []
+            tags.append(put("table", main=True))
+            linked = rng.random() < 0.3
+            if rng.random() < 0.3:
+                leaf("caption", escape(_words(rng, pool, 1, 6)), True)
+            if rng.random() < 0.5:
+                tags.append(put("tbody", main=True))
+            wide = rng.integers(1, 5)
+            for k in range(rng.integers(1, 6)):
+                row = put("tr", main=True)
+                for j in range(wide):
+                    cell = parts[(k * wide + j) % len(parts)] if rng.random() < 0.3 else escape(_words(rng, pool, 1, 5))
+                    if linked and rng.random() < 0.5:
+                        cell = f'<a href="/x">{cell}</a>'
+                    leaf("th" if k == 0 or (j == 0 and rng.random() < 0.2) else "td", cell, True)
+                end(row)
+            for tag in tags[::-1]:
+                end(tag)
+        elif kind == "figure":
+            holder = put("figure", "<img src=a.png>", True)
+            leaf("figcaption", escape(_words(rng, pool, 1, 25)), True)
+            end(holder)
+        elif kind == "dl":
+            holder = put("dl", main=True)
+            for part in parts:
+                leaf("dt", escape(_words(rng, pool, 1, 4)), True)
+                leaf("dd", part, True)
+            end(holder)
+        else:
+            leaf(_named(rng, "pre", "pre class=code") if kind == "pre" else _named(rng, "object data=a", "svg", "canvas"), parts[0], True)
+
     name = put(f"html lang={_named(rng, 'en', 'de')}")
     head = put("head")
     leaf("title", escape(title))
@@ -115,12 +151,17 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
     )
     if rng.random() < 0.9:
         leaf(_named(rng, "h1", "h2"), escape(title), True)
+    sub, rich = _named(rng, (0.05, 0.0), (0.2, 0.06), (0.35, 0.2))
     for i, text in enumerate(paragraphs):
         if rng.random() < often / 6:
             junk(_named(rng, "advert", "share", "notice", "side", "form"))
         kind = rng.random()
         if kind < 0.05:
             leaf("h2", escape(_words(rng, pool, 1, 6)), True)
+        elif kind < sub:
+            leaf(_named(rng, "h3", "h3", "h4", "h5", "h6"), escape(_words(rng, pool, 1, 6)), True)
+        if rng.random() < rich:
+            special(text)
         if kind > 0.95:
             holder = put(_named(rng, "ul", "ol"), main=True)
             for part in text.split(". "):
