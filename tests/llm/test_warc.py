@@ -60,6 +60,17 @@ def test_against_plain_search(spark, frame):
     assert warc.resolve_revisits(frame([], SCHEMA)).count() == 0
 
 
+def test_times_that_are_not_whole_numbers(spark, frame):
+    tag = [("etag", '"1"')]
+    at = [(1, 1.0, "response"), (2, 1.25, "response"), (3, 1.5, "revisit"), (4, 1.5, "response"), (5, 1.75, "revisit"), (6, 1.0, "revisit")]
+    rows = [(k, "http://h/", ts, kind, 200, tag, "m", "c") for k, ts, kind in at]
+    table = frame(rows, SCHEMA.replace("ts long", "ts double"))
+    want = {3: 2, 5: 4, 6: None}
+    for kind in ("double", "timestamp"):
+        got = warc.resolve_revisits(table.withColumn("ts", F.col("ts").cast(kind))).collect()
+        assert {r.record_id: r.original_id for r in got} == want
+
+
 def test_headers_that_may_change(spark, frame):
     old = [("Content-Type", "text/html"), ("Age", "1"), ("ETag", '"a"'), ("Set-Cookie", "x"), ("set-cookie", "y")]
     new = [("etag", '"a"'), ("content-type", "no"), ("AGE", "2"), ("Connection", "close"), ("Vary", "v")]

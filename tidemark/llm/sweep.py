@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.session import write_through
 
 
-def latest_mark(points: DataFrame, marks: DataFrame, key: list[str], tie: list[str]) -> DataFrame:
-    """``points`` with column ``mark``: that of the last row of ``marks`` with key <= theirs.
+def latest_mark(points: DataFrame, marks: DataFrame, key: list[str], tie: list[str], strict: bool = False) -> DataFrame:
+    """``points`` with column ``mark``: that of the last row of ``marks`` with key <= theirs, or < if ``strict``.
 
     ``marks`` has the columns of ``key`` and a column ``mark``. At equal keys marks
-    come first; of several, the one with the greatest ``mark`` is the last. ``tie``
+    come first, or last if ``strict``; of several, the one with the greatest ``mark`` is the last. ``tie``
     names columns of ``points`` that tell rows of one key apart, so a key that
     holds many rows is spread over several ranges. Points before every mark get NULL.
 
@@ -22,6 +22,7 @@ def latest_mark(points: DataFrame, marks: DataFrame, key: list[str], tie: list[s
     """
     spark = points.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mark_kind = 2 if strict else 0
     kinds = dict(marks.select("mark").dtypes)
     rows = points.select(
         *key,
@@ -31,7 +32,7 @@ def latest_mark(points: DataFrame, marks: DataFrame, key: list[str], tie: list[s
         F.lit(None).cast(kinds["mark"]).alias("mark"),
     )
     events = rows.unionByName(
-        marks.select(*key, F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"), "mark"),
+        marks.select(*key, F.lit(mark_kind).alias("_kind"), F.lit(0).cast("long").alias("_tie"), "mark"),
         allowMissingColumns=True,
     )
     order = [*key, "_kind", "_tie", "mark"]
@@ -43,8 +44,8 @@ def latest_mark(points: DataFrame, marks: DataFrame, key: list[str], tie: list[s
         dealt.groupBy("_range")
         .agg(
             F.max_by(
-                F.when(F.col("_kind") == 0, F.col("mark")),
-                F.when(F.col("_kind") == 0, F.struct(*key, "mark")),
+                F.when(F.col("_kind") == mark_kind, F.col("mark")),
+                F.when(F.col("_kind") == mark_kind, F.struct(*key, "mark")),
             ).alias("_end")
         )
         .select(

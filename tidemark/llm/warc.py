@@ -97,11 +97,11 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         "kind = 'response' AND code = 200 AND canonical_url IS NOT NULL AND ts IS NOT NULL"
     ).select(
         "canonical_url",
-        (F.col("ts") + 1).alias("ts"),
+        "ts",
         F.struct("record_id", F.col("canonical_url").alias("page"), "headers").alias("mark"),
     )
     points = placed.withColumn("at", F.col("ts"))
-    found = latest_mark(points, originals, ["canonical_url", "ts"], ["record_id", "url"])
+    found = latest_mark(points, originals, ["canonical_url", "ts"], ["record_id", "url"], strict=True)
     found = found.withColumn(
         "mark", F.when(F.col("mark.page") == F.col("canonical_url"), F.col("mark"))
     ).drop("at")
