@@ -82,6 +82,14 @@ def test_keep_one(spark, frame):
     assert {r.doc_id for r in kept.collect()} == want | {None}
 
 
+def test_keep_one_row_of_each_text_under_repeated_ids(spark, frame):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    rows = [(3, a), (5, a), (5, b), (7, b), (3, a), (7, b), (9, ""), (9, ""), (None, a)]
+    kept = group_matrix.keep_one(frame([(*r, "x", "y", "z") for r in rows], SCHEMA)).collect()
+    got = sorted((str(r.doc_id), r.text) for r in kept)
+    assert got == [("3", a), ("5", b), ("9", ""), ("9", ""), ("None", a)]
+
+
 def test_empty(spark, frame):
     assert group_matrix.similar_documents(frame([], SCHEMA)).count() == 0
     blank = frame([(2, None, "", "", ""), (1, "", "", "", "")], SCHEMA)

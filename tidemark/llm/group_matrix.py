@@ -378,10 +378,15 @@ def similar_documents(
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, all columns, that stand for their component: those with its smallest id.
+    """The rows of ``docs``, all columns, that stand for their component: one row of each, with its smallest id.
 
-    Rows without an id are kept; rows that repeat an id are one document and stay together.
+    Every row is judged by its own text: of rows that repeat an id, those of one component
+    keep one row, those of others their own. Rows without an id are kept.
     """
-    found = similar_documents(docs, n, percent, text, id)
-    spare = found.filter(F.col(id) != F.col("component_id")).select(id).distinct()
-    return docs.join(spare, id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = "_" * (1 + max(map(len, docs.columns)))
+    numbered = write_through(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col(f"`{id}`").alias("id"), F.col(row).alias("row")).alias("key")
+    named = numbered.filter(F.col(f"`{id}`").isNotNull()).select(key, F.col(f"`{text}`").alias("text"))
+    found = similar_documents(named, n, percent, "text", "key")
+    spare = found.filter("key <> component_id").select(F.col("key.row").alias(row))
+    return numbered.join(spare, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
