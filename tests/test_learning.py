@@ -219,3 +219,14 @@ def test_failing_tests_withhold_the_reports(spark, tmp_path):
     assert not spark.catalog.tableExists(f"{database}.daily_active_learners")
     materialize_layers(spark, raw, database, root, suite=passing)
     assert spark.table(f"{database}.daily_active_learners").count() > 0
+
+
+def test_registered_layers_are_gated(spark, monkeypatch):
+    from tidemark.plans import layers as plans
+    from workload import layers
+
+    ran = []
+    gate = plans.require_passed
+    monkeypatch.setattr(plans, "require_passed", lambda tables, suite: (ran.append({t.kind for t in suite}), gate(tables, suite)))
+    layers.materialized_layers(spark, "/root/testdata/sf0.001")
+    assert ran == [{"not_null", "unique"}] * 2

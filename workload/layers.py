@@ -58,11 +58,12 @@ def layers_data_tests(spark, d):
 
 
 def materialized_layers(spark, d):
-    """Both loads into catalog tables; the report is read back."""
+    """Both loads into catalog tables, reports gated by the tests of keys; the report is read back."""
+    suite = [t for t in TESTS if t.kind in ("not_null", "unique")]
     database = f"tide_layers_{uuid.uuid4().hex[:12]}"
     root = shared_dir(spark, "layers")
     for load in _loads(spark, d):
-        materialize_layers(spark, load, database, root, grain="month", suite=())
+        materialize_layers(spark, load, database, root, grain="month", suite=suite)
     daily = spark.table(f"{database}.daily_active_learners")
     facts = spark.table(f"{database}.fact_enrollments").groupBy("enrollment_channel").agg(
         F.count(F.lit(1)).alias("n")
