@@ -100,7 +100,7 @@ def test_the_second_of_two_writers_fails(spark, tmp_path):
     stale = t.manifest()
     t.append(frame(spark, (2, "b", "2024-01-01")))
     with pytest.raises(versions.CommitConflict):
-        t._commit(versions.Manifest(stale.version + 1, stale.schema, None, {}))
+        t.commit(versions.Manifest(stale.version + 1, stale.schema, None, {}))
     assert t.read().count() == 2
 
 
@@ -157,14 +157,15 @@ import sys
 sys.path.insert(0, {repo!r})
 from pyspark.sql import functions as F
 from tidemark.session import build_session
-from tidemark.sinks.versions import incremental_version
+from tidemark.sinks.versions import VersionedTable, incremental_version
 
 spark = build_session("one of two", "local[2]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": {shared!r},
     "spark.sql.warehouse.dir": {shared!r} + "/" + sys.argv[1], "spark.sql.shuffle.partitions": "2"}})
 rows = spark.range(int(sys.argv[2])).select("id", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 5 as int))").alias("ts"))
 rows = rows.withColumn("day", F.to_date("ts")).withColumn("run", F.lit(sys.argv[1]))
 rows = rows.withColumn("ts", F.when(F.col("id") >= 10, F.expr("ts + interval 9 days")).otherwise(F.col("ts")))
-t = incremental_version(rows, {root!r}, "id", "ts", partition_by="day", partition_follows_ts=False)
+incremental_version(rows, {root!r}, "id", "ts", partition_by="day", partition_follows_ts=False)
+t = VersionedTable(spark, {root!r})
 print(sorted(map(tuple, t.read().groupBy("run").count().collect())))
 """
 
@@ -182,7 +183,59 @@ def test_state_outlives_the_session(spark, tmp_path):
 
 
 def test_only_the_last_partition_is_read_for_the_mark(spark, tmp_path):
-    t = versions.incremental_version(days(spark), str(tmp_path), "k", "d", partition_by="d", partition_follows_ts=True)
+    versions.incremental_version(days(spark), str(tmp_path), "k", "d", partition_by="d", partition_follows_ts=True)
     more = days(spark, 10, 10).withColumn("k", F.col("k") + 10**6)
-    t = versions.incremental_version(more, str(tmp_path), "k", "d", partition_by="d", partition_follows_ts=True)
+    t = VersionedTable(spark, str(tmp_path))
+    versions.incremental_version(more, str(tmp_path), "k", "d", partition_by="d", partition_follows_ts=True)
     assert t.read().filter("k >= 1000000").select("d").distinct().count() == 2
+
+
+def test_a_version_is_looked_at_before_it_is_published(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path))
+    first = t.replace(frame(spark, (1, "a", "2024-01-01")), "d", publish=False)
+    assert not t.exists() and t.read(first).count() == 1
+    t.commit(first)
+    pending = t.merge(frame(spark, (1, "b", "2024-01-02")), "k", publish=False)
+    assert rows(t.read(pending), "v") == [("b",)] and rows(t.read(), "v") == [("a",)]
+    t.commit(pending)
+    assert rows(t.read(), "v") == [("b",)]
+
+
+def look(spark, *data):
+    return spark.createDataFrame(data, "k int, v string, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+def test_history_rewrites_no_settled_file(spark, tmp_path):
+    from tidemark.operators.snapshot import snapshot
+    from tidemark.sinks.history import OPEN, SETTLED, read_history, snapshot_version
+
+    looks = [
+        look(spark, (1, "a", "2024-01-01"), (2, "b", "2024-01-01"), (3, "c", "2024-01-01"), (None, "n", "2024-01-01")),
+        look(spark, (1, "A", "2024-01-02"), (2, "b", "2024-01-01"), (4, "d", "2024-01-02")),
+        look(spark, (1, "AA", "2024-01-03"), (2, "B", "2024-01-03"), (4, "dd", "2024-01-02"), (None, "m", "2024-01-03")),
+    ]
+    table, want, before = VersionedTable(spark, str(tmp_path)), None, {}
+    for source in looks:
+        snapshot_version(source, str(tmp_path), "k", "at")
+        want = snapshot(want, source, "k", "at")
+        settled = {f: f.stat().st_mtime_ns for f in tmp_path.glob(f"data/*={SETTLED}/**/*.parquet")}
+        assert before.items() <= settled.items()
+        assert set(table.manifest().parts.get(SETTLED, ())) >= {f"{p.parent.parent.name}/{p.parent.name}" for p in before}
+        assert len(table.manifest().parts[OPEN]) == 1
+        before = settled
+    got = read_history(spark, str(tmp_path))
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert got.count() == 9 and read_history(spark, str(tmp_path), only_open=True).count() == 5 - 1
+    wider = looks[2].withColumn("more", F.lit(1)).withColumn("at", F.expr("at + interval 5 days"))
+    snapshot_version(wider, str(tmp_path), "k", "at")
+    assert read_history(spark, str(tmp_path)).filter("more = 1").count() == 4
+
+
+def test_history_by_check_of_columns(spark, tmp_path):
+    from tidemark.sinks.history import read_history, snapshot_version
+
+    root = str(tmp_path)
+    for day, v in (("2024-01-01", "a"), ("2024-01-02", "a"), ("2024-01-03", "b")):
+        snapshot_version(look(spark, (1, v, "2020-01-01")), root, "k", strategy="check", run_at=f"{day} 00:00:00")
+    got = sorted((r.v, str(r.dbt_valid_from), str(r.dbt_valid_to)) for r in read_history(spark, root).collect())
+    assert got == [("a", "2024-01-01 00:00:00", "2024-01-03 00:00:00"), ("b", "2024-01-03 00:00:00", "None")]

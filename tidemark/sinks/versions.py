@@ -83,9 +83,9 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self.versions())
 
-    def read(self, version: int | None = None, parts: Iterable[str] | None = None) -> DataFrame:
-        """The table as of a version, the newest by default; only some partitions, given by their text."""
-        now = self.manifest(version)
+    def read(self, version: int | Manifest | None = None, parts: Iterable[str] | None = None) -> DataFrame:
+        """The table as of a version or a manifest, the newest by default; only some partitions, given by their text."""
+        now = version if isinstance(version, Manifest) else self.manifest(version)
         if now is None:
             raise FileNotFoundError(f"no version of a table has been published below {self.root}")
         names = now.parts if parts is None else [p for p in parts if p in now.parts]
@@ -98,10 +98,24 @@ class VersionedTable:
         reader = self.spark.read.schema(schema).option("basePath", self.data)
         return reader.parquet(*[f"{self.data}/{f}" for f in folders]).select(*[f"`{c}`" for c in now.schema.names])
 
-    # Publishing
+    # Publishing. Each method writes folders and publishes a manifest of them; with
+    # ``publish=False`` it only returns the manifest, to be looked at and committed later.
 
-    def replace(self, df: DataFrame, partition_by: str | None = None, key: str | Sequence[str] | None = None, bits_per_key: int = 32) -> int:
-        """Publish ``df`` as the whole table. With ``key``, merges find their partitions by a sketch of the keys."""
+    def commit(self, fresh: Manifest) -> Manifest:
+        """Publish a manifest; fails if its version has been published since."""
+        if not _write_text(self.spark, self._manifest_path(fresh.version), fresh.to_json()):
+            raise CommitConflict(f"version {fresh.version} of {self.root} is there already")
+        return fresh
+
+    def replace(
+        self,
+        df: DataFrame,
+        partition_by: str | None = None,
+        key: str | Sequence[str] | None = None,
+        bits_per_key: int = 32,
+        publish: bool = True,
+    ) -> Manifest:
+        """``df`` as the whole table. With ``key``, merges find their partitions by a sketch of the keys."""
         now = self.manifest()
         written = self._write(df, partition_by)
         fresh = Manifest(1 if now is None else now.version + 1, df.schema, partition_by, written)
@@ -109,33 +123,28 @@ class VersionedTable:
             if partition_by is None:
                 raise ValueError("a key sketch is kept for the partitions of a table")
             fresh = self._sketched(fresh, [key] if isinstance(key, str) else list(key), bits_per_key)
-        return self._commit(fresh)
+        return self.commit(fresh) if publish else fresh
 
-    def swap(self, df: DataFrame, parts: Iterable[str] = ()) -> int:
-        """Publish the rows of ``df`` in place of the partitions they belong to, and of those named in ``parts``.
+    def swap(self, df: DataFrame, parts: Iterable[str] = (), publish: bool = True) -> Manifest:
+        """The rows of ``df`` in place of the partitions they belong to, and of those named in ``parts``.
 
         A partition in ``parts`` that gets no rows is gone. Columns new in ``df`` are
         added to the table; those it lacks are NULL.
         """
-        return self._publish(df, lambda old, new: {**{p: f for p, f in old.items() if p not in set(parts)}, **new})
-
-    def append(self, df: DataFrame) -> int:
-        """Publish the rows of ``df`` beside those that are there. No file is rewritten."""
-        return self._publish(df, lambda old, new: {**old, **{p: (*old.get(p, ()), *f) for p, f in new.items()}})
+        gone = set(parts)
+        return self._next(df, publish, lambda old, new: {**{p: f for p, f in old.items() if p not in gone}, **new})
 
-    def change(self, swapped: DataFrame, appended: DataFrame, parts: Iterable[str]) -> int:
-        """A swap of ``parts`` and an append, in one commit."""
-        both = [self._write(_shaped(df, self.manifest().schema), self.manifest().partition_by) for df in (swapped, appended)]
+    def append(self, df: DataFrame, dropping: Iterable[str] = (), publish: bool = True) -> Manifest:
+        """The rows of ``df`` beside those that are there, less the partitions ``dropping``. No file is rewritten."""
+        gone = set(dropping)
 
-        def joined(old: Mapping, _: Mapping) -> dict:
-            kept = {p: f for p, f in old.items() if p not in set(parts)}
-            for new in both:
-                kept = {**kept, **{p: (*kept.get(p, ()), *f) for p, f in new.items()}}
-            return kept
+        def place(old: Mapping, new: Mapping) -> dict:
+            kept = {p: f for p, f in old.items() if p not in gone}
+            return {**kept, **{p: (*kept.get(p, ()), *f) for p, f in new.items()}}
 
-        return self._publish(swapped.limit(0), joined)
+        return self._next(df, publish, place)
 
-    def merge(self, source: DataFrame, key: str | Sequence[str], strategy: str = "merge") -> int:
+    def merge(self, source: DataFrame, key: str | Sequence[str], strategy: str = "merge", publish: bool = True) -> Manifest:
         """Merge the source by key; only partitions that the source or one of its keys is in are rewritten.
 
         Of a table with a sketch of the same key, only the partitions that the sketch
@@ -145,10 +154,10 @@ class VersionedTable:
         keys = [key] if isinstance(key, str) else list(key)
         source = write_through(source, "merge-source")
         if now.partition_by is None:
-            return self.replace(_MERGES[strategy](self.read(), source, keys))
+            return self.replace(_MERGES[strategy](self.read(), source, keys), publish=publish)
         touched = self._partitions_of(source, now) | set(self.partitions_holding(source, keys))
         merged = _MERGES[strategy](self.read(parts=sorted(touched)), source, keys)
-        return self.swap(merged, touched)
+        return self.swap(merged, touched, publish)
 
     def partitions_holding(self, source: DataFrame, keys: Sequence[str]) -> list[str]:
         """The partitions, as text, that hold a row with a key of the source.
@@ -196,7 +205,7 @@ class VersionedTable:
     def _manifest_path(self, version: int) -> str:
         return f"{self.root}/versions/{version:012d}.json"
 
-    def _publish(self, df: DataFrame, place: Callable[[Mapping, Mapping], Mapping]) -> int:
+    def _next(self, df: DataFrame, publish: bool, place: Callable[[Mapping, Mapping], Mapping]) -> Manifest:
         now = self._current()
         added = [f for f in df.schema.fields if f.name not in now.schema.names]
         schema = T.StructType([*now.schema.fields, *[T.StructField(f.name, f.dataType) for f in added]])
@@ -204,13 +213,7 @@ class VersionedTable:
         fresh = Manifest(now.version + 1, schema, now.partition_by, dict(place(now.parts, written)), now.sketch)
         if now.sketch:
             fresh = self._sketched(fresh, now.sketch["keys"], now.sketch["bits_per_key"], now)
-        return self._commit(fresh)
-
-    def _commit(self, fresh: Manifest) -> int:
-        path = self._manifest_path(fresh.version)
-        if not _write_text(self.spark, path, fresh.to_json()):
-            raise CommitConflict(f"version {fresh.version} of {self.root} is there already")
-        return fresh.version
+        return self.commit(fresh) if publish else fresh
 
     def _write(self, df: DataFrame, partition_by: str | None) -> dict[str, tuple[str, ...]]:
         run = uuid.uuid4().hex
@@ -301,8 +304,9 @@ def incremental_version(
     partition_by: str | None = None,
     lookback: str | None = None,
     partition_follows_ts: bool = False,
-) -> VersionedTable:
-    """First run: publish the table. Later ones, in whatever session: merge the rows newer than its newest.
+    publish: bool = True,
+) -> Manifest:
+    """First run: the table. Later ones, in whatever session: the rows newer than its newest merged into it.
 
     ``partition_follows_ts`` says that the partition column grows with ``ts``; the newest
     row is then looked for in the last partition alone.
@@ -310,16 +314,14 @@ def incremental_version(
     table = VersionedTable(source.sparkSession, root)
     now = table.manifest()
     if now is None:
-        table.replace(source, partition_by, key if partition_by else None)
-        return table
+        return table.replace(source, partition_by, key if partition_by else None, publish=publish)
     last = None
     if now.partition_by and partition_follows_ts and set(now.parts) - {NO_VALUE}:
         kind = now.schema[now.partition_by].dataType
         names = source.sparkSession.createDataFrame([(p,) for p in now.parts if p != NO_VALUE], "part string")
         last = [names.orderBy(F.col("part").cast(kind).desc()).head()[0]]
     fresh = newer_than_max(source, table.read(parts=last), ts, lookback=lookback)
-    table.merge(fresh, key, strategy)
-    return table
+    return table.merge(fresh, key, strategy, publish)
 
 
 # Small files and listings by way of the cluster's file systems.

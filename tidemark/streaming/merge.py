@@ -10,11 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import keep_best
 from tidemark.sinks.tables import merge_table
+from tidemark.sinks.versions import VersionedTable
 
 
 def merge_batch(
     batch: DataFrame,
-    name: str,
+    name: str | VersionedTable,
     key: str | Sequence[str],
     latest: Sequence[Column | str],
     partition_by: str | None = None,
@@ -22,18 +23,26 @@ def merge_batch(
 ) -> None:
     """Merge one micro-batch: the best row of each key, by the order ``latest``.
 
+    The table is a catalog table's name, or a versioned table: of that one a batch reads
+    only the partitions that its keys may be in.
+
     A batch that is replayed after a failure merges to the same table. Rows
     without a key match nothing and would be added again; filter them out
     of the stream if it can be replayed.
     """
     numbered = batch.withColumn("_row", F.monotonically_increasing_id())
     best = keep_best(numbered, key, latest, row_id="_row").drop("_row")
-    merge_table(best, name, key, partition_by, root=root)
+    if isinstance(name, str):
+        merge_table(best, name, key, partition_by, root=root)
+    elif name.exists():
+        name.merge(best, key)
+    else:
+        name.replace(best, partition_by, key if partition_by else None)
 
 
 def stream_merge(
     stream: DataFrame,
-    name: str,
+    name: str | VersionedTable,
     key: str | Sequence[str],
     latest: Sequence[Column | str],
     checkpoint: str,

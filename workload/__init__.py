@@ -1,6 +1,6 @@
 """Queries over the star-schema tables, one per operator, with their SQL counterparts."""
 
-from workload import documents, incremental, layers, learning, loading, quality, streams
+from workload import documents, incremental, layers, learning, loading, published, quality, streams
 
 ALL = {
     **learning.QUERIES,
@@ -10,4 +10,5 @@ ALL = {
     **loading.QUERIES,
     **streams.QUERIES,
     **layers.QUERIES,
+    **published.QUERIES,
 }

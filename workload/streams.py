@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_dir
 from tidemark.sources.registry import load_registry
 from tidemark.streaming.alerts import stream_alerts, window_alerts
+from tidemark.sinks.versions import VersionedTable
 from tidemark.streaming.dedup import stream_dedup
 from tidemark.streaming.landing import stream_land
 from tidemark.streaming.merge import stream_merge
@@ -70,19 +71,22 @@ def stream_dedup_events(spark, d):
     return _plain_times(_finish(once, shared_dir(spark, "dedup")), "ts")
 
 
-def stream_merge_events(spark, d):
-    """Events, and corrected copies of purchases, merged into one table by key."""
-    name = f"tide_check.merged_{uuid.uuid4().hex[:12]}"
-    root = shared_dir(spark, "stream-merge")
+def _events_and_fixes(spark, d):
     first = event_stream(spark, d).withColumn("version", F.lit(1))
     fixed = (
         event_stream(spark, d)
         .filter("event_type = 'purchase'")
         .withColumns({"version": F.lit(2), "value": F.col("value") + 1})
     )
-    dated = first.union(fixed).withColumn("event_date", F.to_date("ts"))
+    return first.union(fixed).withColumn("event_date", F.to_date("ts"))
+
+
+def stream_merge_events(spark, d):
+    """Events, and corrected copies of purchases, merged into one table by key."""
+    name = f"tide_check.merged_{uuid.uuid4().hex[:12]}"
+    root = shared_dir(spark, "stream-merge")
     stream_merge(
-        dated,
+        _events_and_fixes(spark, d),
         name,
         "event_id",
         [F.col("version").desc()],
@@ -93,6 +97,19 @@ def stream_merge_events(spark, d):
     return spark.table(name)
 
 
+def stream_merge_published(spark, d):
+    """The same stream into a versioned table, whose batches read only the days their keys may be in."""
+    root = shared_dir(spark, "stream-merge")
+    target = VersionedTable(spark, f"{root}/table")
+    latest = [F.col("version").desc()]
+    for run in ("first", "again"):
+        # The second stream has a checkpoint of its own, so it merges every row once more.
+        stream_merge(
+            _events_and_fixes(spark, d), target, "event_id", latest, f"{root}/{run}", partition_by="event_date"
+        ).awaitTermination()
+    return target.read()
+
+
 def stream_land_files(spark, d):
     """Dated folders landed by a stream, and landed again without doubling a row."""
     root = shared_dir(spark, "land")
@@ -121,6 +138,11 @@ _WINDOWS = """(SELECT time_bucket(INTERVAL 300 SECOND, ts) AS window_start,
   time_bucket(INTERVAL 300 SECOND, ts) + INTERVAL 300 SECOND AS window_end, event_type,
   count(*) AS observed FROM events GROUP BY 1, 2, 3 HAVING count(*) > 1)"""
 
+_MERGED_EVENTS = """SELECT * REPLACE (CASE WHEN event_type = 'purchase' THEN value + 1 ELSE value END
+    AS value),
+  CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS version,
+  CAST(ts AS DATE) AS event_date FROM events"""
+
 QUERIES = {
     "window_threshold_alert": (window_threshold_alert, f"SELECT * FROM {_WINDOWS}"),
     "window_maximum_alert": (
@@ -135,13 +157,8 @@ QUERIES = {
           (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM events)""",
     ),
     "stream_dedup": (stream_dedup_events, "SELECT * FROM events"),
-    "stream_merge": (
-        stream_merge_events,
-        """SELECT * REPLACE (CASE WHEN event_type = 'purchase' THEN value + 1 ELSE value END
-            AS value),
-          CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS version,
-          CAST(ts AS DATE) AS event_date FROM events""",
-    ),
+    "stream_merge": (stream_merge_events, _MERGED_EVENTS),
+    "stream_merge_published": (stream_merge_published, _MERGED_EVENTS),
     "stream_land": (
         stream_land_files,
         f"""SELECT *, CASE WHEN enrolled_at < TIMESTAMP '1999-01-01' THEN DATE '2024-03-01'
