@@ -8,11 +8,15 @@ import json
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators.checks import DataTest
 from tidemark.plans import learning
-from tidemark.plans.layers import FailedTests, check_layers, materialize_layers, run_layers
+from tidemark.plans.graph import Model, run_graph
+from tidemark.plans.layers import FailedTests, check_layers, publish_layers, run_layers
+from tidemark.session import write_through
+from tidemark.sinks.versions import VersionedTable
 from tidemark.sources.files import variant_payload
 
 QUIET = settings(
@@ -189,36 +193,88 @@ def test_optional_datasets_may_be_absent(spark):
     }
 
 
-def test_materialized_layers_agree(spark, tmp_path):
-    database, root = "school", str(tmp_path / "school")
+def test_published_layers_agree(spark, tmp_path):
+    root = str(tmp_path / "school")
     first, second = raw_tables(spark, *FIRST), raw_tables(spark, *SECOND, created="2024-02-01")
     want = run_layers(second, run_layers(first))
     for raw in (first, second, second):
-        materialize_layers(spark, raw, database, root, suite=())
-    for name in want:
-        if name in ("stg_users", "stg_courses"):
-            got = spark.table(name)
-        else:
-            got = spark.table(f"{database}.{name}").drop("event_date", "enrolled_date") \
-                if not name.startswith("daily") else spark.table(f"{database}.{name}")
-        assert sorted(map(str, got.collect())) == sorted(map(str, want[name].collect())), name
-    parts = spark.sql(f"SHOW PARTITIONS {database}.fact_events").collect()
-    assert sorted(r[0] for r in parts) == [
-        "event_date=2024-01-01", "event_date=2024-01-03", "event_date=2024-01-04",
-    ]
+        tables = publish_layers(spark, raw, root, suite=())
+    assert set(tables) == set(want)
+    for name, df in want.items():
+        got = tables[name].read().select(*df.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.collect())), name
+    assert set(tables["fact_events"].manifest().parts) == {"2024-01-01", "2024-01-03", "2024-01-04"}
+    assert set(tables["users_snapshot"].manifest().parts) == {"open", "settled"}
 
 
-def test_failing_tests_withhold_the_reports(spark, tmp_path):
-    database, root = "gated", str(tmp_path / "gated")
+def test_failing_tests_withhold_every_table(spark, tmp_path):
+    root = str(tmp_path / "gated")
     raw = raw_tables(spark, *FIRST)
     passing = [DataTest("fact_events", "not_null", "event_id")]
     failing = [*passing, DataTest("fact_events", "predicate", "event_id IS NOT NULL")]
     with pytest.raises(FailedTests, match="predicate"):
-        materialize_layers(spark, raw, database, root, suite=failing)
-    assert spark.catalog.tableExists(f"{database}.fact_events")
-    assert not spark.catalog.tableExists(f"{database}.daily_active_learners")
-    materialize_layers(spark, raw, database, root, suite=passing)
-    assert spark.table(f"{database}.daily_active_learners").count() > 0
+        publish_layers(spark, raw, root, suite=failing)
+    names = ("fact_events", "dim_users", "users_snapshot", "daily_active_learners")
+    assert not any(VersionedTable(spark, f"{root}/{t}").exists() for t in names)
+    tables = publish_layers(spark, raw, root, suite=passing)
+    assert all(tables[t].exists() for t in names) and tables["daily_active_learners"].read().count() > 0
+
+
+def test_the_gate_holds_for_a_load_of_users_alone(spark, tmp_path):
+    root = str(tmp_path / "users")
+    raw = raw_tables(spark, *FIRST)
+    publish_layers(spark, {"users": raw["users"]}, root, suite=KEYS)
+    broken = {"users": raw["users"].withColumn("user_id", F.when(F.col("user_id") != "u2", F.col("user_id")))}
+    with pytest.raises(FailedTests, match="not_null\\(dim_users.user_id\\)"):
+        publish_layers(spark, broken, root, suite=KEYS)
+    assert rows(VersionedTable(spark, f"{root}/dim_users").read(), "user_id") == [("u1",), ("u2",)]
+    # A relationship is tested against the parent published before.
+    edge = [DataTest("fact_enrollments", "relationships", "user_id", "dim_users", "user_id")]
+    with pytest.raises(FailedTests, match="fact_enrollments: 1|dim_users.user_id\\): 1"):
+        publish_layers(spark, {"enrollments": raw["enrollments"]}, root, suite=edge)
+
+
+KEYS = [t for t in learning.TESTS if t.kind in ("not_null", "unique") and t.column in ("user_id", "user_sk")]
+
+
+def test_raw_tables_are_read_once(spark, tmp_path):
+    """Staging, history, dimensions, facts, reports and 34 tests read each raw row once."""
+    count = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            count.add(b.num_rows)
+            yield b
+
+    raw = raw_tables(spark, *FIRST)
+    raw["events"] = raw["events"].select(F.to_json("payload").alias("line"))
+    size = sum(df.count() for df in raw.values())
+    seen = {n: df.mapInArrow(passed, df.schema) for n, df in raw.items()}
+    seen["events"] = seen["events"].select(variant_payload("line").alias("payload"))
+    publish_layers(spark, seen, str(tmp_path), suite=())
+    assert count.value == size
+    count.value = 0
+    tables = run_layers(seen, keep=lambda name, df: write_through(df, name))
+    check_layers(tables).collect()
+    assert count.value == size
+
+
+def test_graph():
+    ran, kept = [], []
+    build = lambda name: lambda *parents: ran.append(name) or f"{name}({','.join(parents)})"
+    models = [
+        Model("a", ("s",), build("a")), Model("b", ("a",), build("b")), Model("c", ("a", "t"), build("c")),
+        Model("d", ("b", "c"), build("d")), Model("unused", ("s",), build("unused")),
+    ]
+    keep = lambda name, df: kept.append(name) or df
+    out = run_graph(models, {"s": "s", "t": "t"}, ["d", "b"], keep)
+    assert out["d"] == "d(b(a(s)),c(a(s),t))" and sorted(ran) == ["a", "b", "c", "d"]
+    # Only what several others need, or what is wanted and needed, is written.
+    assert sorted(kept) == ["a", "b"]
+    with pytest.raises(KeyError):
+        run_graph(models, {"s": "s"}, ["d"], keep)
+    with pytest.raises(ValueError, match="wait"):
+        run_graph([Model("x", ("y",), build("x")), Model("y", ("x",), build("y"))], {}, ["x"], keep)
 
 
 def test_registered_layers_are_gated(spark, monkeypatch):

@@ -124,6 +124,59 @@ def test_data_tests(spark):
         checks.run_tests(tables, [DataTest("child", "magic", "v")])
 
 
+def scans(df):
+    """How many times a plan reads each file."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("Relation [")
+
+
+def test_one_scan_for_every_table(spark, tmp_path):
+    """All tests of a table, and those that look up its keys, read it once; so does the graph of keys."""
+    from workload import quality
+
+    d = "/root/testdata/sf0.001"
+    suite = [t for t in quality.learning.TESTS if t.table == "stg_events"]
+    events = spark.read.parquet(f"{d}/events.parquet").selectExpr(
+        "event_id", "user_id", "event_id as course_id", "ts as event_ts"
+    )
+    tables = {"stg_events": events, "stg_users": events.select("user_id"), "stg_courses": events.select("course_id")}
+    assert len(suite) == 4 and scans(checks.run_tests(tables, suite)) == 3
+    assert scans(quality.data_tests(spark, d)) <= 14 and scans(quality.fk_graph(spark, d)) == 7
+
+
+def test_keys_of_other_types_meet(spark):
+    child = spark.createDataFrame([("1", 1, -0.0), ("02", 2, 0.5), ("x", None, None), ("3", 9, 2.0)], "s string, i int, f double")
+    parent = spark.createDataFrame([(1, 0.0), (2, 0.5), (9, 7.0)], "id long, f float")
+    edges = [("c", "s", "p", "id"), ("c", "i", "p", "id"), ("c", "f", "p", "f")]
+    report = checks.fk_report({"c": child, "p": parent}, edges)
+    assert {r.child: (r.orphan_keys, r.orphan_rows) for r in report.collect()} == {"c.s": (2, 2), "c.i": (0, 0), "c.f": (1, 1)}
+
+
+def test_lost_ancestors(spark):
+    tables = {
+        "measurement": spark.createDataFrame([("m1", "t1"), ("m2", "t1"), ("m3", "t2"), ("m4", "t9"), ("m5", None)], "id string, tag_id string"),
+        "alarm": spark.createDataFrame([("a1", "t1")], "id string, tag_id string"),
+        "tag": spark.createDataFrame([("t1", "e1"), ("t2", "e2"), ("t3", "e1")], "tag_id string, equipment_id string"),
+        "equipment": spark.createDataFrame([("e1", "s9"), ("e2", "s1")], "equipment_id string, site string"),
+        "site": spark.createDataFrame([("s1",)], "site string"),
+    }
+    edges = [
+        ("measurement", "tag_id", "tag", "tag_id"), ("alarm", "tag_id", "tag", "tag_id"),
+        ("tag", "equipment_id", "equipment", "equipment_id"), ("equipment", "site", "site", "site"),
+        ("gone", "x", "tag", "tag_id"),
+    ]
+    counts = checks.fk_counts(tables, edges)
+    got = {r.path: (r["keys"], r["rows"]) for r in checks.lost_ancestors(tables, edges, counts).collect()}
+    assert got == {
+        "tag.equipment_id -> equipment.site -> site": (1, 2),
+        "measurement.tag_id -> tag.equipment_id -> equipment.site -> site": (1, 2),
+        "alarm.tag_id -> tag.equipment_id -> equipment.site -> site": (1, 1),
+    }
+    ring = [("tag", "equipment_id", "equipment", "equipment_id"), ("equipment", "site", "tag", "tag_id")]
+    with pytest.raises(ValueError, match="ring"):
+        checks.lost_ancestors(tables, ring, checks.fk_counts(tables, ring))
+
+
 def test_orphans_of_an_empty_parent(spark):
     child = spark.createDataFrame([("a",), (None,)], "fk string")
     parent = child.limit(0).withColumnRenamed("fk", "id")

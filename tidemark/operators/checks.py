@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def null_keys(df: DataFrame, col: str) -> DataFrame:
@@ -61,27 +62,139 @@ def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFr
     return keys.join(known, "key", "left_anti")
 
 
+Edge = tuple[str, str, str, str]
+
+
+def _text(df: DataFrame, column: str, like: T.DataType | None = None) -> Column:
+    """A key as text, so that keys of all types stand in one column; equal keys have equal text.
+
+    ``like`` is the type of the key it is to be compared with.
+    """
+    c, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    plain = c + F.lit(0.0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else c
+    if like is None or like == kind:
+        return plain.cast("string")
+    return F.coalesce(plain.try_cast(like).cast("string"), plain.cast("string"))
+
+
+def _entry(use: int, key: Column, parent: bool = False, when: Column | None = None) -> Column:
+    """What a row says about one check, NULL if nothing: the key it has, and whether it makes the key known."""
+    held = key.isNotNull() if when is None else when
+    return F.when(held, F.struct(F.lit(use).alias("use"), key.alias("key"), F.lit(parent).alias("parent")))
+
+
+def _stacked(tables: Mapping[str, DataFrame], entries: Mapping[str, list[Column]]) -> DataFrame:
+    """(use, key, rows, known) of all checks of all tables; each table is read once.
+
+    A row is exploded into its entries. They are counted per task before the shuffle, so
+    a key that very many rows have costs one row a task.
+    """
+    parts = [tables[t].select(F.explode(F.array_compact(F.array(*of))).alias("x")).select("x.*") for t, of in entries.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("use", "key").agg(
+        F.count_if(~F.col("parent")).alias("rows"), F.max("parent").alias("known")
+    )
+
+
+def _edge_entries(
+    tables: Mapping[str, DataFrame],
+    edges: Mapping[int, Edge],
+    known: Mapping[str, Column],
+    entries: dict[str, list[Column]],
+) -> None:
+    for use, (child, fk, parent, pk) in edges.items():
+        kind = tables[parent].schema[pk].dataType
+        entries[child].append(_entry(use, _text(tables[child], fk, kind)))
+        key = _text(tables[parent], pk)
+        held = key.isNotNull() & known[parent] if parent in known else None
+        entries[parent].append(_entry(use, key, parent=True, when=held))
+
+
+def _held_edges(tables: Mapping[str, DataFrame], edges: Sequence[Edge]) -> dict[int, Edge]:
+    return {i: e for i, e in enumerate(edges) if e[0] in tables and e[2] in tables}
+
+
+def fk_counts(
+    tables: Mapping[str, DataFrame], edges: Sequence[Edge], known: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """(use, key, rows, known): of every edge, how many child rows have a key and whether a parent has it.
+
+    ``use`` is the edge's place in ``edges``. Edges of missing tables are left out.
+    """
+    entries: dict[str, list[Column]] = defaultdict(list)
+    _edge_entries(tables, _held_edges(tables, edges), known or {}, entries)
+    return _stacked(tables, entries)
+
+
 def fk_report(
-    tables: Mapping[str, DataFrame], edges: Sequence[tuple[str, str, str, str]]
+    tables: Mapping[str, DataFrame],
+    edges: Sequence[Edge],
+    known: Mapping[str, Column] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Per relationship: how many keys have no parent, and how many rows carry them."""
-    parts = []
-    for child, fk, parent, pk in edges:
-        if child in tables and parent in tables:
-            parts.append(
-                orphan_keys(tables[child], tables[parent], fk, pk)
-                .agg(
-                    F.count(F.lit(1)).alias("orphan_keys"),
-                    F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
-                )
-                .select(
-                    F.lit(f"{child}.{fk}").alias("child"),
-                    F.lit(f"{parent}.{pk}").alias("parent"),
-                    "orphan_keys",
-                    "orphan_rows",
+    """Per relationship: how many keys have no parent, and how many rows carry them.
+
+    All edges are settled in one pass over each table and one aggregation. ``known``
+    says, for a table, which of its rows count as parents; ``counts`` may bring the
+    written result of ``fk_counts``.
+    """
+    held = _held_edges(tables, edges)
+    counts = fk_counts(tables, edges, known) if counts is None else counts
+    lost = (F.col("rows") > 0) & ~F.col("known")
+    found = counts.groupBy("use").agg(
+        F.count_if(lost).alias("orphan_keys"), F.sum(F.when(lost, F.col("rows")).otherwise(0)).alias("orphan_rows")
+    )
+    names = [(i, f"{c}.{fk}", f"{p}.{pk}") for i, (c, fk, p, pk) in held.items()]
+    listed = counts.sparkSession.createDataFrame(names, "use int, child string, parent string")
+    return listed.join(found, "use", "left").na.fill(0).select("child", "parent", "orphan_keys", "orphan_rows")
+
+
+def lost_ancestors(
+    tables: Mapping[str, DataFrame],
+    edges: Sequence[Edge],
+    counts: DataFrame,
+    known: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """(path, keys, rows): rows whose parent is there, but whose parent's own parent, or one further up, is not.
+
+    ``path`` names the columns from the row to the missing table, such as
+    ``measurement.tag_id -> tag.equipment_id -> equipment``. ``counts`` is the written
+    result of ``fk_counts`` over the same edges, which must not form a ring. A level of
+    the graph costs one pass over the tables that are both child and parent.
+    """
+    spark, held = counts.sparkSession, _held_edges(tables, edges)
+    ends = spark.createDataFrame([(i, f"{c}.{fk} -> {p}") for i, (c, fk, p, _) in held.items()], "use int, path string")
+    lost = counts.filter((F.col("rows") > 0) & ~F.col("known")).select("use", "key").join(ends, "use")
+    above = set(held)
+    out = spark.createDataFrame([], "path string, keys long, rows long")
+    for _ in range(len({t for e in held.values() for t in (e[0], e[2])})):
+        # Edges whose child table is the parent of another edge hand their lost keys down.
+        steps = [(i, j) for i in above for j in held if held[j][2] == held[i][0]]
+        if not steps:
+            return out
+        entries: dict[str, list[Column]] = defaultdict(list)
+        for i, j in steps:
+            (table, fk, parent, pk), down = held[i], held[j]
+            kind = tables[parent].schema[pk].dataType
+            entries[table].append(
+                F.struct(
+                    F.lit(i).alias("use"), _text(tables[table], fk, kind).alias("key"),
+                    F.lit(j).alias("down"), _text(tables[table], down[3]).alias("below"),
+                    F.lit(f"{down[0]}.{down[1]} -> ").alias("step"),
                 )
-            )
-    return reduce(DataFrame.unionByName, parts)
+            )
+        there = {t: tables[t].filter((known or {}).get(t, F.lit(True))) for t in entries}
+        rows = [there[t].select(F.explode(F.array(*of)).alias("x")).select("x.*") for t, of in entries.items()]
+        links = reduce(DataFrame.unionByName, rows).filter(F.col("key").isNotNull() & F.col("below").isNotNull())
+        fallen = links.join(lost, ["use", "key"]).select(
+            F.col("down").alias("use"), F.col("below").alias("key"), F.concat("step", "path").alias("path")
+        )
+        lost = fallen.distinct()
+        carried = lost.join(counts.filter("rows > 0").select("use", "key", "rows"), ["use", "key"])
+        out = out.unionByName(
+            carried.groupBy("path").agg(F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows"))
+        )
+        above = {j for _, j in steps}
+    raise ValueError("the relationships form a ring")
 
 
 @dataclass(frozen=True)
@@ -120,30 +233,39 @@ def failing_rows(tables: Mapping[str, DataFrame], test: DataTest) -> DataFrame:
 def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> DataFrame:
     """One row per test: its number of failures and whether it passed.
 
-    Row conditions of one table share a single pass over it.
+    Every table is read once, whatever its tests and the tests of its children ask, and
+    one aggregation settles them all. A unique test fails by the keys that repeat, a
+    relationship by the rows without a parent, the others by rows. ``failing_rows`` shows
+    what makes a test fail.
     """
-    row_conditions = defaultdict(list)
-    parts = []
-    for test in suite:
+    entries: dict[str, list[Column]] = defaultdict(list)
+    for use, test in enumerate(suite):
+        df = tables[test.table]
         if test.kind in ("not_null", "predicate"):
-            condition = (
-                F.col(test.column).isNull() if test.kind == "not_null" else F.expr(test.column)
-            )
-            row_conditions[test.table].append((test.name, condition))
+            failing = F.col(f"`{test.column}`").isNull() if test.kind == "not_null" else F.expr(test.column)
+            entries[test.table].append(_entry(use, F.lit(""), when=failing))
         elif test.kind == "unique":
-            found = duplicates(tables[test.table], test.column)
-            parts.append(_count(test, found.agg(F.count(F.lit(1)).alias("failures"))))
+            entries[test.table].append(_entry(use, _text(df, test.column)))
         elif test.kind == "relationships":
-            found = orphan_keys(
-                tables[test.table], tables[test.parent], test.column, test.parent_column
-            )
-            total = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-            parts.append(_count(test, total))
+            edge = (test.table, test.column, test.parent, test.parent_column)
+            _edge_entries(tables, {use: edge}, {}, entries)
         else:
             raise ValueError(f"unknown kind of test {test.kind!r}")
-    parts += [failure_counts(tables[t], conditions) for t, conditions in row_conditions.items()]
-    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
-
-
-def _count(test: DataTest, total: DataFrame) -> DataFrame:
-    return total.select(F.lit(test.name).alias("test"), "failures")
+    found = _stacked(tables, entries).groupBy("use").agg(
+        F.count_if(F.col("rows") > 1).alias("unique"),
+        F.sum(F.when(F.col("known"), 0).otherwise(F.col("rows"))).alias("relationships"),
+        F.sum("rows").alias("rows"),
+    )
+    listed = found.sparkSession.createDataFrame(
+        [(i, t.name, t.kind) for i, t in enumerate(suite)], "use int, test string, kind string"
+    )
+    failures = (
+        F.when(F.col("kind") == "unique", F.col("unique"))
+        .when(F.col("kind") == "relationships", F.col("relationships"))
+        .otherwise(F.col("rows"))
+    )
+    return listed.join(found, "use", "left").select(
+        "test",
+        F.coalesce(failures, F.lit(0)).alias("failures"),
+        (F.coalesce(failures, F.lit(0)) == 0).alias("passed"),
+    )

@@ -11,10 +11,13 @@ from tidemark.operators.rules import (
     domain_rules,
     format_rules,
     range_rules,
+    suffix_rules,
 )
-from tidemark.plans.contracts import DOMAINS, FORMATS, RANGES, Contract
+from tidemark.plans.contracts import DOMAINS, FORMATS, RANGES, REVISED, Contract
 
 _TEXT = "_text"
+#: Stands for the field names of a record that has none, because it is no object.
+WHOLE = "(record)"
 
 
 def record_texts(record: str | Column) -> Column:
@@ -26,15 +29,17 @@ def coerce_table(df: DataFrame, contract: Contract, record: str = "record") -> D
     """Replace the record by its contracted columns, typed; a value that cannot be read is NULL.
 
     Columns outside the contract go to ``_extra``. ``_text`` keeps the values
-    as sent, so that a missing value can be told from an unreadable one.
+    as sent, so that a missing value can be told from an unreadable one. Of a record
+    that is no object it keeps the JSON text, under ``(record)``.
     """
     # An envelope column with the same name as a field gives way to the field.
     kept = [c for c in df.columns if c != record and c not in contract.names]
-    texts = df.select(*kept, record_texts(record).alias(_TEXT))
+    whole = F.create_map(F.lit(WHOLE), F.to_json(record))
+    texts = df.select(*kept, F.coalesce(record_texts(record), whole).alias(_TEXT))
     return texts.select(
         *kept,
         *[_typed(F.col(_TEXT)[f.source], f.kind).alias(f.name) for f in contract.fields],
-        extras(F.col(_TEXT), contract.sources).alias("_extra"),
+        extras(F.col(_TEXT), [*contract.sources, WHOLE]).alias("_extra"),
         _TEXT,
     )
 
@@ -51,7 +56,7 @@ def _typed(text: Column, kind: str) -> Column:
 
 def contract_rules(contract: Contract) -> list[Rule]:
     """All rules of a table, for rows made by ``coerce_table``."""
-    rules: list[Rule] = []
+    rules: list[Rule] = [("malformed:record", F.col(_TEXT)[WHOLE].isNotNull())]
     for f in contract.fields:
         sent = F.col(_TEXT)[f.source]
         rules.append((f"null:{f.name}", sent.isNull()))
@@ -62,7 +67,9 @@ def contract_rules(contract: Contract) -> list[Rule]:
     rules += domain_rules(DOMAINS.get(contract.table, {}))
     rules += format_rules(FORMATS.get(contract.table, {}))
     rules += range_rules(RANGES.get(contract.table, {}))
-    return rules
+    ruled = {**DOMAINS.get(contract.table, {}), **FORMATS.get(contract.table, {})}
+    free = [f.name for f in contract.fields if f.length is not None and f.name not in ruled]
+    return rules + suffix_rules("revised", free, REVISED)
 
 
 def extras(texts: Column, expected: list[str]) -> Column:

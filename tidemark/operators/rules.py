@@ -35,6 +35,10 @@ def length_rules(lengths: Mapping[str, int]) -> list[Rule]:
     return [(f"length:{c}", F.octet_length(c) > n) for c, n in lengths.items()]
 
 
+def suffix_rules(name: str, columns: Sequence[str], suffix: str) -> list[Rule]:
+    return [(f"{name}:{c}", F.col(c).endswith(suffix)) for c in columns]
+
+
 def reasons(rules: Sequence[Rule]) -> Column:
     """Names of the rules a row breaks, in the order of the rules."""
     if not rules:

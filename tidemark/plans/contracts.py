@@ -8,6 +8,30 @@ from pyspark.sql import types as T
 
 from tidemark.functions import snake_name
 
+_KINDS = {
+    "text": T.StringType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampNTZType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+}
+
+
+@dataclass(frozen=True)
+class Field:
+    source: str
+    kind: str
+    length: int | None = None
+
+    @property
+    def name(self) -> str:
+        return snake_name(self.source)
+
+    @property
+    def data_type(self) -> T.DataType:
+        return _KINDS[self.kind]
+
+
 # ---------------------------------------------------------------------------
 # Source keys, target tables, columns with their types and
 # lengths, value domains, identifier formats and relationships of the sources.
@@ -34,31 +58,109 @@ MASTER_KEYS = ("equipment", "location", "customer", "tag")
 # Other names under which defect notes list two of the source keys.
 KEY_ALIASES = {"compliance": "regulatory_compliance", "forecasts": "financial_forecasts"}
 
-# The first column is the table's key; text has its longest length in bytes.
+# Column in the source, and its type; text has its longest length in bytes. The first
+# column is the table's key.
 COLUMNS = {
-    "equipment": "EquipmentID 20, EquipmentName 100, EquipmentType 50, Manufacturer 100,"
-    " InstallDate date",
-    "location": "LocationID 20, SiteName 100, Area 100, GPSCoordinates 50",
-    "customer": "CustomerID 20, CustomerName 100, Industry 50, ContactInfo 200, Region 50",
-    "tag": "TagID 20, TagName 100, Description 200, UnitOfMeasure 20, EquipmentID 20,"
-    " LocationID 20",
-    "measurement": "MeasurementID 20, TagID 20, Timestamp timestamp, Value double,"
-    " QualityFlag 20",
-    "alarm": "AlarmID 20, TagID 20, AlarmType 30, ThresholdValue double, Timestamp timestamp,"
-    " Status 20",
-    "maintenance": "MaintenanceID 20, TagID 20, WorkOrderID 20, MaintenanceDate date,"
-    " ActionTaken 200, Technician 100",
-    "event": "EventID 20, TagID 20, EventType 30, Timestamp timestamp, Notes 500",
-    "customer_contract": "ContractID 20, CustomerID 20, TagID 20, ContractStartDate date,"
-    " ContractEndDate date, ContractVolume double, PricePerUnit double",
-    "billing": "BillingID 20, TagID 20, CustomerID 20, BillingPeriod 10,"
-    " ConsumptionVolume double, TotalAmount double, PaymentStatus 20",
-    "inventory": "InventoryID 20, TagID 20, MaterialType 50, Quantity int, StorageLocation 100,"
-    " LastUpdated timestamp",
-    "regulatory_compliance": "ComplianceID 20, TagID 20, RegulationName 50, InspectionDate date,"
-    " Status 30, Inspector 100",
-    "financial_forecast": "ForecastID 20, TagID 20, ForecastDate date,"
-    " ExpectedConsumption double, ExpectedRevenue double, RiskFactor double",
+    "equipment": (
+        Field("EquipmentID", "text", 20),
+        Field("EquipmentName", "text", 100),
+        Field("EquipmentType", "text", 50),
+        Field("Manufacturer", "text", 100),
+        Field("InstallDate", "date"),
+    ),
+    "location": (
+        Field("LocationID", "text", 20),
+        Field("SiteName", "text", 100),
+        Field("Area", "text", 100),
+        Field("GPSCoordinates", "text", 50),
+    ),
+    "customer": (
+        Field("CustomerID", "text", 20),
+        Field("CustomerName", "text", 100),
+        Field("Industry", "text", 50),
+        Field("ContactInfo", "text", 200),
+        Field("Region", "text", 50),
+    ),
+    "tag": (
+        Field("TagID", "text", 20),
+        Field("TagName", "text", 100),
+        Field("Description", "text", 200),
+        Field("UnitOfMeasure", "text", 20),
+        Field("EquipmentID", "text", 20),
+        Field("LocationID", "text", 20),
+    ),
+    "measurement": (
+        Field("MeasurementID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("Timestamp", "timestamp"),
+        Field("Value", "double"),
+        Field("QualityFlag", "text", 20),
+    ),
+    "alarm": (
+        Field("AlarmID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("AlarmType", "text", 30),
+        Field("ThresholdValue", "double"),
+        Field("Timestamp", "timestamp"),
+        Field("Status", "text", 20),
+    ),
+    "maintenance": (
+        Field("MaintenanceID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("WorkOrderID", "text", 20),
+        Field("MaintenanceDate", "date"),
+        Field("ActionTaken", "text", 200),
+        Field("Technician", "text", 100),
+    ),
+    "event": (
+        Field("EventID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("EventType", "text", 30),
+        Field("Timestamp", "timestamp"),
+        Field("Notes", "text", 500),
+    ),
+    "customer_contract": (
+        Field("ContractID", "text", 20),
+        Field("CustomerID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("ContractStartDate", "date"),
+        Field("ContractEndDate", "date"),
+        Field("ContractVolume", "double"),
+        Field("PricePerUnit", "double"),
+    ),
+    "billing": (
+        Field("BillingID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("CustomerID", "text", 20),
+        Field("BillingPeriod", "text", 10),
+        Field("ConsumptionVolume", "double"),
+        Field("TotalAmount", "double"),
+        Field("PaymentStatus", "text", 20),
+    ),
+    "inventory": (
+        Field("InventoryID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("MaterialType", "text", 50),
+        Field("Quantity", "int"),
+        Field("StorageLocation", "text", 100),
+        Field("LastUpdated", "timestamp"),
+    ),
+    "regulatory_compliance": (
+        Field("ComplianceID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("RegulationName", "text", 50),
+        Field("InspectionDate", "date"),
+        Field("Status", "text", 30),
+        Field("Inspector", "text", 100),
+    ),
+    "financial_forecast": (
+        Field("ForecastID", "text", 20),
+        Field("TagID", "text", 20),
+        Field("ForecastDate", "date"),
+        Field("ExpectedConsumption", "double"),
+        Field("ExpectedRevenue", "double"),
+        Field("RiskFactor", "double"),
+    ),
 }
 
 # The time column each fact is sorted by, within its tag.
@@ -91,8 +193,35 @@ DOMAINS = {
         )
     },
     "billing": {"payment_status": ("Paid", "Pending", "Overdue", "Disputed")},
+    "inventory": {
+        "material_type": (
+            "Spare Sensor",
+            "Gasket Kit",
+            "Lubricant",
+            "Filter Element",
+            "Wiring Harness",
+            "Calibration Gas",
+            "O-Ring Set",
+            "Circuit Board",
+        ),
+        "storage_location": (
+            "Warehouse A-12",
+            "Warehouse B-05",
+            "Field Cabinet 3",
+            "Maintenance Shop",
+            "Satellite Store C",
+        ),
+    },
     "regulatory_compliance": {
-        "status": ("Compliant", "Non-Compliant", "Pending Review", "Exempted")
+        "regulation_name": (
+            "EPA 40 CFR 60",
+            "OSHA 29 CFR 1910",
+            "API 570",
+            "ASME B31.3",
+            "NFPA 30",
+            "DOT 49 CFR 195",
+        ),
+        "status": ("Compliant", "Non-Compliant", "Pending Review", "Exempted"),
     },
 }
 
@@ -132,6 +261,9 @@ FORMATS = {
     "financial_forecast": {"forecast_id": r"^FRC-[0-9A-F]{12}$", "tag_id": r"^TAG-\d{5}$"},
 }
 
+# What a source appends to text that it has changed.
+REVISED = " (revised)"
+
 # Conditions every row must meet, as Spark SQL.
 RANGES = {
     "customer_contract": {
@@ -167,25 +299,6 @@ FK_EDGES = (
 
 # ---------------------------------------------------------------------------
 
-_KINDS = {
-    "date": T.DateType(),
-    "timestamp": T.TimestampNTZType(),
-    "double": T.DoubleType(),
-    "int": T.IntegerType(),
-}
-
-
-@dataclass(frozen=True)
-class Field:
-    source: str
-    name: str
-    kind: str
-    length: int | None
-
-    @property
-    def data_type(self) -> T.DataType:
-        return _KINDS.get(self.kind, T.StringType())
-
 
 @dataclass(frozen=True)
 class Contract:
@@ -209,19 +322,7 @@ class Contract:
         return T.StructType([T.StructField(f.name, f.data_type) for f in self.fields])
 
 
-def contract(table: str, columns: str) -> Contract:
-    """A contract from a line like ``"TagID 20, Value double"``."""
-    fields = []
-    for column in columns.split(","):
-        source, kind = column.split()
-        text = kind.isdigit()
-        fields.append(
-            Field(source, snake_name(source), "string" if text else kind, int(kind) if text else None)
-        )
-    return Contract(table, tuple(fields))
-
-
-CONTRACTS = {table: contract(table, columns) for table, columns in COLUMNS.items()}
+CONTRACTS = {table: Contract(table, fields) for table, fields in COLUMNS.items()}
 
 
 def target_of(key: str) -> str:

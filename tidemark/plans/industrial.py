@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.checks import fk_report
+from tidemark.operators.checks import fk_counts, fk_report, lost_ancestors
 from tidemark.operators.coerce import coerce_table, contract_rules
 from tidemark.operators.dedup import keep_best, surplus
 from tidemark.operators.joins import Dimension, enrich, flatten_tag
@@ -32,7 +32,9 @@ class Cleaned:
     duplicates: DataFrame
 
 
-def stage_records(raw: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
+def stage_records(
+    raw: DataFrame, tables: Sequence[str] | None = None, counts: Observation | None = None
+) -> DataFrame:
     """All records of all documents, or those of some tables, written once to
     the shared folder by table.
 
@@ -41,6 +43,8 @@ def stage_records(raw: DataFrame, tables: Sequence[str] | None = None) -> DataFr
 
     ``_row`` numbers the rows. It is given by the task that writes them, so
     whatever is read back later, after a lost executor too, agrees on it.
+
+    ``counts`` gets the number of records of each table, taken by the tasks that write them.
     """
     parsed = parse_tag_document(raw).select(
         F.col("tag_id").alias("_doc_tag"), F.col("ingested_at").alias("_ingested_at"), "doc"
@@ -48,6 +52,8 @@ def stage_records(raw: DataFrame, tables: Sequence[str] | None = None) -> DataFr
     keys = {key: t for key, t in TARGET_OF.items() if tables is None or t in tables}
     records = explode_all(parsed, ("_doc_tag", "_ingested_at"), keys).hint("rebalance", "table")
     records = records.withColumn("_row", F.monotonically_increasing_id())
+    if counts is not None:
+        records = records.observe(counts, *[F.count_if(F.col("table") == t).alias(t) for t in keys.values()])
     return write_through(records, "records", partition_by=("table",))
 
 
@@ -67,18 +73,18 @@ def clean_table(records: DataFrame, contract: Contract, stage: bool = False) ->
     callers that use more than one of the three results.
     """
     checked = check_table(records, contract)
-    best = keep_best(
-        checked,
-        contract.key,
-        [is_valid().desc(), F.col("_ingested_at").desc(), F.col("pos"), F.col("_row")],
-        row_id="_row",
-    )
+    best = _best(checked, contract)
     if stage:
         best = write_through(best, contract.table)
     valid, bad = split_valid(best)
     return Cleaned(valid.drop("_sent"), bad, surplus(checked, best, "_row"))
 
 
+def _best(checked: DataFrame, contract: Contract) -> DataFrame:
+    order = [is_valid().desc(), F.col("_ingested_at").desc(), F.col("pos"), F.col("_row")]
+    return keep_best(checked, contract.key, order, row_id="_row")
+
+
 def clean_documents(raw: DataFrame) -> dict[str, Cleaned]:
     """Every table of a raw zone, cleaned. The documents are read and parsed once."""
     records = stage_records(raw)
@@ -104,6 +110,48 @@ def save_cleaned(cleaned: dict[str, Cleaned], out: str) -> None:
     in_parallel(save, cleaned)
 
 
+#: One row for each table of a batch. ``records`` is what came in, counted when it was staged.
+AUDIT = "batch_id string, table string, status string, records long, valid long, bad long, duplicates long"
+
+
+def run_batch(raw: DataFrame, out: str, batch_id: str, tables: Sequence[str] | None = None) -> DataFrame:
+    """One batch from the raw zone to the validated one; returns its audit, as ``AUDIT`` says.
+
+    Writes ``cleaned`` (typed rows as JSON envelopes), ``valid``, ``bad`` and ``duplicates``,
+    each with a folder for every table, and ``bad/documents`` with what could not be read.
+    The counts are observed in the tasks that write the files, so nothing is read again to
+    count it. A table is ``complete`` if its rows in the three zones are its records, else
+    ``incomplete``. The audit of the batch is also written to ``out/audit``.
+    """
+    spark = raw.sparkSession
+    staged = Observation()
+    records = stage_records(raw, tables, staged)
+    contracts = [c for t, c in CONTRACTS.items() if tables is None or t in tables]
+    written = F.count(F.lit(1)).alias("rows")
+
+    def clean(contract: Contract) -> tuple:
+        table, seen = contract.table, {z: Observation() for z in ("valid", "bad", "duplicates")}
+        checked = write_through(check_table(records, contract), f"checked-{table}")
+        to_envelope(checked, contract, "cleaned").write.json(f"{out}/cleaned/{table}")
+        best = write_through(_best(checked, contract), table)
+        valid, bad = split_valid(best)
+        valid = valid.select(*contract.names)
+        if table in SORTED_BY:
+            valid = cluster_fact(valid, "tag_id", SORTED_BY[table])
+        zones = {"valid": valid, "bad": bad, "duplicates": surplus(checked, best, "_row")}
+        for zone, df in zones.items():
+            df.observe(seen[zone], written).write.parquet(f"{out}/{zone}/{table}")
+        counts = [seen[z].get["rows"] for z in zones]
+        came = staged.get[table]
+        return (batch_id, table, "complete" if sum(counts) == came else "incomplete", came, *counts)
+
+    rows = in_parallel(clean, contracts)
+    unreadable(raw).write.json(f"{out}/bad/documents")
+    audit = spark.createDataFrame(rows, AUDIT)
+    audit.coalesce(1).write.parquet(f"{out}/audit")
+    return audit
+
+
 def load_validated(
     spark: SparkSession, out: str, database: str = "staging", root: str | None = None
 ) -> list[str]:
@@ -131,6 +179,11 @@ def tag_fk_report(tables: dict[str, DataFrame]) -> DataFrame:
     return fk_report(tables, FK_EDGES)
 
 
+def tag_lost_ancestors(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows whose tag is there, but not the tag's equipment or location."""
+    return lost_ancestors(tables, FK_EDGES, write_through(fk_counts(tables, FK_EDGES), "fk-counts"))
+
+
 def enrich_tag_fact(fact: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """A fact with its tag, equipment and location, and its customer if it names one."""
     tag = flatten_tag(tables["tag"], tables["equipment"], tables["location"])

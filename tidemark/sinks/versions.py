@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +48,8 @@ class Manifest:
     parts: Mapping[str, tuple[str, ...]]
     #: Key columns, bitmaps a partition and bits a key of the key sketch; empty without one.
     sketch: Mapping = field(default_factory=dict)
+    #: How far each writer has come, such as the last batch of a stream.
+    marks: Mapping[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps({**self.__dict__, "schema": self.schema.jsonValue()})
@@ -91,6 +93,15 @@ class VersionedTable:
         names = now.parts if parts is None else [p for p in parts if p in now.parts]
         return self._open(now, [f for p in names for f in now.parts[p]])
 
+    def read_last(self) -> DataFrame:
+        """The rows of the partition with the largest value; all rows of an unpartitioned table."""
+        now = self._current()
+        names = [(p,) for p in now.parts if p != NO_VALUE]
+        if now.partition_by is None or not names:
+            return self.read(now)
+        by_value = F.col("part").cast(now.schema[now.partition_by].dataType)
+        return self.read(now, [self.spark.createDataFrame(names, "part string").orderBy(by_value.desc()).head()[0]])
+
     def _open(self, now: Manifest, folders: Sequence[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], now.schema)
@@ -118,7 +129,8 @@ class VersionedTable:
         """``df`` as the whole table. With ``key``, merges find their partitions by a sketch of the keys."""
         now = self.manifest()
         written = self._write(df, partition_by)
-        fresh = Manifest(1 if now is None else now.version + 1, df.schema, partition_by, written)
+        marks = {} if now is None else now.marks
+        fresh = Manifest(1 if now is None else now.version + 1, df.schema, partition_by, written, marks=marks)
         if key is not None:
             if partition_by is None:
                 raise ValueError("a key sketch is kept for the partitions of a table")
@@ -134,15 +146,29 @@ class VersionedTable:
         gone = set(parts)
         return self._next(df, publish, lambda old, new: {**{p: f for p, f in old.items() if p not in gone}, **new})
 
-    def append(self, df: DataFrame, dropping: Iterable[str] = (), publish: bool = True) -> Manifest:
-        """The rows of ``df`` beside those that are there, less the partitions ``dropping``. No file is rewritten."""
+    def append(
+        self, df: DataFrame, dropping: Iterable[str] = (), mark: tuple[str, int] | None = None, publish: bool = True
+    ) -> Manifest:
+        """The rows of ``df`` beside those that are there, less the partitions ``dropping``. No file is rewritten.
+
+        ``mark`` is a writer's name and a number that grows. It is published with the
+        rows; an append that brings a mark already reached changes nothing.
+        """
+        now = self._current()
+        if mark and now.marks.get(mark[0], -1) >= mark[1]:
+            return now
         gone = set(dropping)
 
         def place(old: Mapping, new: Mapping) -> dict:
             kept = {p: f for p, f in old.items() if p not in gone}
             return {**kept, **{p: (*kept.get(p, ()), *f) for p, f in new.items()}}
 
-        return self._next(df, publish, place)
+        return self._next(df, publish, place, {mark[0]: mark[1]} if mark else {})
+
+    def create(self, schema: T.StructType, partition_by: str | None = None) -> None:
+        """An empty table, unless there is one."""
+        if not self.exists():
+            self.commit(Manifest(1, schema, partition_by, {}))
 
     def merge(self, source: DataFrame, key: str | Sequence[str], strategy: str = "merge", publish: bool = True) -> Manifest:
         """Merge the source by key; only partitions that the source or one of its keys is in are rewritten.
@@ -205,12 +231,15 @@ class VersionedTable:
     def _manifest_path(self, version: int) -> str:
         return f"{self.root}/versions/{version:012d}.json"
 
-    def _next(self, df: DataFrame, publish: bool, place: Callable[[Mapping, Mapping], Mapping]) -> Manifest:
+    def _next(
+        self, df: DataFrame, publish: bool, place: Callable[[Mapping, Mapping], Mapping], marks: Mapping[str, int] = {}
+    ) -> Manifest:
         now = self._current()
         added = [f for f in df.schema.fields if f.name not in now.schema.names]
         schema = T.StructType([*now.schema.fields, *[T.StructField(f.name, f.dataType) for f in added]])
         written = self._write(_shaped(df, schema), now.partition_by)
-        fresh = Manifest(now.version + 1, schema, now.partition_by, dict(place(now.parts, written)), now.sketch)
+        parts, marks = dict(place(now.parts, written)), {**now.marks, **marks}
+        fresh = Manifest(now.version + 1, schema, now.partition_by, parts, now.sketch, marks)
         if now.sketch:
             fresh = self._sketched(fresh, now.sketch["keys"], now.sketch["bits_per_key"], now)
         return self.commit(fresh) if publish else fresh
@@ -258,7 +287,7 @@ class VersionedTable:
             sketch["files"] = [*sketch.get("files", []), {"folder": min(runs), "folders": new}]
         live = {f for folders in fresh.parts.values() for f in folders}
         sketch["files"] = [x for x in sketch.get("files", []) if live & set(x["folders"])]
-        return Manifest(fresh.version, fresh.schema, fresh.partition_by, fresh.parts, sketch)
+        return replace(fresh, sketch=sketch)
 
     def _sketch_of(self, now: Manifest) -> DataFrame | None:
         """(part, block, bitmap) of all folders that the manifest names."""
@@ -315,12 +344,8 @@ def incremental_version(
     now = table.manifest()
     if now is None:
         return table.replace(source, partition_by, key if partition_by else None, publish=publish)
-    last = None
-    if now.partition_by and partition_follows_ts and set(now.parts) - {NO_VALUE}:
-        kind = now.schema[now.partition_by].dataType
-        names = source.sparkSession.createDataFrame([(p,) for p in now.parts if p != NO_VALUE], "part string")
-        last = [names.orderBy(F.col("part").cast(kind).desc()).head()[0]]
-    fresh = newer_than_max(source, table.read(parts=last), ts, lookback=lookback)
+    held = table.read_last() if partition_follows_ts else table.read(now)
+    fresh = newer_than_max(source, held, ts, lookback=lookback)
     return table.merge(fresh, key, strategy, publish)
 
 

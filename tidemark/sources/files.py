@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import gzip
 import json
-from collections.abc import Mapping, Sequence
+import zlib
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from tidemark.functions import (
     auto_timestamp,
@@ -19,9 +23,12 @@ from tidemark.functions import (
     empty_as_null,
     truncate_bytes,
 )
+from tidemark.session import shared_dir
 from tidemark.sources.registry import DatasetSpec
 
 _BAD = "_bad_line"
+#: The columns of a row whose text did not fit.
+FAULTS = "_faults"
 
 
 def resolve_load_date(explicit=None, run_conf: Mapping | None = None, logical_date=None) -> str:
@@ -67,13 +74,16 @@ def has_files(spark: SparkSession, path: str) -> bool:
         raise
 
 
+Paths = str | Sequence[str]
+
+
 def read_dataset(
-    spark: SparkSession, spec: DatasetSpec, path: str, strict: bool = True
+    spark: SparkSession, spec: DatasetSpec, path: Paths, strict: bool = True
 ) -> DataFrame:
-    """Scan ``path`` as the spec says. With ``strict`` a value that does not fit its
-    declared type, or a line that does not fit the format, fails the load. Without, such a
-    value becomes NULL, and such a line is left out; ``rejected_lines`` has them.
-    ``MAXERROR n`` leaves out up to ``n`` lines of a strict load."""
+    """Scan ``path``, or several files, as the spec says. With ``strict`` a value that does
+    not fit its declared type, or a line that does not fit the format, fails the load.
+    Without, such a value becomes NULL, and such a line is left out; ``rejected_lines`` has
+    them. ``MAXERROR n`` leaves out up to ``n`` lines of a strict load, for either fault."""
     if spec.format == "csv":
         return read_csv(spark, spec, path, strict)
     if spec.format == "json":
@@ -97,23 +107,26 @@ def csv_options(spec: DatasetSpec) -> dict:
 
 
 def read_csv(
-    spark: SparkSession, spec: DatasetSpec, path: str, strict: bool = True
+    spark: SparkSession, spec: DatasetSpec, path: Paths, strict: bool = True
 ) -> DataFrame:
     """Columns bind by position; a header line is skipped, not matched."""
-    _check_compression(spark, spec, path)
+    spec, path = _unpacked(spark, spec, path)
     if spec.schema is None:
         mode = "FAILFAST" if strict else "DROPMALFORMED"
         return apply_load_options(
             spark.read.options(**csv_options(spec), mode=mode).csv(path), spec, strict
         )
-    return apply_load_options(_well_formed(spark, spec, path, strict), spec, strict)
+    return _loaded(spark, spec, path, strict)
 
 
-def _with_bad(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
-    """Declared columns as text, and the whole line where it does not fit the format."""
+def with_bad(read: DataFrameReader | DataStreamReader, spec: DatasetSpec, path: Paths) -> DataFrame:
+    """Declared columns as text, and the whole line where it does not fit the format.
+
+    ``read`` is ``spark.read`` or ``spark.readStream``.
+    """
     if spec.format == "json" and (spec.jsonpaths or _is_variant(spec)):
         broken = F.try_parse_json("value").isNull() & (F.trim("value") != "")
-        lines = spark.read.text(path)
+        lines = read.text(path)
         return lines.filter(F.trim("value") != "").select("value", F.when(broken, F.col("value")).alias(_BAD))
     fields = [
         f if isinstance(f.dataType, T.VariantType) and spec.format == "json" else T.StructField(f.name, T.StringType())
@@ -121,7 +134,7 @@ def _with_bad(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
     ]
     # Scalars are read as text first: a typed field would turn "12.5" into NULL.
     schema = T.StructType([*fields, T.StructField(_BAD, T.StringType())])
-    reader = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
+    reader = read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
     if spec.format == "csv":
         return reader.options(**csv_options(spec), enforceSchema=True).csv(path)
     return reader.options(multiLine=spec.multiline).json(path)
@@ -131,9 +144,10 @@ def _is_variant(spec: DatasetSpec) -> bool:
     return spec.schema is not None and [f.dataType for f in spec.schema] == [T.VariantType()]
 
 
-def rejected_lines(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
+def rejected_lines(spark: SparkSession, spec: DatasetSpec, path: Paths) -> DataFrame:
     """(line, file): the lines of a CSV or JSON dataset that do not fit its format."""
-    rows = _with_bad(spark, spec, path)
+    spec, path = _unpacked(spark, spec, path)
+    rows = with_bad(spark.read, spec, path)
     return rows.filter(_broken(rows)).select(F.col(_BAD).alias("line"), F.col("_metadata.file_path").alias("file"))
 
 
@@ -143,14 +157,8 @@ def _broken(rows: DataFrame) -> Column:
     return F.col(_BAD).isNotNull() & other
 
 
-def _well_formed(spark: SparkSession, spec: DatasetSpec, path: str, strict: bool) -> DataFrame:
-    rows = _with_bad(spark, spec, path)
-    if strict and spec.has_option("MAXERROR"):
-        most = int(spec.option("MAXERROR"))
-        found = rejected_lines(spark, spec, path).limit(most + 1).count()
-        if found > most:
-            raise ValueError(f"{spec.name!r} has more than {most} lines that do not fit its format")
-        strict = False
+def _well_formed(spark: SparkSession, spec: DatasetSpec, path: Paths, strict: bool) -> DataFrame:
+    rows = with_bad(spark.read, spec, path)
     message = F.concat(F.lit(f"{spec.name}: cannot read the line "), F.col(_BAD))
     whole = ~_broken(rows)
     if strict:
@@ -158,37 +166,82 @@ def _well_formed(spark: SparkSession, spec: DatasetSpec, path: str, strict: bool
     return rows.filter(whole).drop(_BAD)
 
 
-def _check_compression(spark: SparkSession, spec: DatasetSpec, path: str) -> None:
-    """Codecs go by file name, so a file that is declared gzip must be named so."""
+def _loaded(spark: SparkSession, spec: DatasetSpec, path: Paths, strict: bool) -> DataFrame:
+    """Typed rows. Under ``MAXERROR`` rows with either fault are counted and left out."""
+
+    def bound(rows: DataFrame) -> DataFrame:
+        return rows.select(*path_columns(spark, spec)) if spec.jsonpaths else rows
+
+    if not (strict and spec.has_option("MAXERROR")):
+        return apply_load_options(bound(_well_formed(spark, spec, path, strict)), spec, strict)
+    most = int(spec.option("MAXERROR"))
+    loaded = apply_load_options(bound(_well_formed(spark, spec, path, False)), spec, False, faults=FAULTS)
+    found = rejected_lines(spark, replace(spec, compression="none"), path).limit(most + 1).count()
+    if found <= most:
+        found += loaded.filter(F.size(FAULTS) > 0).limit(most + 1).count()
+    if found > most:
+        raise ValueError(f"{spec.name!r} has more than {most} lines that do not fit its format or its types")
+    return loaded.filter(F.size(FAULTS) == 0).drop(FAULTS)
+
+
+def _unpacked(spark: SparkSession, spec: DatasetSpec, path: Paths) -> tuple[DatasetSpec, Paths]:
+    """What to read in place of files that are declared gzip but not named so.
+
+    Spark knows a codec by the file's name. Other files are unpacked, many at a time, to
+    lines in the shared folder; a task holds one packed file and reads it as a stream. A
+    file that cannot be unpacked fails the load with its name.
+    """
     if spec.compression != "gzip":
-        return
-    names = spark.read.format("binaryFile").load(path).select("path")
-    wrong = names.filter(~F.endswith("path", F.lit(".gz"))).head()
-    if wrong:
-        raise ValueError(f"{spec.name!r} is declared gzip, but {wrong[0]} is not named .gz")
+        return spec, path
+    packed = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+    if packed.select("path").filter(~F.endswith("path", F.lit(".gz"))).isEmpty():
+        return spec, path
+    header = spec.header and spec.format == "csv"
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                rest, first = b"", True
+                try:
+                    with gzip.open(pa.input_stream(content.as_buffer())) as stream:
+                        while chunk := stream.read(1 << 22):
+                            *lines, rest = (rest + chunk).split(b"\n")
+                            if first and lines and header:
+                                lines, first = lines[1:], False
+                            yield pa.RecordBatch.from_arrays([_as_text(lines)], ["value"])
+                except (OSError, EOFError, zlib.error) as e:
+                    raise ValueError(f"{spec.name!r}: cannot unpack {name}: {e}") from e
+                if rest and not (first and header):
+                    yield pa.RecordBatch.from_arrays([_as_text([rest])], ["value"])
+
+    lines = packed.select("path", "content").mapInArrow(unpack, "value string")
+    out = shared_dir(spark, "unpacked")
+    lines.write.text(out)
+    return replace(spec, compression="none", header=False), out
+
+
+def _as_text(lines: list[bytes]) -> pa.Array:
+    return pa.array([x.decode("utf-8", "replace") for x in lines], pa.string())
 
 
 def read_json(
     spark: SparkSession,
     spec: DatasetSpec,
-    path: str,
+    path: Paths,
     strict: bool = True,
     jsonpaths: list[str] | None = None,
 ) -> DataFrame:
     """Top-level keys bind by name, or a list of paths binds to the columns by position."""
-    _check_compression(spark, spec, path)
+    spec, path = _unpacked(spark, spec, path)
     if spec.schema is None:
         return spark.read.option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
     if jsonpaths:
         spec = replace(spec, jsonpaths=tuple(jsonpaths))
     names = spec.schema.fieldNames()
-    if spec.jsonpaths:
-        lines = _well_formed(spark, spec, path, strict)
-        return apply_load_options(lines.select(*path_columns(spark, spec)), spec, strict)
-    if _is_variant(spec):
+    if _is_variant(spec) and not spec.jsonpaths:
         lines = _well_formed(spark, spec, path, strict)
         return lines.select(variant_payload("value", names[0]).alias(names[0]))
-    return apply_load_options(_well_formed(spark, spec, path, strict), spec, strict)
+    return _loaded(spark, spec, path, strict)
 
 
 def path_columns(
@@ -208,9 +261,9 @@ def path_columns(
     return [F.get_json_object("value", p).alias(n) for n, p in zip(names, paths)]
 
 
-def read_parquet(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
+def read_parquet(spark: SparkSession, spec: DatasetSpec, path: Paths) -> DataFrame:
     """Columns bind by the file's own schema, so filters and pruning reach the scan."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
 def read_variant(spark: SparkSession, path: str, col: str = "payload") -> DataFrame:
@@ -233,28 +286,39 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def apply_load_options(
-    df: DataFrame, spec: DatasetSpec, strict: bool = True, keep: tuple[str, ...] = ()
+    df: DataFrame,
+    spec: DatasetSpec,
+    strict: bool = True,
+    keep: tuple[str, ...] = (),
+    faults: str | None = None,
 ) -> DataFrame:
     """Text columns to their declared types, with the dataset's load options applied.
 
     Columns in ``keep`` pass through. Text is cleaned first, then parsed, then checked:
-    three projections, so that no step is repeated inside the next.
+    three projections, so that no step is repeated inside the next. ``faults`` names a
+    column to be added with the names of the columns whose text did not fit.
     """
     fields = list(spec.schema or [f for f in df.schema if f.name not in keep])
     texts = df.select(*[_cleaned(F.col(f.name), f, spec).alias(f.name) for f in fields], *keep)
     typed = [f for f in fields if not isinstance(f.dataType, (T.StringType, T.VariantType))]
     places = {f.name: f"_value{i}" for i, f in enumerate(typed)}
     parsed = texts.withColumns({places[f.name]: _parsed(F.col(f.name), f, spec) for f in typed})
-    loaded = []
+    loaded, wrong = [], []
     for f in fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
+            if f.metadata.get("length") and not spec.has_option("TRUNCATECOLUMNS"):
+                wrong.append(F.when(F.octet_length(c) > f.metadata["length"], F.lit(f.name)))
             c = _fit(c, f, spec, strict)
         elif f.name in places:
             value = F.col(places[f.name])
+            wrong.append(F.when(c.isNotNull() & value.isNull(), F.lit(f.name)))
             message = F.concat(F.lit(f"{spec.name}.{f.name}: cannot load "), c)
             c = F.when(c.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value) if strict else value
         loaded.append(c.alias(f.name))
+    if faults:
+        none = F.array().cast("array<string>")
+        loaded.append((F.array_compact(F.array(*wrong)) if wrong else none).alias(faults))
     return parsed.select(*loaded, *keep)
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.files import apply_load_options, csv_options, path_columns, variant_payload
+from tidemark.session import write_through
+from tidemark.sinks.versions import VersionedTable
+from tidemark.sources.files import FAULTS, apply_load_options, csv_options, path_columns, variant_payload, with_bad
 from tidemark.sources.registry import DatasetSpec
 
 _DATE = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
@@ -81,3 +83,67 @@ def stream_land(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+REJECTS = T.StructType(
+    [T.StructField("load_date", T.DateType()), *[T.StructField(n, T.StringType()) for n in ("reason", "line", "file")]]
+)
+_LINE, _FILE, _FAULTY = "_bad_line", "_file", "_text"
+
+
+def stream_land_rejects(
+    spark: SparkSession,
+    spec: DatasetSpec,
+    root: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Land new files in ``<root>/rows``, and what does not fit in ``<root>/rejects``.
+
+    Both are versioned tables by load date; the rows of a batch are gathered by date. A
+    line that does not fit the format is rejected as it is, with the reason ``format``; a
+    row with values that do not fit their types as JSON text, with ``types`` and the
+    columns. So every line is in one of the two. A batch that is replayed after a failure
+    changes neither table: each remembers the last batch it has taken.
+    """
+    if spec.schema is None or spec.format == "parquet":
+        raise ValueError(f"a stream of {spec.name!r} needs declared columns, as CSV or JSON")
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if max_files else spark.readStream
+    file = F.col("_metadata.file_path")
+    dated = F.nullif(F.regexp_extract(file, _DATE, 1), F.lit("")).try_cast("date").alias("load_date")
+    lines = with_bad(reader, spec, f"{spec.path.rstrip('/')}/*/").select("*", dated, file.alias(_FILE))
+    whole = [f.dataType for f in spec.schema] == [T.VariantType()] and not spec.jsonpaths
+    keep = ("load_date", _FILE, _LINE, _FAULTY)
+    rows, rejects = VersionedTable(spark, f"{root}/rows"), VersionedTable(spark, f"{root}/rejects")
+    rows.create(T.StructType([*spec.schema, T.StructField("load_date", T.DateType())]), "load_date")
+    rejects.create(REJECTS, "load_date")
+
+    def land(batch: DataFrame, number: int) -> None:
+        if whole:
+            name = spec.schema.fieldNames()[0]
+            bound = batch.select(variant_payload("value", name).alias(name), *keep[:3])
+            loaded = bound.withColumns({FAULTS: F.array().cast("array<string>"), _FAULTY: F.lit("")})
+        else:
+            fields = path_columns(spark, spec) if spec.jsonpaths else [F.col(n) for n in spec.schema.fieldNames()]
+            bound = batch.select(*fields, *keep[:3])
+            bound = bound.withColumn(_FAULTY, F.to_json(F.struct(*spec.schema.fieldNames())))
+            loaded = apply_load_options(bound, spec, strict=False, keep=keep, faults=FAULTS)
+        # Read and parsed once, for both tables.
+        loaded = write_through(loaded, "landing")
+        fits = F.col(_LINE).isNull() & (F.size(FAULTS) == 0)
+        reason = F.when(F.col(_LINE).isNotNull(), "format").otherwise(
+            F.concat(F.lit("types: "), F.array_join(FAULTS, ", "))
+        )
+        bad = loaded.filter(~fits).select(
+            "load_date", reason.alias("reason"), F.coalesce(_LINE, _FAULTY).alias("line"), F.col(_FILE).alias("file")
+        )
+        rejects.append(bad, mark=(checkpoint, number))
+        rows.append(loaded.filter(fits).drop(FAULTS, *keep[1:]), mark=(checkpoint, number))
+
+    return (
+        lines.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

@@ -1,17 +1,16 @@
-"""All learning models over two loads, as DataFrames and as catalog tables."""
+"""All learning models over two loads, as DataFrames and as versioned tables."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from tidemark.plans.layers import check_layers, materialize_layers, run_layers
+from tidemark.plans.layers import check_layers, publish_layers, run_layers
 from tidemark.plans.learning import TESTS
 from tidemark.session import shared_dir, write_through
 from tidemark.sources.files import variant_payload
 from workload import inputs
 from workload.inputs import ENROLLMENTS, FLAT_EVENTS, USERS
+from workload.quality import tests_sql
 
 SPLIT = "2024-01-16"
 
@@ -45,7 +44,7 @@ def _after_two_runs(spark, d):
         for name, df in run_layers(first).items()
         if name in ("stg_events", "fact_events", "stg_enrollments", "fact_enrollments")
     }
-    return run_layers(second, kept)
+    return run_layers(second, kept, keep=lambda name, df: write_through(df, name))
 
 
 def layers_fact_events(spark, d):
@@ -53,22 +52,19 @@ def layers_fact_events(spark, d):
 
 
 def layers_data_tests(spark, d):
-    suite = [t for t in TESTS if t.kind == "not_null" and t.table.startswith("fact")]
-    return check_layers(_after_two_runs(spark, d), suite)
+    """All declared tests over the tables after two runs; those of courses fail."""
+    return check_layers(_after_two_runs(spark, d), TESTS)
 
 
 def materialized_layers(spark, d):
-    """Both loads into catalog tables, reports gated by the tests of keys; the report is read back."""
+    """Both loads into versioned tables, gated by the tests of keys; the reports are read back."""
     suite = [t for t in TESTS if t.kind in ("not_null", "unique")]
-    database = f"tide_layers_{uuid.uuid4().hex[:12]}"
     root = shared_dir(spark, "layers")
     for load in _loads(spark, d):
-        materialize_layers(spark, load, database, root, grain="month", suite=suite)
-    daily = spark.table(f"{database}.daily_active_learners")
-    facts = spark.table(f"{database}.fact_enrollments").groupBy("enrollment_channel").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    history = spark.table(f"{database}.users_snapshot").agg(F.count(F.lit(1)).alias("n"))
+        tables = publish_layers(spark, load, root, grain="month", suite=suite)
+    daily = tables["daily_active_learners"].read()
+    facts = tables["fact_enrollments"].read().groupBy("enrollment_channel").agg(F.count(F.lit(1)).alias("n"))
+    history = tables["users_snapshot"].read().agg(F.count(F.lit(1)).alias("n"))
     return (
         daily.select(
             F.lit("daily").alias("what"),
@@ -93,14 +89,7 @@ QUERIES = {
             + CASE WHEN rating > 0 THEN 2 ELSE 0 END AS INTEGER) AS engagement_score
           FROM {FLAT_EVENTS}""",
     ),
-    "layers_data_tests": (
-        layers_data_tests,
-        """SELECT unnest(['not_null(fact_events.event_id)', 'not_null(fact_events.is_completed)',
-            'not_null(fact_events.safe_time_spent_sec)',
-            'not_null(fact_enrollments.enrollment_id)',
-            'not_null(fact_enrollments.enrollment_channel)']) AS test,
-          CAST(0 AS BIGINT) AS failures, true AS passed""",
-    ),
+    "layers_data_tests": (layers_data_tests, tests_sql(USERS)),
     "materialized_layers": (
         materialized_layers,
         f"""SELECT 'daily' AS what, CAST(CAST(event_ts AS DATE) AS VARCHAR) AS label,

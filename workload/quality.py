@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import coerce_date, coerce_number, coerce_timestamp
 from tidemark.operators import checks, coerce, dedup, joins, reports, rules
 from tidemark.plans import learning
-from tidemark.plans.contracts import contract
+from tidemark.plans.contracts import Contract, Field
+from tidemark.session import write_through
 from workload import inputs
 from workload.inputs import COURSES, ENROLLMENTS, FLAT_EVENTS, USERS, table
 from workload.learning import fact_events_frame
@@ -64,13 +62,31 @@ _EDGES = (
 
 
 def fk_graph(spark, d):
-    whole = {t: table(spark, d, t) for t in ("lineitem", *_PARENTS)}
-    held = {t: whole[t].filter(condition) for t, condition in _PARENTS.items()}
-    parts = [
-        checks.fk_report({edge[0]: whole[edge[0]], edge[2]: held[edge[2]]}, [edge])
-        for edge in _EDGES
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    tables = {t: table(spark, d, t) for t in ("lineitem", *_PARENTS)}
+    return checks.fk_report(tables, _EDGES, {t: F.expr(c) for t, c in _PARENTS.items()})
+
+
+def fk_lost_ancestors(spark, d):
+    """Rows whose parent is there, but not its parent, or that one's: by path through the graph."""
+    tables = {t: table(spark, d, t) for t in ("lineitem", *_PARENTS)}
+    known = {t: F.expr(c) for t, c in _PARENTS.items()}
+    counts = write_through(checks.fk_counts(tables, _EDGES, known), "fk-counts")
+    return checks.lost_ancestors(tables, _EDGES, counts, known)
+
+
+def _paths(start):
+    for edge in _EDGES:
+        if edge[0] == start[-1][2]:
+            yield [*start, edge]
+            yield from _paths([*start, edge])
+
+
+def _lost_sql(path):
+    (table, fk, _, _), last = path[0], path[-1]
+    joins = " ".join(f"JOIN (SELECT * FROM {p} WHERE {_PARENTS[p]}) ON {c} = {pk}" for _, c, p, pk in path[:-1])
+    label = " -> ".join(f"{t}.{c}" for t, c, _, _ in path) + f" -> {last[2]}"
+    return f"""SELECT '{label}' AS path, count(DISTINCT {fk}) AS keys, count(*) AS rows FROM {table} {joins}
+      WHERE {last[1]} NOT IN (SELECT {last[3]} FROM {last[2]} WHERE {_PARENTS[last[2]]}) HAVING count(*) > 0"""
 
 
 def _fk_sql(child, fk, parent, pk):
@@ -102,8 +118,9 @@ def data_tests(spark, d):
     return checks.run_tests(_test_tables(spark, d), learning.TESTS)
 
 
-def _data_tests_sql() -> str:
-    users = f"(SELECT *, md5(user_id) AS user_sk, upper(country) AS country_code FROM {USERS} WHERE created_at >= TIMESTAMP '2020-02-01')"
+def tests_sql(users: str) -> str:
+    """The declared tests over the stand-ins, with these users."""
+    users = f"(SELECT *, md5(user_id) AS user_sk, upper(country) AS country_code FROM {users})"
     source = {
         "stg_users": users,
         "dim_users": users,
@@ -406,9 +423,8 @@ def extra_columns_capture(spark, d):
 
 def contract_projection(spark, d):
     """Events as the contracted fields of the fact, whatever else the table holds."""
-    wanted = contract(
-        "event", "EventID 64, UserID 64, EventTs timestamp, EventCategory 16"
-    )
+    fields = (Field("EventID", "text", 64), Field("UserID", "text", 64), Field("EventTs", "timestamp"), Field("EventCategory", "text", 16))
+    wanted = Contract("event", fields)
     return coerce.project_contract(fact_events_frame(spark, d), wanted)
 
 
@@ -445,7 +461,11 @@ QUERIES = {
           (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
     ),
     "fk_graph": (fk_graph, " UNION ALL ".join(_fk_sql(*e) for e in _EDGES)),
-    "data_tests": (data_tests, _data_tests_sql()),
+    "fk_lost_ancestors": (
+        fk_lost_ancestors,
+        " UNION ALL ".join(_lost_sql(p) for e in _EDGES for p in _paths([e])),
+    ),
+    "data_tests": (data_tests, tests_sql(f"(SELECT * FROM {USERS} WHERE created_at >= TIMESTAMP '2020-02-01')")),
     "star_enrich": (
         star_enrich,
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, p_brand, p_type,
