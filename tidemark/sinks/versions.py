@@ -79,7 +79,7 @@ class VersionedTable:
         return Manifest.of(_read_text(self.spark, self._manifest_path(versions[-1] if version is None else version)))
 
     def versions(self) -> list[int]:
-        names = _list(self.spark, f"{self.root}/versions")
+        names = list_names(self.spark, f"{self.root}/versions")
         return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0] != ".")
 
     def exists(self) -> bool:
@@ -357,11 +357,20 @@ def _path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _list(spark: SparkSession, folder: str) -> list[str]:
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
     path, fs = _path(spark, folder)
     return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
 
+def move(spark: SparkSession, old: str, new: str) -> None:
+    source, fs = _path(spark, old)
+    target, _ = _path(spark, new)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise FileExistsError(f"cannot move {old} to {new}")
+
+
 def _read_text(spark: SparkSession, path: str) -> str:
     p, fs = _path(spark, path)
     stream = fs.open(p)

@@ -1,6 +1,6 @@
 """Queries over the star-schema tables, one per operator, with their SQL counterparts."""
 
-from workload import documents, incremental, layers, learning, loading, plant, published, quality, streams
+from workload import documents, incremental, layers, learning, loading, loads, plant, published, quality, streams
 
 ALL = {
     **learning.QUERIES,
@@ -12,4 +12,5 @@ ALL = {
     **layers.QUERIES,
     **published.QUERIES,
     **plant.QUERIES,
+    **loads.QUERIES,
 }
