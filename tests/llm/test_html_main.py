@@ -143,3 +143,74 @@ def test_query_against_the_articles(spark):
         blocks = (re.sub(r"<[^>]*>", "", re.sub("<br>", " ", b)) for b in re.split(r"</?(?:p|h1)>", inner))
         blocks = (" ".join(lib.unescape(b).split()) for b in blocks)
         assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize(
+    "source,blocks",
+    [
+        ('<p title="it>lost <b>text</b> <a href="y">z</a></p><p>q', ["lost text z", "q"]),
+        ('<p title="it>He said "hello" to</p>', ['He said "hello" to']),
+        ("<p a='x>y' b=\"</p>\">w", ["w"]),
+        ("<p title=>a</p><p x'y>b", ["a", "b"]),
+        ("<a b <p>c", ["c"]),
+        ("a <b c", ["a <b c"]),
+        ("x <!bad y>z", ["x z"]),
+    ],
+)
+def test_broken_quotes_and_tags(source, blocks):
+    assert [t for _, t in parse(source).blocks] == blocks
+
+
+@pytest.mark.parametrize("piece", ["<a b ", '<p title="x ', "<x ' ", "<script ", "<template>", "</", "<p a='", '<p x="y>', "<div>", "<ul><p>", "</ul><li>"])
+def test_parsing_takes_time_in_proportion(piece):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        Nodes([parse(piece * n)])
+        return time.perf_counter() - start
+
+    seconds(100)
+    short, long = min(seconds(4000) for _ in range(3)), seconds(32000)
+    assert long < 40 * short + 0.2
+
+
+def strange_page(rng, pool):
+    """A page made apart from ``layout``: no telling name on main text, junk by what it is; and its main blocks."""
+    text = lambda a, b: " ".join(pool[i] for i in rng.integers(len(pool), size=rng.integers(a, b + 1)))
+    name = lambda: rng.choice(["", " class=css-1x9", " class='a b-c'", " id=r7", " class=\"_3fQ\"", " data-v=1"])
+    title, paragraphs = text(3, 8), [text(12, 70) + "." for _ in range(rng.integers(3, 9))]
+    style = rng.choice(["p", "div", "br", "span"])
+    if style == "br":
+        inner, want = "<br><br>".join(paragraphs), [title, " ".join(paragraphs)]
+    else:
+        around = {"p": ("<p>", "</p>"), "div": (f"<div{name()}>", "</div>"), "span": ("<div><span>", "</span></div>")}[style]
+        inner, want = "".join(around[0] + p + around[1] for p in paragraphs), [title, *paragraphs]
+    main = f"<h1>{title}</h1>{inner}"
+    where = rng.choice(["body", "div", "deep", "section"] if style != "br" else ["div", "deep", "section"])
+    if where != "body":
+        tag = "section" if where == "section" else "div"
+        main = f"<{tag}{name()}>{main}</{tag}>"
+    if where == "deep":
+        main = f"<div{name()}><div{name()}>{main}</div></div>"
+    word = lambda: pool[rng.integers(len(pool))]
+    menu = "<ul>" + "".join(f"<li><a href=/{w}>{w}</a>" for w in (word() for _ in range(rng.integers(4, 9)))) + "</ul>"
+    top = f"<div{name()}>{menu}</div>" if rng.random() < 0.7 else f"<nav>{menu}</nav>"
+    side = f"<div{name()}><h3>{text(1, 3)}</h3>{menu}</div>" if rng.random() < 0.5 else ""
+    form = f"<form><label>{text(1, 3)}</label><input><button>{word()}</button></form>" if rng.random() < 0.4 else ""
+    foot = f"<footer>&copy; {text(2, 12)}</footer>" if rng.random() < 0.8 else ""
+    return f"<html><head><title>{title}</title></head><body>{top}{form}{main}{side}{foot}</body></html>", want
+
+
+def test_pages_without_telling_names():
+    pool = [f"word{k}" for k in range(300)]
+    trees = html_main.fit_layouts([f"<p>{' '.join(pool[i * n % 300] for i in range(n))}." for n in range(3, 80)])
+    rng = np.random.default_rng(11)
+    pages = [strange_page(rng, pool) for _ in range(400)]
+    got = html_main.main_blocks([p for p, _ in pages], trees)
+    assert sum(g == want for g, (_, want) in zip(got, pages)) >= 0.95 * len(pages)
+    six = [" ".join(pool[k * 9 : k * 9 + 14]) + ", and more." for k in range(6)]
+    for opening, closing, one in (("<body>", "", "<p>{}</p>"), ('<div class="c-9f">', "</div>", "<div>{}</div>"), ("<div id=content>", "</div>", "{}<br>"), ("<main>", "</main>", "<p>{}</p>")):
+        page = f"{opening}<h1>A title here</h1>{''.join(one.format(p) for p in six)}{closing}"
+        blocks = html_main.main_blocks([page], trees)[0]
+        assert blocks == (["A title here", " ".join(six)] if "br" in one else ["A title here", *six]), opening

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -45,14 +46,54 @@ GROUPS = {
     "main": "article content main post entry story body text page prose",
 }
 _GROUP = {w: 1 << i for i, ws in enumerate(GROUPS.values()) for w in ws.split()}
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S
-)
+_OPENING = re.compile(r"<(?:!--|(/?)([A-Za-z][^\s/>]*)|[!?/])")
+_STOPS_TAG = re.compile(r"""[>"']""")
+_VALUE = re.compile(r"=\s*\Z")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def tag_end(html: str, at: int) -> int:
+    """Where the ``>`` of a tag stands whose name ends at ``at``; -1 if there is none.
+
+    A quoted value may hold ``>``. A quote that opens a value counts only if the next one
+    closes it, as far as can be told: white space, ``/`` or ``>`` stand behind that one,
+    and no ``=`` before it. Otherwise the tag ends at the first ``>``.
+    """
+    here = at
+    while m := _STOPS_TAG.search(html, here):
+        place = m.start()
+        if m[0] == ">":
+            return place
+        here = place + 1
+        if not _VALUE.search(html[max(at, place - 16) : place]):
+            continue
+        close = html.find(m[0], here)
+        if close < 0 or html[close + 1 : close + 2].strip(" \t\n\r\f/>") or _VALUE.search(html[max(here, close - 16) : close]):
+            return html.find(">", here)
+        here = close + 1
+    return -1
+
+
+def next_tag(html: str, at: int) -> tuple[int, int, str | None, bool, str]:
+    """(start, end, name, whether it closes, attributes) of the next tag from ``at``; without a name it is a comment or the like.
+
+    Each character is looked at a bounded number of times, however the markup is broken:
+    where no ``>`` follows, no tag does, and the rest is text.
+    """
+    m = _OPENING.search(html, at)
+    if not m:
+        return len(html), len(html), None, False, ""
+    if m[0] == "<!--":
+        close = html.find("-->", m.end())
+        return m.start(), len(html) if close < 0 else close + 3, None, False, ""
+    close = html.find(">", m.end()) if m[2] is None else tag_end(html, m.end())
+    if close < 0:
+        return len(html), len(html), None, False, ""
+    return m.start(), close + 1, m[2], bool(m[1]), html[m.end() : close]
+
+
 class Page:
     """Block-level nodes in page order: parents before children. Node 0 stands for the page."""
 
@@ -70,6 +111,10 @@ def parse(html: str) -> Page:
     open_: list[tuple[str, int]] = [("", 0)]
     held: list[str] = []
     linked = links = 0
+    # How many nodes of a name are open, and tags that nothing further down closes: so that
+    # neither the open nodes nor the rest of the page are searched in vain again and again.
+    opened: Counter[str] = Counter()
+    unclosed: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -88,33 +133,32 @@ def parse(html: str) -> Page:
         linked = 0
 
     def close_until(names: set[str], stop: set[str]) -> None:
+        if not any(opened[n] for n in names):
+            return
         for k in range(len(open_) - 1, 0, -1):
             if open_[k][0] in names:
                 flush()
+                opened.subtract(n for n, _ in open_[k:])
                 del open_[k:]
                 return
             if open_[k][0] in stop:
                 return
 
-    at, end, find = 0, len(html), _TOKEN.search
+    at, end = 0, len(html)
     while at < end:
-        m = find(html, at)
-        text = html[at : m.start()] if m else html[at:]
-        if text:
-            held.append(text)
+        start, behind, name, closes, attributes = next_tag(html, at)
+        if start > at:
+            held.append(html[at:start])
             if links:
-                linked += len(text)
-        if not m:
-            break
-        at = m.end()
-        name = m[2]
+                linked += start - at
+        at = behind
         if name is None:
             continue
         name = name.lower()
-        if m[1]:
+        if closes:
             if name == "a":
                 links = max(0, links - 1)
-            elif name in _BLOCK and any(n == name for n, _ in open_):
+            elif name in _BLOCK and opened[name]:
                 close_until({name}, set())
             elif name == "p":
                 flush()
@@ -124,10 +168,13 @@ def parse(html: str) -> Page:
         elif name in ("br", "img", "wbr"):
             held.append(" ")
         elif name in _SILENT:
-            if not m[3].endswith("/"):
-                close = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
-                at = close.end() if close else end if name in _RAW else at
-        elif name in _EITHER and (m[3].endswith("/") or any(t.strip() for t in held)):
+            if not attributes.endswith("/"):
+                close = None if name in unclosed else re.compile(rf"</{name}\b", re.I).search(html, at)
+                if not close:
+                    unclosed.add(name)
+                shut = html.find(">", close.end()) if close else -1
+                at = shut + 1 if shut >= 0 else end if name in _RAW else at
+        elif name in _EITHER and (attributes.endswith("/") or any(t.strip() for t in held)):
             continue
         elif name in _VOID_BLOCK:
             flush()
@@ -140,12 +187,13 @@ def parse(html: str) -> Page:
             if name in _LIKE:
                 close_until(_LIKE[name], _STOP.get(name, set()))
             groups = 0
-            if m[3]:
-                for a, b, c in _NAMES.findall(m[3]):
+            if attributes:
+                for a, b, c in _NAMES.findall(attributes):
                     for word in _WORD.findall(_CAMEL.sub(" ", a or b or c)):
                         groups |= _GROUP.get(word.lower(), 0)
             parent = open_[-1][1]
             open_.append((name, len(page.code)))
+            opened[name] += 1
             page.code.append(_CODE.get(name, _OTHER))
             page.parent.append(parent)
             page.depth.append(page.depth[parent] + 1)
@@ -169,7 +217,8 @@ class Nodes:
         self.link, self.stops, self.groups = gather("link"), gather("stops"), gather("groups")
         parent = gather("parent")
         self.parent = np.where(parent >= 0, parent + self.first[self.page], -1)
-        self.levels = [np.flatnonzero(self.depth == d) for d in range(int(self.depth.max(initial=0)) + 1)]
+        by_depth = np.argsort(self.depth, kind="stable")
+        self.levels = np.split(by_depth, np.cumsum(np.bincount(self.depth, minlength=1))[:-1])
 
     def up(self, values: np.ndarray) -> np.ndarray:
         """Sums over subtrees."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import boosting
 from tidemark.llm.dom import Nodes, Page, parse
+from tidemark.llm.sampling import bounded_sample
 
 _MARK = "data-main"
 
@@ -33,7 +34,19 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
     """A page with these paragraphs as main text in a random layout; per node whether it is main text."""
     labels: list[bool] = [False]
     out: list[str] = ["<!DOCTYPE html>"]
-    inside = False
+    #: Whether tags and classes tell what a node is, or are made up.
+    telling = rng.random() < 0.55
+
+    def made() -> str:
+        """A holder that says nothing: unnamed, or with a class as style sheets are compiled to."""
+        kind = rng.integers(4)
+        if kind < 2:
+            return _named(rng, "div", "div", "section") if kind else "div"
+        letters = "".join(chr(97 + rng.integers(26)) for _ in range(rng.integers(1, 7)))
+        return f"div {_named(rng, 'class', 'class', 'id')}={letters}{_named(rng, '-', '_', '')}{rng.integers(1, 4096):x}"
+
+    def known(*names: str) -> str:
+        return _named(rng, *names) if telling else made()
 
     def put(opening: str, text: str = "", main: bool = False) -> str:
         labels.append(main)
@@ -71,9 +84,10 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
         elif kind == "advert":
             leaf(_named(rng, 'div class="ad"', 'div class="advert banner"', 'aside class="sponsored"', 'p class="promo"'), text(2, 60))
         elif kind == "side":
-            name = put(_named(rng, "aside", 'div class="sidebar"', 'div class="related"'))
+            bare = not telling and rng.random() < 0.6
+            name = put(made() if bare else _named(rng, "aside", 'div class="sidebar"', 'div class="related"'))
             leaf(_named(rng, "h3", "h2"), text(1, 6))
-            if rng.random() < 0.6:
+            if bare or rng.random() < 0.6:
                 links("ul", 2, 6)
             else:
                 leaf("p", text(5, 80))
@@ -95,7 +109,7 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
                 end(one)
             end(name)
         else:
-            links('ul class="share"', 2, 5)
+            links('ul class="share"' if telling else "ul", 2, 5)
 
     def special(text: str) -> None:
         """Main text in a table, figure, list of terms, preformatted block or object."""
@@ -133,24 +147,31 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
         else:
             leaf(_named(rng, "pre", "pre class=code") if kind == "pre" else _named(rng, "object data=a", "svg", "canvas"), parts[0], True)
 
-    name = put(f"html lang={_named(rng, 'en', 'de')}")
-    head = put("head")
-    leaf("title", escape(title))
-    end(head)
-    body = put("body")
-    wrapped = put(_named(rng, "div id=page", "div class=wrapper", "div")) if rng.random() < 0.5 else ""
+    # Some pages are fragments, without the outer tags.
+    frame = ["html lang=" + _named(rng, "en", "de"), "body"] if rng.random() < 0.85 else []
+    for opening in frame:
+        put(opening)
+        if opening != "body":
+            head = put("head")
+            leaf("title", escape(title))
+            end(head)
+    wrapped = put(known("div id=page", "div class=wrapper", "div")) if rng.random() < 0.5 else ""
     often = _named(rng, 0.1, 0.35, 0.6)
     for kind in ("notice", "header", "menu", "advert", "form", "side"):
         if rng.random() < often + 0.4 * (kind == "menu"):
             junk(kind)
-    outer = put(_named(rng, "main", "section", "div class=columns")) if rng.random() < 0.4 else ""
-    inside = True
-    region = put(
-        _named(rng, "article", "article", 'article class="post"', 'div class="content"', 'div class="entry"', 'div id="main"', "main"),
-        main=inside,
-    )
+    outer = put(known("main", "section", "div class=columns")) if rng.random() < 0.4 else ""
+    region = ""
+    if telling or rng.random() < 0.75:
+        named = _named(rng, "article", "article", 'article class="post"', 'div class="content"', 'div class="entry"', 'div id="main"', "main")
+        region = put(named if telling or rng.random() < 0.2 else made(), main=True)
     if rng.random() < 0.9:
         leaf(_named(rng, "h1", "h2"), escape(title), True)
+    # Paragraphs in p, in holders that say nothing, or in one block with line breaks.
+    style = "p" if telling and rng.random() < 0.75 else _named(rng, "p", "div", "made", "breaks")
+    if style == "breaks" and region:
+        out.append(_named(rng, "<br>", "<br><br>", "<br/>\n").join(map(escape, paragraphs)))
+        paragraphs = []
     sub, rich = _named(rng, (0.05, 0.0), (0.2, 0.06), (0.35, 0.2))
     for i, text in enumerate(paragraphs):
         if rng.random() < often / 6:
@@ -172,12 +193,14 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
             leaf("p", escape(text), True)
             end(holder)
         else:
-            leaf("p", ("<b>" if i == 0 and kind < 0.3 else "") + escape(text), True)
+            one = "p" if style in ("p", "breaks") else "div" if style == "div" else made()
+            leaf(one, ("<b>" if i == 0 and kind < 0.3 else "") + escape(text), True)
     if rng.random() < 0.15:
         leaf("p", escape(_words(rng, pool, 1, 8)), True)
     if rng.random() < often / 2:
         junk(_named(rng, "comment", "share", "advert", "side"))
-    end(region)
+    if region:
+        end(region)
     for kind in ("comment", "side", "share", "advert"):
         if rng.random() < often / 1.5:
             junk(kind)
@@ -189,12 +212,12 @@ def layout(title: str, paragraphs: list[str], pool: list[str], rng: np.random.Ge
         junk("footer")
     if wrapped:
         end(wrapped)
-    end(body)
-    end(name)
+    for opening in frame[::-1]:
+        end(opening.split()[0])
     return "".join(out), labels
 
 
-def fit_layouts(pages: list[str], layouts: int = 700, seed: int = 5, **options) -> boosting.Trees:
+def fit_layouts(pages: list[str], layouts: int = 1000, seed: int = 5, **options) -> boosting.Trees:
     """Trees from ``layouts`` random layouts of the texts of ``pages``; without pages, of made-up words."""
     rng = np.random.default_rng(seed)
     texts = [t for p in pages for _, t in parse(p).blocks]
@@ -205,6 +228,9 @@ def fit_layouts(pages: list[str], layouts: int = 700, seed: int = 5, **options)
     for _ in range(layouts):
         many = rng.integers(1, _named(rng, 2, 4, 10, 25, 60))
         chosen = [texts[i] for i in rng.integers(len(texts), size=many)]
+        if rng.random() < 0.1:
+            # Pages of a line or two.
+            chosen = [_words(rng, pool, 1, 9) for _ in range(rng.integers(1, 3))]
         html, marks = layout(_words(rng, pool, 1, 14), chosen, pool, rng)
         page = parse(html)
         if len(page.code) != len(marks):
@@ -241,14 +267,14 @@ def extract_main_text(
     Rows that repeat are each extracted, ids and urls may be null. Columns of other
     names are ignored; an empty table gives no rows.
 
-    The trees learn from at most ``most_pages`` pages, those with the smallest hash of
-    their id and page.
+    The trees learn from at most ``most_pages`` pages, chosen by a hash of their id and
+    page; no more than these are sent to the driver.
     """
     slim = pages.select(
         F.col(f"`{id}`").alias("id"), F.col(f"`{url}`").alias("url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("html")
     )
-    sample = slim.select(F.xxhash64("id", "html").alias("h"), "html").orderBy("h", "html").limit(most_pages).toPandas()
-    shared = pages.sparkSession.sparkContext.broadcast(fit_layouts(sample["html"].tolist()))
+    sample = sorted(r.html for r in bounded_sample(slim, F.struct("id", "html"), most_pages).select("html").collect())
+    shared = pages.sparkSession.sparkContext.broadcast(fit_layouts(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
