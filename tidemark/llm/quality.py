@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import boosting, words
+from tidemark.llm.sampling import bounded_sample
 from tidemark.session import write_through
 
 _CLASSES = {
@@ -117,20 +118,17 @@ def fit_quality(
 ) -> boosting.Trees:
     """Trees for ``label`` from rows that are not held out.
 
-    At most ``most_rows`` labelled rows are used, those with the smallest hash of their
-    id: the bound of what the driver holds. Rows with a null id or label teach nothing;
+    At most ``most_rows`` labelled rows are used, chosen by a hash of their id: the bound
+    of what the driver holds, and of what is sent to it. Rows with a null id or label teach nothing;
     a label other than 0 counts as 1.
     """
     known = labels.select(F.col("doc_id").alias("id"), F.col(label).alias("y")).filter(
         F.col("id").isNotNull() & F.col("y").isNotNull()
     )
-    sample = (
-        stats.join(known, "id")
-        .filter(~held_out(F.col("id")))
-        .orderBy(F.xxhash64("id"), "id", "y", F.xxhash64("x"))
-        .limit(most_rows)
-        .toPandas()
-    )
+    marked = write_through(stats.join(known, "id").filter(~held_out(F.col("id"))), "marked")
+    sample = bounded_sample(marked, F.col("id"), most_rows).withColumn("h", F.xxhash64("id", "y", "x")).toPandas()
+    # One order, whichever task sent a row first: the trees follow from the rows alone.
+    sample = sample.sort_values(["h", "y"], ignore_index=True)
     x = np.stack(sample["x"]) if len(sample) else np.zeros((0, len(NAMES)))
     return boosting.fit(x, (sample["y"].to_numpy() != 0) if len(sample) else np.zeros(0), **options)
 
