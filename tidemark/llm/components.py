@@ -27,7 +27,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = None
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Written, as is ``down``: the joins with them can then be split at a root that very many nodes hang on.
+        lowest = write_through(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
         large = (
             both.filter("v > u")
             .join(lowest, "u")
@@ -36,7 +37,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .distinct()
         )
         large = write_through(large, "large-star")
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        down = write_through(large.groupBy("u").agg(F.min("v").alias("m")), "down")
         small = (
             large.join(down, "u")
             .filter("v > m")

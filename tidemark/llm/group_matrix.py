@@ -87,8 +87,18 @@ def _frequent(slim: DataFrame, n: int, percent: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(upper.view(np.int32))], ["t"])
 
     counts = slim.select("text").mapInArrow(run, "t int").groupBy("t").agg(F.count("*").alias("k"))
-    top = counts.filter(F.col("k") > FREQUENT).orderBy(F.desc("k"), "t").limit(MOST_FREQUENT)
-    return top.select("t").toPandas()["t"].to_numpy(dtype=np.int32).view(np.uint32)
+    counts = write_through(counts.filter(F.col("k") > FREQUENT), "frequent")
+    # How many tokens are how frequent, in steps of a sixteenth of a doubling, decides from which step they fit.
+    step = F.floor(F.log2("k") * 16)
+    held, least = 0, None
+    for s, many in sorted(map(tuple, counts.groupBy(step.alias("s")).count().collect()), reverse=True):
+        if held + many > MOST_FREQUENT:
+            break
+        held, least = held + many, s
+    if least is None:
+        return np.zeros(0, dtype=np.uint32)
+    top = counts.filter(step >= least).select("t").toPandas()
+    return top["t"].to_numpy(dtype=np.int32).view(np.uint32)
 
 
 def _signatures(slim: DataFrame, n: int, percent: int, order: Order) -> DataFrame:
@@ -185,7 +195,8 @@ def _open(slim: DataFrame, classes: DataFrame, candidates: DataFrame, members: D
     One link is reported for each component of the group that is not the query's.
     """
     asked = candidates.select("cls", "comp", "gid", F.pmod(F.xxhash64("cls"), F.lit(1 << 20)).alias("h"))
-    chunks = asked.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks"))
+    # Written, so that the joins with it can be split where one group has very many queries.
+    chunks = write_through(asked.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks")), "chunks")
     asked = asked.join(chunks, "gid").select("gid", F.pmod("h", "chunks").alias("chunk"), "cls", "comp", F.lit(True).alias("query"))
     held = (
         members.join(chunks, "gid")
