@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.sampling import unused
 from tidemark.llm.sweep import latest_mark
+from tidemark.session import write_through
 
 
 def host_of(url: Column) -> Column:
@@ -83,6 +85,8 @@ def match_rules(
         .join(rules.select("pkey", F.concat("host", "path").alias("rule"), "verdict"), "pkey")
         .select("host", "path", "rule", "verdict")
     )
+    # Written, so that the join can be split at a place that very many urls share.
+    best = write_through(best, "rules-of-places")
     return urls.join(best, ["host", "path"], "left").select(
         "url", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
     )
@@ -98,15 +102,17 @@ def judge_urls(
     path. Of rules with one host and path, a ``block`` wins over an ``allow``. Rules
     without host or verdict are ignored, a null path is an empty one. A url that no
     rule fits gets ``default`` and a null rule. A url that is null or has no ``://``
-    has an empty host and path. Columns of ``pages`` named like the four are replaced.
+    has an empty host and path. Columns of ``pages`` named like the four, in any case,
+    are replaced; others may have any name. Urls are read whole, however long.
     Repeated urls are judged once and all get the result; an empty table gives none.
     """
     judged = match_rules(pages, rules, url, default)
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     pages = pages.select(*[F.col(f"`{c}`") for c in kept])
-    judged = judged.select(F.col("url").alias("_url"), "host", "path", "rule", "verdict")
+    (same,) = unused(pages, "url")
+    judged = judged.select(F.col("url").alias(same), "host", "path", "rule", "verdict")
     known = pages.filter(F.col(f"`{url}`").isNotNull())
-    out = known.join(judged, F.col(f"`{url}`") == F.col("_url")).drop("_url")
+    out = known.join(judged, F.col(f"`{url}`") == F.col(same)).drop(same)
     blank = pages.filter(F.col(f"`{url}`").isNull()).select(
         "*",
         F.lit("").alias("host"),
