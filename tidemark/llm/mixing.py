@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.sampling import unused
 from tidemark.session import write_through
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -183,6 +184,7 @@ def mix_sources(
     id: str = "doc_id",
     source: str = "source",
     row: Column | None = None,
+    tree_seed: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: the documents with their targets, and the draws that make up the mix.
 
@@ -197,7 +199,8 @@ def mix_sources(
     drawn. Rows that repeat are documents of their own. Ids may be null; they take
     part only in the random order, so a rerun draws the same. Columns with other names
     are ignored. An empty table gives two empty tables. ``row`` may name a number that
-    tells the rows of ``docs`` apart; else they are numbered here.
+    tells the rows of ``docs`` apart; else they are numbered here. ``tree_seed`` is that of
+    the splitting tree alone, which decides the shards and not what is drawn.
     """
     words = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD)).cast("long")
     base = write_through(
@@ -268,7 +271,7 @@ def mix_sources(
         "*", F.explode(F.sequence(F.lit(0), F.col("rounds").cast("int"))).alias("round")
     ).withColumn("words", F.when(F.col("round") < F.col("rounds"), F.col("held")).otherwise(F.col("partial"))).filter("words > 0")
     quotas = drawn.groupBy("source_no").agg(F.count("*").alias("quota"))
-    leaves = split_quotas(quotas, shards, seed)
+    leaves = split_quotas(quotas, shards, seed if tree_seed is None else tree_seed)
     runs = leaves.groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct("before", "shard"))).alias("runs"))
     per_round = plan.select("source_no", "blocks")
     place = F.col("round") * F.col("blocks") + F.col("rank")
@@ -290,27 +293,33 @@ def mixed_documents(docs: DataFrame, block_words: int = 256, text: str = "text",
 
     A text that is drawn whole is left as it is; of one that is drawn in part the words
     of the drawn blocks remain, single spaces between. ``n_chars`` follows the text.
+
+    Documents without words, null texts among them, are in no mix. Repeated rows are
+    documents of their own, a null id or source is a value like others. Columns may have
+    any names; an empty table gives no rows. Texts are cut whole, however long.
     """
-    held = write_through(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-texts")
-    known, draws = mix_sources(held, block_words=block_words, text=text, row=F.col("_row"), **options)
+    row, left, split = unused(docs, "row", "blocks", "words")
+    held = write_through(docs.withColumn(row, F.monotonically_increasing_id()), "mix-texts")
+    known, draws = mix_sources(held, block_words=block_words, text=text, row=F.col(row), **options)
     rounds = (
         draws.groupBy("row", "round")
         .agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("block", "words"))).alias("blocks"))
         .join(known.select("row", "size"), "row")
-        .select(F.col("row").alias("_row"), F.when(F.col("words") < F.col("size"), F.col("blocks")).alias("_blocks"))
+        .select(F.col("row").alias(row), F.when(F.col("words") < F.col("size"), F.col("blocks")).alias(left))
     )
-    pieces = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    body = F.col(f"`{text}`")
+    pieces = F.filter(F.split(body, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     part = F.array_join(
         F.flatten(
-            F.transform("_blocks", lambda b: F.slice("_words", b["block"] * block_words + 1, b["words"].cast("int")))
+            F.transform(left, lambda b: F.slice(split, b["block"] * block_words + 1, b["words"].cast("int")))
         ),
         " ",
     )
     out = (
-        held.join(rounds, "_row")
-        .withColumn("_words", F.when(F.col("_blocks").isNotNull(), pieces))
-        .withColumn(text, F.when(F.col("_blocks").isNull(), F.col(text)).otherwise(part))
+        held.join(rounds, row)
+        .withColumn(split, F.when(F.col(left).isNotNull(), pieces))
+        .withColumn(text, F.when(F.col(left).isNull(), body).otherwise(part))
     )
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text).cast(dict(docs.dtypes)["n_chars"]))
+        out = out.withColumn("n_chars", F.length(body).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

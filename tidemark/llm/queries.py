@@ -190,12 +190,15 @@ def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, d: str) -> DataFrame:
-    """Words that the mix takes of every document."""
-    docs, draws = mixing.mix_sources(table(spark, d, "documents"))
-    taken = draws.groupBy("row").agg(F.sum("words").alias("words"))
+    """Words that the mix takes of every document, in all and by output shard."""
+    shards = 8
+    docs, draws = mixing.mix_sources(table(spark, d, "documents"), shards=shards)
+    by_shard = [F.sum(F.when(F.col("shard") == k, F.col("words")).otherwise(0)) for k in range(shards)]
+    taken = draws.groupBy("row").agg(F.sum("words").alias("words"), F.array(*by_shard).alias("by_shard"))
     return docs.join(taken, "row", "left").select(
         F.col("id").alias("doc_id"), "size", "source_size", "target",
         F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("by_shard", F.array_repeat(F.lit(0).cast("long"), shards)).alias("taken_by_shard"),
     )
 
 
