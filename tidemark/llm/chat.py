@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ESCAPE = "\\"
 
@@ -102,15 +103,17 @@ def format_turns(
     ``loss_start:loss_end`` is the trained part of the segment, empty for other roles.
     ``state`` is the machine's state after the turn, ``error`` from the first turn
     that has no move. A null text or role is an empty one; rows without conv_id form
-    one conversation. Other columns are ignored; an empty table gives no rows.
+    one conversation. Ids that are no whole numbers are kept as text. Other columns are ignored; an empty table gives no rows.
 
     Turns stream through a task one by one: no conversation is held whole, so its
     length is not bound by memory.
     """
     template = template or Template()
+    whole = isinstance(turns.schema[conv].dataType, (T.IntegralType, T.NullType))
+    kind = "long" if whole else "string"
     ordered = (
         turns.select(
-            F.col(f"`{conv}`").cast("long").alias("conv_id"),
+            F.col(f"`{conv}`").cast(kind).alias("conv_id"),
             F.col(f"`{turn}`").alias("turn"),
             F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
             F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
@@ -133,11 +136,11 @@ def format_turns(
                 out.append((c, number, *template.segment(r, t, pattern), state))
                 number += 1
             yield pd.DataFrame(out, columns=["conv_id", "number", "segment", "loss_start", "loss_end", "state"]).astype(
-                {"conv_id": "Int64"}
+                {"conv_id": "Int64" if whole else "object"}
             )
 
     return ordered.mapInPandas(
-        run, "conv_id long, number long, segment string, loss_start int, loss_end int, state string"
+        run, f"conv_id {kind}, number long, segment string, loss_start int, loss_end int, state string"
     )
 
 

@@ -14,8 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.components import components
 from tidemark.llm.lattice import Tables
@@ -140,6 +141,12 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
+def _whole(df: DataFrame, column: str) -> Column:
+    """A column as whole numbers with equal ones for equal values: itself, or a hash of 64 bits."""
+    kind, c = df.schema[column].dataType, F.col(f"`{column}`")
+    return c.cast("long") if isinstance(kind, (T.IntegralType, T.NullType)) else F.when(c.isNotNull(), F.xxhash64(c))
+
+
 def near_duplicates(
     vectors: DataFrame,
     cosine: float = 0.98,
@@ -157,7 +164,7 @@ def near_duplicates(
     is at least ``cosine``. Rows whose label or vector is null, whose vector is empty or
     zero or holds a null or a number that is not finite, are linked with nothing, nor
     are vectors of different length. Equal vectors are linked; repeated rows are rows of
-    their own. ``n_links`` counts the other rows, ``component_id`` is the smallest id
+    their own. Labels may be of any type that has a hash. ``n_links`` counts the other rows, ``component_id`` is the smallest id
     reachable (null ids do not count), ``kept`` says whether it is the row's own. Columns
     of other names are ignored. An empty table gives no rows.
 
@@ -169,7 +176,7 @@ def near_duplicates(
     slim = vectors.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(f"`{id}`").alias("id"),
-        F.col(f"`{label}`").cast("long").alias("label"),
+        _whole(vectors, label).alias("label"),
         F.col(f"`{vector}`").alias("v"),
     )
     ready = write_through(_prepared(slim, options), "vectors")
