@@ -185,16 +185,6 @@ def test_orphans_of_an_empty_parent(spark):
     assert rows(report) == [("c.fk", "p.id", 1, 1)]
 
 
-def test_broadcast_only_when_measured_small(spark):
-    dim = spark.createDataFrame([(i, "x" * 100) for i in range(100)], "k int, name string")
-    fact = spark.range(10).selectExpr("cast(id as int) k")
-    hinted = fact.join(joins.broadcast_dim(dim, max_bytes=1 << 20), "k", "left")
-    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
-    plain = fact.join(joins.broadcast_dim(dim, max_bytes=1000), "k", "left")
-    assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
-    assert rows(hinted) == rows(plain)
-
-
 def test_newest_first_puts_null_first(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
     assert [r.v for r in reports.newest_first(df, "v").collect()] == [None, 3, 1]

@@ -133,3 +133,60 @@ def test_shared_folder(spark):
     assert shared_dir(spark, "x").startswith(base) and shared_dir(spark, "x") != shared_dir(spark, "x")
     df = write_through(frame(spark, A, B), "t", ("d",))
     assert kv(df) == [(1, "a"), (2, "b")] and df.schema["d"].dataType.simpleString() == "date"
+
+
+def test_bucketed_join_moves_no_row(spark, table_name):
+    from tidemark.sinks.buckets import SALT, join_buckets, store_buckets
+
+    fact = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("tag"),
+        F.col("id").alias("v"),
+        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 90 as int))").alias("at"),
+    )
+    dim = spark.range(35).select(F.concat(F.lit("k"), "id").alias("tag"), F.col("id").alias("size"))
+    dim = dim.unionAll(spark.createDataFrame([("hot", 99)], "tag string, size long"))
+    f, d = table_name("fact"), table_name("dim")
+    store_buckets(fact, dim, "tag", "at", f, d, buckets=8, most_rows=400)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_buckets(spark, f, d, "tag")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "SelectedBucketsCount" in plan
+        got = sorted((r.v, r.size) for r in joined.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = fact.join(dim, "tag", "left").select("v", "size")
+    assert got == sorted((r.v, r.size) for r in want.collect()) and len(got) == 6000
+    # The hot key lies in several files, each with at most its part; no task writes a file twice.
+    spread = spark.table(f).groupBy(F.input_file_name().alias("file"), "tag").count().filter("tag = 'hot'")
+    assert spread.count() >= 3 and spark.table(f).filter("tag = 'hot'").select(SALT).distinct().count() == 5
+    assert spark.table(f).select(F.input_file_name()).distinct().count() <= 8
+    assert spark.table(d).filter("tag = 'hot'").count() == 5 and spark.table(d).filter("tag = 'k3'").count() == 1
+
+
+def test_a_load_without_a_partition_rewrites_that_one_alone(spark, tmp_path, table_name):
+    name, root = table_name("t"), str(tmp_path)
+    tables.merge_table(frame(spark, A, B, (9, "z", None)), name, "k", "d", root=root)
+    where = lambda: {str(r.d): r.f for r in spark.table(name).select("d", F.input_file_name().alias("f")).collect()}
+    before = where()
+    tables.merge_table(frame(spark, (9, "Z", None), (5, "new", None)), name, "k", "d", root=root)
+    assert kv(spark.table(name)) == [(1, "a"), (2, "b"), (5, "new"), (9, "Z")]
+    after = where()
+    assert all(after[day] == before[day] for day in ("2024-01-01", "2024-01-02")) and after["None"] != before["None"]
+    tables.append_table(frame(spark, (7, "q", None)), name, "d", root, mode="replace_date")
+    assert kv(spark.table(name)) == [(1, "a"), (2, "b"), (7, "q")]
+
+
+def test_a_passing_catalog_is_refused_on_a_cluster(spark):
+    class Conf(dict):
+        get = dict.get
+
+    class Session:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(ValueError, match="outlives"):
+        tables.require_lasting_catalog(Session)
+    for more in ({"spark.master": "local[4]"}, {"spark.master": "yarn", "spark.sql.catalogImplementation": "hive"}):
+        Session.conf = Conf(more)
+        tables.require_lasting_catalog(Session)

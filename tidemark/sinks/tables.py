@@ -41,6 +41,17 @@ def table_root(spark: SparkSession, name: str) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
 
 
+def require_lasting_catalog(spark: SparkSession) -> None:
+    """On a cluster, refuse a catalog that is gone with the session.
+
+    The next run would not find the table, and build it anew from its load alone. Use a
+    Hive catalog there, or tables of ``sinks.versions``, whose state lies in their files.
+    """
+    local = spark.conf.get("spark.master", "").startswith("local")
+    if not local and spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory":
+        raise ValueError("merges need a catalog that outlives the session: see sinks.versions")
+
+
 def create_if_absent(
     spark: SparkSession,
     name: str,
@@ -165,11 +176,10 @@ def merge_table(
     touched = [
         r[0] for r in source.select(partition_by).distinct().union(held.distinct()).distinct().collect()
     ]
+    part = target.filter(F.col(partition_by).isin([v for v in touched if v is not None]))
     if None in touched:
-        merged = merge(target, source, key).select(*target.columns)
-        build_table(merged, name, partition_by, root)
-        return
-    part = target.filter(F.col(partition_by).isin(touched))
+        # Rows without a value have a partition of their own, like any other.
+        part = part.unionByName(target.filter(F.col(partition_by).isNull()))
     merged = merge(part, source, key).select(*target.columns)
     _swap_partitions(merged, name, partition_by, root, touched)
 
@@ -184,14 +194,20 @@ def incremental_table(
     lookback: str | None = None,
     root: str | None = None,
     partition_follows_ts: bool = False,
+    any_catalog: bool = False,
 ) -> None:
     """First run: build the table. Later: merge the rows newer than its newest.
 
     ``partition_follows_ts`` says that the partition column grows with ``ts``,
     as its date does. The newest row is then looked for in the last partition
     only, and not in the whole table.
+
+    On a cluster a catalog that is gone with the session is refused, unless
+    ``any_catalog`` says that all runs are in this session.
     """
     spark = source.sparkSession
+    if not any_catalog:
+        require_lasting_catalog(spark)
     existing = spark.table(name) if spark.catalog.tableExists(name) else None
     if existing is not None and partition_by and partition_follows_ts:
         existing = _last_partition(existing, name, partition_by)
@@ -259,23 +275,23 @@ def _swap_partitions(
     folder = _new_folder(root or table_root(spark, name))
     _write(df, folder, partition_by)
     written = spark.read.schema(df.schema).parquet(folder).select(partition_by).distinct()
-    now = [None if r[0] is None else str(r[0]) for r in written.collect()]
-    if not all(v and _PLAIN_VALUE.match(v) for v in now):
+    now = [_NO_VALUE if r[0] is None else str(r[0]) for r in written.collect()]
+    if not all(_PLAIN_VALUE.match(v) for v in now):
         raise ValueError(f"{name} has values of {partition_by} that cannot name a partition")
+    spec = lambda v: f"PARTITION (`{partition_by}` = {'NULL' if v == _NO_VALUE else repr(v)})"
     there = {r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     # New partitions are added many at a time; changing one is a step of its own.
     new = [v for v in now if v not in there]
     for i in range(0, len(new), _PARTITIONS_AT_ONCE):
         added = " ".join(
-            f"PARTITION (`{partition_by}` = '{v}') LOCATION '{folder}/{partition_by}={v}'"
+            f"{spec(v)} LOCATION '{folder}/{partition_by}={v}'"
             for v in new[i : i + _PARTITIONS_AT_ONCE]
         )
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
     for v in now:
         if v in there:
-            spec = f"PARTITION (`{partition_by}` = '{v}')"
-            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{folder}/{partition_by}={v}'")
-    for v in map(str, touched or ()):
+            spark.sql(f"ALTER TABLE {name} {spec(v)} SET LOCATION '{folder}/{partition_by}={v}'")
+    for v in (_NO_VALUE if v is None else str(v) for v in touched or ()):
         if v in there and v not in now:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition_by}` = '{v}')")
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec(v)}")
     spark.sql(f"REFRESH TABLE {name}")

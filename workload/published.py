@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir
+from tidemark.sinks.buckets import join_buckets, store_buckets
 from tidemark.sinks.history import read_history, snapshot_version
+from tidemark.sinks.tables import as_view, with_loaded_at
 from tidemark.sinks.versions import VersionedTable, incremental_version
 from workload.incremental import _AFTER, _BEFORE, customers_after, customers_before, first_load, later_load
 from workload.inputs import table
@@ -59,7 +63,35 @@ def snapshot_three_runs(spark, d):
     return read_history(spark, root)
 
 
+def bucketed_join(spark, d):
+    """Lines and their parts stored by the same buckets, the commonest parts salted, and joined without a shuffle."""
+    lines, parts = (f"tide_check.{t}_{uuid.uuid4().hex[:12]}" for t in ("lines", "parts"))
+    fact = table(spark, d, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
+    store_buckets(fact, table(spark, d, "part"), "p_partkey", "l_shipdate", lines, parts, buckets=16, most_rows=40)
+    return join_buckets(spark, lines, parts, "p_partkey").select(
+        "l_orderkey", "l_linenumber", "p_partkey", "l_extendedprice", "l_shipdate", "p_name", "p_brand"
+    )
+
+
+def view_with_load_time(spark, d):
+    """A view over rows with their load time, which is that of the query."""
+    as_view(with_loaded_at(table(spark, d, "orders")), "orders_loaded")
+    return spark.sql(
+        """SELECT o_orderstatus, count(*) AS n, bool_and(_loaded_at <= localtimestamp()
+          AND _loaded_at > localtimestamp() - INTERVAL 1 DAY) AS fresh FROM orders_loaded GROUP BY o_orderstatus"""
+    )
+
+
 QUERIES = {
+    "bucketed_join": (
+        bucketed_join,
+        """SELECT l_orderkey, l_linenumber, l_partkey AS p_partkey, l_extendedprice, l_shipdate, p_name, p_brand
+          FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
+    ),
+    "view_with_load_time": (
+        view_with_load_time,
+        "SELECT o_orderstatus, count(*) AS n, true AS fresh FROM orders GROUP BY o_orderstatus",
+    ),
     "rebuild_partitioned": (
         rebuild_partitioned,
         """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year,
