@@ -239,3 +239,32 @@ def test_history_by_check_of_columns(spark, tmp_path):
         snapshot_version(look(spark, (1, v, "2020-01-01")), root, "k", strategy="check", run_at=f"{day} 00:00:00")
     got = sorted((r.v, str(r.dbt_valid_from), str(r.dbt_valid_to)) for r in read_history(spark, root).collect())
     assert got == [("a", "2024-01-01 00:00:00", "2024-01-03 00:00:00"), ("b", "2024-01-03 00:00:00", "None")]
+
+
+def test_compact_and_expire(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path))
+    t.replace(frame(spark, (0, "a", "2024-01-01"), (99, "z", None)), "d", "k")
+    for k in range(1, 6):
+        t.append(frame(spark, (k, "a", "2024-01-02")))
+    assert len(t.manifest().parts["2024-01-02"]) == 5 and len(t.manifest().sketch["files"]) == 6
+    assert t.compact(most=5).version == 6
+    before = folders(t)
+    t.compact(most=2)
+    after = folders(t)
+    assert len(after["2024-01-02"]) == 1 and all(after[p] == before[p] for p in ("2024-01-01", NO_VALUE))
+    assert len(t.manifest().sketch["files"]) == 2
+    wanted = frame(spark, (3, "", None), (99, "", None)).select("k")
+    assert sorted(t.partitions_holding(wanted, ["k"])) == sorted(["2024-01-02", NO_VALUE])
+    gone = t.expire(keep=1)
+    assert len(gone) == 5 and t.versions() == [7] and rows(t.read(), "k") == [(k,) for k in (0, 1, 2, 3, 4, 5, 99)]
+    assert t.expire(keep=3) == [] and len(list((tmp_path / "sketches").iterdir())) == 2
+    t.merge(frame(spark, (3, "b", "2024-01-09")), "k")
+    assert rows(t.read().filter("k = 3"), "v") == [("b",)] and t.read().count() == 7
+    with pytest.raises(ValueError):
+        t.expire(0)
+    u = VersionedTable(spark, str(tmp_path / "plain"))
+    u.replace(frame(spark, (0, "a", None)))
+    for k in range(3):
+        u.append(frame(spark, (k, "b", None)))
+    u.compact(most=1)
+    assert u.read().count() == 4 and len(u.expire(1)) == 4 and u.read().count() == 4

@@ -102,12 +102,13 @@ class VersionedTable:
         by_value = F.col("part").cast(now.schema[now.partition_by].dataType)
         return self.read(now, [self.spark.createDataFrame(names, "part string").orderBy(by_value.desc()).head()[0]])
 
-    def _open(self, now: Manifest, folders: Sequence[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], now.schema)
+    def _open(self, now: Manifest, folders: Sequence[str], *more: str) -> DataFrame:
         schema = T.StructType([*now.schema.fields, T.StructField(RUN, T.StringType())])
+        if not folders:
+            return self.spark.createDataFrame([], schema).select(*[f"`{c}`" for c in [*now.schema.names, *more]])
         reader = self.spark.read.schema(schema).option("basePath", self.data)
-        return reader.parquet(*[f"{self.data}/{f}" for f in folders]).select(*[f"`{c}`" for c in now.schema.names])
+        rows = reader.parquet(*[f"{self.data}/{f}" for f in folders])
+        return rows.select(*[f"`{c}`" for c in [*now.schema.names, *more]])
 
     # Publishing. Each method writes folders and publishes a manifest of them; with
     # ``publish=False`` it only returns the manifest, to be looked at and committed later.
@@ -165,6 +166,38 @@ class VersionedTable:
 
         return self._next(df, publish, place, {mark[0]: mark[1]} if mark else {})
 
+    def compact(self, most: int = 16) -> Manifest:
+        """Partitions of more than ``most`` folders, as appends leave them, rewritten to one each."""
+        now = self._current()
+        many = [p for p, folders in now.parts.items() if len(folders) > most]
+        if not many:
+            return now
+        if now.partition_by is None:
+            return self.replace(self.read(now))
+        return self.swap(self.read(now, many), many)
+
+    def expire(self, keep: int) -> list[str]:
+        """Delete the manifests before the last ``keep`` versions, and the folders that no other names.
+
+        A run that is being written has folders that no manifest names yet: not to be called
+        beside one. Readers of the versions that are kept are not disturbed.
+        """
+        if keep < 1:
+            raise ValueError("the last version has to stay")
+        versions = self.versions()
+        kept = [self.manifest(v) for v in versions[-keep:]]
+        live = {f for m in kept for folders in m.parts.values() for f in folders}
+        sketches = {x["folder"] for m in kept for x in m.sketch.get("files", ())}
+        for v in versions[:-keep]:
+            _delete(self.spark, self._manifest_path(v))
+        gone = [f for f in _run_folders(self.spark, self.data) if f not in live]
+        for f in gone:
+            _delete(self.spark, f"{self.data}/{f}")
+        for f in list_names(self.spark, self.sketches):
+            if f not in sketches:
+                _delete(self.spark, f"{self.sketches}/{f}")
+        return gone
+
     def create(self, schema: T.StructType, partition_by: str | None = None) -> None:
         """An empty table, unless there is one."""
         if not self.exists():
@@ -218,7 +251,10 @@ class VersionedTable:
         hit = F.lit(True)
         for i in range(len(bits)):
             hit = hit & _has_bit(F.col("bitmap"), F.col(f"bit{i}"))
-        return [r[0] for r in sketch.join(probes, "block").filter(hit).select("part").distinct().collect()]
+        # One short row for each folder named. Folders that have been replaced since count for nothing.
+        named = sketch.join(probes, "block").filter(hit).select("part", "run").distinct().collect()
+        runs = {p: {f.rpartition(f"{RUN}=")[2] for f in folders} for p, folders in now.parts.items()}
+        return sorted({r.part for r in named if r.run in runs.get(r.part, ())})
 
     # Inside
 
@@ -269,7 +305,8 @@ class VersionedTable:
         known = {f for folders in (before.parts if before else {}).values() for f in folders}
         new = [f for folders in fresh.parts.values() for f in folders if f not in known]
         sketch = dict(fresh.sketch)
-        rows = self._open(fresh, new).select(*[f"`{k}`" for k in keys], F.col(f"`{fresh.partition_by}`").alias("part"))
+        text = F.coalesce(F.col(f"`{fresh.partition_by}`").cast("string"), F.lit(NO_VALUE))
+        rows = self._open(fresh, new, RUN).select(*[f"`{k}`" for k in keys], text.alias("part"), F.col(RUN).alias("run"))
         rows = rows.dropna(subset=list(keys))
         if not sketch:
             largest = rows.groupBy("part").count().agg(F.max("count")).head()[0] or 0
@@ -278,29 +315,21 @@ class VersionedTable:
         if new:
             block, bits = _places(keys, sketch["blocks"], sketch["probes"])
             # Each position once, so that the bitmaps are made from few rows.
-            each = rows.select("part", block.alias("block"), F.explode(F.array(*bits)).alias("bit")).distinct()
-            maps = each.groupBy("part", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-            runs = {f.rpartition(f"{RUN}=")[2] for f in new}
-            text = F.coalesce(F.col("part").cast("string"), F.lit(NO_VALUE))
-            out = maps.select(text.alias("part"), "block", "bitmap")
-            out.write.mode("errorifexists").parquet(f"{self.sketches}/{min(runs)}")
-            sketch["files"] = [*sketch.get("files", []), {"folder": min(runs), "folders": new}]
+            each = rows.select("part", "run", block.alias("block"), F.explode(F.array(*bits)).alias("bit")).distinct()
+            maps = each.groupBy("part", "run", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+            folder = uuid.uuid4().hex
+            maps.write.mode("errorifexists").parquet(f"{self.sketches}/{folder}")
+            sketch["files"] = [*sketch.get("files", []), {"folder": folder, "folders": new}]
         live = {f for folders in fresh.parts.values() for f in folders}
         sketch["files"] = [x for x in sketch.get("files", []) if live & set(x["folders"])]
         return replace(fresh, sketch=sketch)
 
     def _sketch_of(self, now: Manifest) -> DataFrame | None:
-        """(part, block, bitmap) of all folders that the manifest names."""
-        out = None
-        live = {f for folders in now.parts.values() for f in folders}
-        of = {f: p for p, folders in now.parts.items() for f in folders}
-        for file in now.sketch.get("files", ()):
-            parts = sorted({of[f] for f in file["folders"] if f in live})
-            one = self.spark.read.schema("part string, block int, bitmap binary").parquet(f"{self.sketches}/{file['folder']}")
-            if len(parts) < len(file["folders"]):
-                one = one.filter(F.col("part").isin(parts))
-            out = one if out is None else out.unionByName(one)
-        return out
+        """(part, run, block, bitmap) of all folders that the manifest names, and of some it named before."""
+        paths = [f"{self.sketches}/{x['folder']}" for x in now.sketch.get("files", ())]
+        if not paths:
+            return None
+        return self.spark.read.schema("part string, run string, block int, bitmap binary").parquet(*paths)
 
 
 def _places(keys: Sequence[str], blocks: int, probes: int) -> tuple[Column, list[Column]]:
@@ -363,6 +392,23 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def _run_folders(spark: SparkSession, data: str) -> list[str]:
+    """The folders of all runs, as manifests name them."""
+    out = []
+    for pattern, levels in ((f"{data}/{RUN}=*", 1), (f"{data}/*/{RUN}=*", 2)):
+        path, fs = _path(spark, pattern)
+        for found in fs.globStatus(path) or []:
+            folder = found.getPath()
+            name = folder.getName()
+            out.append(name if levels == 1 else f"{folder.getParent().getName()}/{name}")
+    return out
+
+
 def move(spark: SparkSession, old: str, new: str) -> None:
     source, fs = _path(spark, old)
     target, _ = _path(spark, new)
