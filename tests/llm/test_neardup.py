@@ -6,6 +6,7 @@ import itertools
 import math
 
 import numpy as np
+import pytest
 
 from tidemark.llm import neardup
 from tidemark.llm.lattice import nearest_points
@@ -91,3 +92,22 @@ def test_query_against_all_pairs(spark):
     rows = duckdb.sql(f"SELECT vec_id, embedding, label FROM '{folder}/embeddings.parquet'").fetchall()
     got = sorted(map(str, map(tuple, op5_embedding_near_dedup(spark, folder).collect())))
     assert got == all_pairs(rows)
+
+
+@pytest.mark.parametrize("width", [16, 64, 256, 768])
+def test_planted_pairs_meet(spark, frame, width):
+    """Pairs with a cosine of 0.98 to 0.995 come together in some lattice cell, in few and in many dimensions."""
+    rng = np.random.default_rng(width)
+    rows, pairs = [], 250
+    for k in range(pairs):
+        a = rng.normal(size=width)
+        a /= np.linalg.norm(a)
+        b = rng.normal(size=width)
+        b -= a * (a @ b)
+        cosine = rng.uniform(0.98, 0.995)
+        b = cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b)
+        rows += [(2 * k, a.tolist(), 1), (2 * k + 1, (3 * b).tolist(), 1)]
+    got = {r.vec_id: r for r in neardup.near_duplicates(frame(rows, "vec_id long, embedding array<double>, label long")).collect()}
+    met = sum(got[2 * k + 1].component_id == 2 * k for k in range(pairs))
+    assert met >= 0.99 * pairs
+    assert all(r.n_links <= 1 for r in got.values()) or width == 16

@@ -49,3 +49,29 @@ def test_small_inputs(spark, frame):
     assert [(r.doc_id, r.size, r.slot) for r in got] == [(1, 2, 0)]
     blank = packing.pack_shards(frame([(k, None, 0, 0, "") for k in range(8)], SCHEMA), 4).collect()
     assert len(blank) == 8
+
+
+def plain_shards(texts, shards):
+    """The shard of every text, all different, by the rule itself: larger ones first, to the highest dot product."""
+    sizes = {t: [len(t.encode()) + 1, len(t.split()), 1] for t in texts}
+    total = [sum(s[d] for s in sizes.values()) for d in range(3)]
+    parts = {t: np.array([s[d] / total[d] for d in range(3)]) for t, s in sizes.items()}
+    left = [np.full(3, 1 / shards) for _ in range(shards)]
+    out = {}
+    for t in sorted(texts, key=lambda t: (-parts[t].max(), zlib.crc32(t.encode()))):
+        products = [float(room @ parts[t]) for room in left]
+        best = max(range(shards), key=lambda k: (round(products[k], 12), -k))
+        out[t] = best
+        left[best] = left[best] - parts[t]
+    return out
+
+
+def test_whole_result_against_a_plain_version(spark, frame):
+    rng = np.random.default_rng(9)
+    texts = [f"t{k} " + "w " * int(s) for k, s in enumerate(rng.pareto(1.3, 150) * 30 + 1)]
+    got = packing.pack_shards(frame([(k, t, 0, 0, "") for k, t in enumerate(texts)], SCHEMA), 5).collect()
+    want = plain_shards(texts, 5)
+    same = sum(r.shard == want[texts[r.doc_id]] for r in got)
+    assert len(got) == len(texts) and same == len(texts)
+    for k in range(5):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(s == k for s in want.values())))

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import boosting, quality
 from tidemark.llm.queries import op8_quality
@@ -92,3 +93,25 @@ def test_accuracy_on_held_out_rows(spark):
     assert len(bad) > 5
     assert np.mean([[g > b for b in bad] for g in good]) > 0.97
     assert np.mean([r.predicted == labels[r.doc_id] for r in got]) > 0.95
+
+
+def test_query_against_a_plain_version(spark):
+    """The whole query in plain Python: which rows teach, the trees, and every score."""
+    import duckdb
+
+    folder = "/root/testdata/sf0.001"
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet' ORDER BY doc_id").fetchall()
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{folder}/labels.parquet'").fetchall())
+    x = quality.statistics(pa.array([t for _, t in docs], pa.string())).astype(float)
+    taught = [k for k, (i, _) in enumerate(docs) if i in labels and zlib.crc32(str(i).encode()) % 5]
+    # Sums of the same numbers in another order may settle a tie between splits otherwise.
+    rows = [(k, docs[k][0], labels[docs[k][0]], x[k].tolist()) for k in taught]
+    hashed = spark.createDataFrame(rows, "k int, id long, y int, x array<float>").select("k", F.xxhash64("id", "y", "x").alias("h"))
+    taught = [r.k for r in sorted(hashed.collect(), key=lambda r: r.h)]
+    trees = boosting.fit(x[taught], np.array([labels[docs[k][0]] != 0 for k in taught]))
+    want = dict(zip((i for i, _ in docs), trees.predict(x)))
+    got = op8_quality(spark, folder).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-6) and r.predicted == (r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
