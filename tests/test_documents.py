@@ -144,9 +144,9 @@ def document(**changes):
             {
                 "InventoryID": f"INV-{HEX}{i}",
                 "TagID": TAG,
-                "MaterialType": "gasket",
+                "MaterialType": "Gasket Kit",
                 "Quantity": quantity,
-                "StorageLocation": "shelf",
+                "StorageLocation": "Field Cabinet 3",
                 "LastUpdated": "31-Jan-2026 10:00",
             }
             for i, quantity in enumerate([5, "5", 5.5, -1])
@@ -155,7 +155,7 @@ def document(**changes):
             {
                 "ComplianceID": f"CMP-{HEX}0",
                 "TagID": TAG,
-                "RegulationName": "rule 1",
+                "RegulationName": "NFPA 30",
                 "InspectionDate": "01/31/2026",
                 "Status": "Pending Review",
                 "Inspector": "someone",
@@ -358,3 +358,52 @@ def test_save_and_reload(spark, tmp_path, cleaned):
         assert got.count() == cleaned[table].valid.count()
     bad = spark.read.parquet(f"{out}/bad/measurement")
     assert bad.count() == cleaned["measurement"].bad.count()
+
+
+def one_document(spark, **lists):
+    data = json.dumps(lists)
+    return spark.createDataFrame([("TAG-00001", "s", data)], "tag_id string, source_name string, data string").withColumn(
+        "ingested_at", F.lit("2026-02-01").cast("timestamp")
+    )
+
+
+def test_records_that_are_no_objects_keep_what_was_sent(spark):
+    raw = one_document(spark, measurements=[1, "x", None, [2, 3], {"MeasurementID": "m"}])
+    cleaned = industrial.clean_documents(raw)["measurement"]
+    got = {r.pos: r for r in cleaned.bad.collect()}
+    assert len(got) == 5 and cleaned.valid.isEmpty() and cleaned.duplicates.isEmpty()
+    sent = {0: "1", 1: '"x"', 3: "[2,3]"}
+    for pos, text in sent.items():
+        assert got[pos]["_sent"] == {"(record)": text} and "malformed:record" in got[pos].reasons and got[pos]["_extra"] is None
+    assert "malformed:record" not in got[4].reasons and got[4]["_sent"] == {"MeasurementID": "m"}
+
+
+def test_domains_and_revised_text(spark):
+    one = {"TagID": "TAG-00001", "Quantity": 1, "LastUpdated": "2026-01-01 00:00:00"}
+    raw = one_document(
+        spark,
+        inventory=[
+            {**one, "InventoryID": "INV-00000000000A", "MaterialType": "Gold", "StorageLocation": "Warehouse B-05"},
+            {**one, "InventoryID": "INV-00000000000B", "MaterialType": "Lubricant", "StorageLocation": "Warehouse B-05 (revised)"},
+        ],
+        regulatory_compliance=[
+            {"ComplianceID": "CMP-00000000000A", "TagID": "TAG-00001", "RegulationName": "API 570 (revised)",
+             "InspectionDate": "2026-01-01", "Status": "Exempted", "Inspector": "me (revised)"},
+        ],
+    )
+    cleaned = industrial.clean_documents(raw)
+    reasons = lambda t: sorted(tuple(r.reasons) for r in cleaned[t].bad.collect())
+    assert reasons("inventory") == [("domain:material_type",), ("domain:storage_location",)]
+    assert reasons("regulatory_compliance") == [("domain:regulation_name", "revised:inspector")]
+
+
+def test_a_batch_is_audited_while_it_is_written(spark, tmp_path):
+    raw = one_document(spark, measurements=[1, {"MeasurementID": "MEAS-00000000000A", "TagID": "TAG-00001", "Timestamp": "2026-01-01 00:00:00", "Value": 1, "QualityFlag": "Good"}] * 2)
+    raw = raw.unionByName(raw.withColumn("data", F.lit("no document")))
+    audit = {r.table: r for r in industrial.run_batch(raw, str(tmp_path), "b7").collect()}
+    assert tuple(audit["measurement"])[2:] == ("complete", 4, 1, 2, 1) and len(audit) == 13
+    assert all(r.status == "complete" and r.batch_id == "b7" for r in audit.values())
+    assert spark.read.parquet(f"{tmp_path}/audit").count() == 13
+    cleaned = spark.read.schema(zone_schema("cleaned")).json(f"{tmp_path}/cleaned/measurement")
+    assert cleaned.count() == 4 and cleaned.filter("data like '%MEAS-%'").count() == 2
+    assert spark.read.json(f"{tmp_path}/bad/documents").count() == 1
