@@ -36,21 +36,21 @@ _AS_PRICE = "CASE WHEN l_linestatus = 'F' THEN l_extendedprice END"
 
 MASTERS = {
     "equipment": (
-        {"EquipmentID": _EQUIPMENT, "EquipmentName": "CASE WHEN l_suppkey % 11 <> 0 THEN 'pump' END",
+        {"EquipmentID": _EQUIPMENT, "EquipmentName": "CASE WHEN l_suppkey % 5 <> 1 THEN 'pump' END",
          "EquipmentType": "'meter'", "Manufacturer": "'maker'", "InstallDate": "'2020-01-31'"},
-        {"InstallDate": "DATE '2020-01-31'"}, "l_suppkey % 11 = 0"),
+        {"InstallDate": "DATE '2020-01-31'"}, "l_suppkey % 5 = 1"),
     "location": (
-        {"LocationID": _LOCATION, "SiteName": "CASE WHEN l_suppkey % 13 <> 0 THEN 'site' ELSE 'site (revised)' END",
+        {"LocationID": _LOCATION, "SiteName": "CASE WHEN l_suppkey % 7 <> 3 THEN 'site' ELSE 'site (revised)' END",
          "Area": "'north'", "GPSCoordinates": "'1.5,2.5'"},
-        {}, "l_suppkey % 13 = 0"),
+        {}, "l_suppkey % 7 = 3"),
     "customer": (
         {"CustomerID": _CUSTOMER.format("l_suppkey"), "CustomerName": "'name'", "Industry": "'oil'",
-         "ContactInfo": "CASE WHEN l_suppkey % 17 <> 0 THEN 'a@b' END", "Region": "'west'"},
-        {}, "l_suppkey % 17 = 0"),
+         "ContactInfo": "CASE WHEN l_suppkey % 6 <> 2 THEN 'a@b' END", "Region": "'west'"},
+        {}, "l_suppkey % 6 = 2"),
     "tag": (
-        {"TagID": _TAG, "TagName": "'flow'", "Description": "CASE WHEN l_suppkey % 19 <> 0 THEN 'flow meter' END",
+        {"TagID": _TAG, "TagName": "'flow'", "Description": "CASE WHEN l_suppkey % 9 <> 4 THEN 'flow meter' END",
          "UnitOfMeasure": "'m3'", "EquipmentID": _EQUIPMENT, "LocationID": _LOCATION},
-        {}, "l_suppkey % 19 = 0"),
+        {}, "l_suppkey % 9 = 4"),
 }
 ARRAYS = {
     "measurement": (
