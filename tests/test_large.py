@@ -31,3 +31,15 @@ def test_files_of_staged_records_are_bounded_by_rows(spark, monkeypatch):
     counts = records.groupBy("table", F.input_file_name().alias("file")).count().collect()
     assert max(r["count"] for r in counts) <= 10
     assert sum(r["count"] for r in counts if r.table == "measurement") == 180
+
+
+def test_keys_of_a_sketch_meet_before_their_bitmaps_are_made(spark):
+    rows = spark.range(5000).select("id", F.lit("p").alias("part"), F.lit("r").alias("run"))
+    maps = versions._bitmaps(rows, ["id"], 5, 8)
+    # The innermost step is the exchange of one row for each key; nothing is aggregated below it.
+    plan = _plan(maps)
+    assert "Aggregate" not in plan[plan.index("RebalancePartitions"):] and "Aggregate" in plan
+    block, bits = versions._places(["id"], 5, 8)
+    wanted = rows.select(block.alias("block"), F.explode(F.array(*bits)).alias("bit")).distinct().groupBy("block").count()
+    held = maps.select("block", F.bitmap_count("bitmap").alias("count"))
+    assert held.exceptAll(wanted).isEmpty() and held.count() == wanted.count()

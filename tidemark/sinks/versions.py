@@ -313,10 +313,7 @@ class VersionedTable:
             sketch = {"keys": list(keys), "bits_per_key": bits_per_key, "probes": max(1, bits_per_key // 4)}
             sketch["blocks"] = max(1, -(-largest * bits_per_key // BITMAP))
         if new:
-            block, bits = _places(keys, sketch["blocks"], sketch["probes"])
-            # Each position once, so that the bitmaps are made from few rows.
-            each = rows.select("part", "run", block.alias("block"), F.explode(F.array(*bits)).alias("bit")).distinct()
-            maps = each.groupBy("part", "run", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+            maps = _bitmaps(rows, keys, sketch["blocks"], sketch["probes"])
             folder = uuid.uuid4().hex
             maps.write.mode("errorifexists").parquet(f"{self.sketches}/{folder}")
             sketch["files"] = [*sketch.get("files", []), {"folder": folder, "folders": new}]
@@ -341,6 +338,21 @@ def _places(keys: Sequence[str], blocks: int, probes: int) -> tuple[Column, list
     return block, [F.shiftrightunsigned(hashes[i // 4], 15 * (i % 4)).bitwiseAND(F.lit(BITMAP - 1)) for i in range(probes)]
 
 
+def _bitmaps(rows: DataFrame, keys: Sequence[str], blocks: int, probes: int) -> DataFrame:
+    """(part, run, block, bitmap) of the keys in ``rows``.
+
+    The keys of a bitmap meet in parts of even size, one row a key, so that no task holds
+    more than its part, however long the files are that it comes from. There is one bitmap
+    for each probe at first, and then one of all.
+    """
+    block, bits = _places(keys, blocks, probes)
+    by, names = ["part", "run", "block"], [f"bit{i}" for i in range(len(bits))]
+    each = rows.select("part", "run", block.alias("block"), *[b.alias(n) for b, n in zip(bits, names)])
+    each = each.hint("rebalance", *by).groupBy(*by).agg(*[F.bitmap_construct_agg(n).alias(n) for n in names])
+    every = each.select(*by, F.explode(F.array(*names)).alias("bitmap"))
+    return every.groupBy(*by).agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
 def _has_bit(bitmap: Column, position: Column) -> Column:
     byte = F.conv(F.hex(F.substring(bitmap, (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
     return F.getbit(byte, position.bitwiseAND(F.lit(7)).cast("int")) == 1
