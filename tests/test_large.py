@@ -33,6 +33,14 @@ def test_files_of_staged_records_are_bounded_by_rows(spark, monkeypatch):
     assert sum(r["count"] for r in counts if r.table == "measurement") == 180
 
 
+def test_raw_zone_is_packed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(zones, "ROWS_PER_FILE", 10, raising=False)
+    raw = spark.createDataFrame([_document(i) for i in range(25)], SCHEMA).coalesce(1)
+    zones.write_zone(raw, "raw", str(tmp_path / "raw"))
+    assert len(glob.glob(str(tmp_path / "raw/*.json.gz"))) == 3
+    assert spark.read.schema(SCHEMA).json(str(tmp_path / "raw")).exceptAll(raw).isEmpty()
+
+
 def test_keys_of_a_sketch_meet_before_their_bitmaps_are_made(spark):
     rows = spark.range(5000).select("id", F.lit("p").alias("part"), F.lit("r").alias("run"))
     maps = versions._bitmaps(rows, ["id"], 5, 8)
