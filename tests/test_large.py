@@ -51,3 +51,16 @@ def test_keys_of_a_sketch_meet_before_their_bitmaps_are_made(spark):
     wanted = rows.select(block.alias("block"), F.explode(F.array(*bits)).alias("bit")).distinct().groupBy("block").count()
     held = maps.select("block", F.bitmap_count("bitmap").alias("count"))
     assert held.exceptAll(wanted).isEmpty() and held.count() == wanted.count()
+
+
+def test_stand_ins_are_dealt_out_before_they_are_made_into_text(spark, tmp_path):
+    spark.sql(
+        "SELECT 1L event_id, timestamp_ntz'2024-01-01' ts, 1L user_id, 'view' event_type, 1D value, '{}' props"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    spark.sql(
+        """SELECT 1L l_orderkey, 1L l_partkey, 1L l_suppkey, 1 l_linenumber, 1D l_quantity, 1D l_extendedprice, 0D l_discount,
+           0D l_tax, 'N' l_returnflag, 'O' l_linestatus, timestamp_ntz'2024-01-01' l_shipdate"""
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for made in (inputs.raw_events(spark, str(tmp_path)), plant.plant_documents(spark, str(tmp_path))):
+        plan = _plan(made)
+        assert "StructsToJson" not in plan[plan.index("RepartitionByExpression"):] and "StructsToJson" in plan

@@ -140,4 +140,5 @@ def raw_events(spark: SparkSession, d: str) -> DataFrame:
             "session_id",
         ).alias("context"),
     )
-    return flat_events(spark, d).select(F.to_json(document).alias("value"))
+    # The table may be a few row groups; its rows are dealt out as the files of an event source would be.
+    return flat_events(spark, d).repartition("event_id").select(F.to_json(document).alias("value"))
