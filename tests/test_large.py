@@ -64,3 +64,21 @@ def test_stand_ins_are_dealt_out_before_they_are_made_into_text(spark, tmp_path)
     for made in (inputs.raw_events(spark, str(tmp_path)), plant.plant_documents(spark, str(tmp_path))):
         plan = _plan(made)
         assert "StructsToJson" not in plan[plan.index("RepartitionByExpression"):] and "StructsToJson" in plan
+
+
+def test_events_of_the_layers_are_made_once(spark, tmp_path):
+    for name in ("nation", "customer", "part", "orders"):
+        columns = {
+            "nation": "0L n_nationkey, 'X' n_name",
+            "customer": "1L c_custkey, 'a' c_name, 0L c_nationkey, 'B' c_mktsegment",
+            "part": "1L p_partkey, 'a' p_name, 'b' p_type, 'c' p_brand, 1 p_size",
+            "orders": "1L o_orderkey, 1L o_custkey, 1D o_totalprice, timestamp_ntz'1998-01-01' o_orderdate, '5-LOW' o_orderpriority",
+        }[name]
+        spark.sql(f"SELECT {columns}").write.parquet(str(tmp_path / f"{name}.parquet"))
+    spark.sql(
+        """SELECT id event_id, timestamp_ntz'2024-01-01' + make_dt_interval(cast(id as int)) ts, id user_id, 'view' event_type,
+           1D value, '{"k": 1}' props FROM range(31)"""
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    first, second = layers._loads(spark, str(tmp_path))
+    assert [load["events"].count() for load in (first, second)] == [15, 16]
+    assert "StructsToJson" not in _plan(first["events"]) + _plan(second["events"])
