@@ -24,6 +24,25 @@ def _document(i):
 SCHEMA = "tag_id string, source_name string, ingested_at timestamp, data string"
 
 
+def test_documents_looked_at_for_faults_are_parsed_once(spark):
+    parsed = documents.parse_tag_document(spark.createDataFrame([_document(1)], SCHEMA))
+    assert _plan(documents.malformed(parsed)).lower().count("parsejson(") == 1
+
+
+def test_every_fault_of_a_document_is_named(spark):
+    texts = {
+        '{"tag": {}, "alarms": []}': None, '{"tag": null, "alarms": null}': None, "{}": None,
+        '{"tag": [1], "alarms": {"a": 1}, "events": "[1]", "billing": 7, "location": "x"}':
+            ["malformed:alarms", "malformed:billing", "malformed:events", "malformed:location", "malformed:tag"],
+        "[1]": ["malformed:data"], "{": ["malformed:data"],
+    }
+    raw = spark.createDataFrame([("t", "s", None, x) for x in [*texts, None]], SCHEMA)
+    bad = documents.malformed(documents.parse_tag_document(raw))
+    assert bad.columns == [*raw.columns, "reasons"]
+    found = {r.data: r.reasons for r in bad.collect()}
+    assert found == {**{k: v for k, v in texts.items() if v}, None: ["malformed:data"]}
+
+
 def test_files_of_staged_records_are_bounded_by_rows(spark, monkeypatch):
     monkeypatch.setattr(industrial, "ROWS_PER_FILE", 10)
     raw = spark.createDataFrame([_document(i) for i in range(9)] * 10, SCHEMA)
