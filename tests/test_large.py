@@ -56,7 +56,7 @@ def test_raw_zone_is_packed_in_files_of_bounded_rows(spark, tmp_path, monkeypatc
     monkeypatch.setattr(zones, "ROWS_PER_FILE", 10, raising=False)
     raw = spark.createDataFrame([_document(i) for i in range(25)], SCHEMA).coalesce(1)
     zones.write_zone(raw, "raw", str(tmp_path / "raw"))
-    assert len(glob.glob(str(tmp_path / "raw/*.json.gz"))) == 3
+    assert len(glob.glob(str(tmp_path / "raw/*.json.snappy"))) == 3
     assert spark.read.schema(SCHEMA).json(str(tmp_path / "raw")).exceptAll(raw).isEmpty()
 
 

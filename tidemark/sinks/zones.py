@@ -10,16 +10,16 @@ from tidemark.session import write_through
 from tidemark.sources.zones import ZONES
 
 
-#: Rows in one file of a JSON zone. A gzip file is read by one task, whatever its size.
+#: Rows in one file of a JSON zone. A packed file is read by one task, whatever its size.
 ROWS_PER_FILE = 200_000
 
 
 def write_zone(df: DataFrame, zone: str, path: str, mode: str = "append") -> None:
-    """Envelopes as files of the zone. JSON lines are packed by gzip, which readers undo by the files' names."""
+    """Envelopes as files of the zone. JSON lines are packed by snappy, which readers undo by the files' names."""
     kind = ZONES[zone][0]
     writer = df.write.mode(mode).format(kind)
     if kind == "json":
-        writer = writer.options(compression="gzip", maxRecordsPerFile=ROWS_PER_FILE)
+        writer = writer.options(compression="snappy", maxRecordsPerFile=ROWS_PER_FILE)
     writer.save(path)
 
 
