@@ -74,6 +74,30 @@ def test_against_all_pairs(spark, frame, monkeypatch, n, percent, small):
     assert [r.component_id for r in got if r.doc_id is None] == [None]
 
 
+def test_copies_of_one_text_ask_one_head(spark, frame, monkeypatch):
+    """Each is similar to the text that it was made from, no two to each other: nothing is left to ask of groups."""
+    rng = random.Random(8)
+    base, rows = [f"b{k}" for k in range(200)], []
+    for i in range(150):
+        copy = list(base)
+        for at in rng.sample(range(4, 196), 2):
+            copy[at] = f"x{i}at{at}"
+        rows.append((i, " ".join(copy)))
+    rows[70:70] = [(500, " ".join(base)), (501, " ".join(base))]
+    written, through = {}, group_matrix.write_through
+
+    def kept(df, label, **more):
+        written[label] = through(df, label, **more)
+        return written[label]
+
+    monkeypatch.setattr(group_matrix, "write_through", kept)
+    docs = frame([(*r, "a", "b", "c") for r in rows], SCHEMA).repartition(16)
+    got = group_matrix.similar_documents(docs, 4, 85).collect()
+    assert sorted(tuple(r) for r in got) == all_pairs(rows, 4, 85)
+    assert written["star-queries"].select("gid").distinct().count() == 1
+    assert written["queries"].count() == 0
+
+
 def test_keep_one(spark, frame):
     rows = corpus(2)
     kept = group_matrix.keep_one(frame([(*r, "a", "b", "c") for r in rows], SCHEMA))

@@ -237,6 +237,22 @@ def _open(slim: DataFrame, classes: DataFrame, candidates: DataFrame, members: D
     return rows.groupBy("gid", "chunk").applyInPandas(compare, "a long, b long")
 
 
+def _heads(shared: DataFrame) -> DataFrame:
+    """(t, head, head_n): the most central class of each token.
+
+    Copies of a text that many were made from are alike in ``central``: of these, the one
+    whose tokens are in the most rows is least edited. Ties end at the number of the class,
+    so that the tokens of a family choose the same head, in whatever order their rows meet.
+    """
+    weight = write_through(
+        shared.groupBy("cls").agg(F.max("central").alias("central"), F.sum("rows").alias("mass"), F.max("copies").alias("copies")),
+        "weights",
+    )
+    order = F.struct("central", "mass", "copies", "cls")
+    heads = shared.select("t", "cls", "n").join(weight, "cls").groupBy("t").agg(F.max(F.struct(order.alias("by"), "n")).alias("top"))
+    return heads.select("t", F.col("top.by.cls").alias("head"), F.col("top.n").alias("head_n"))
+
+
 def _need(n: Column, m: Column, percent: int) -> Column:
     """Tokens that sets of ``n`` and ``m`` must share at least."""
     return F.ceil((n + m) * percent / (100 + percent))
@@ -294,16 +310,21 @@ def similar_documents(
         known.groupBy("cls").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes"
     )
     tokens = known.select("cls", "n", "central", F.posexplode("prefix").alias("place", "t"))
-    heads = tokens.groupBy("t").agg(
-        F.min("cls").alias("a"), F.max("cls").alias("b"), F.max_by("cls", "central").alias("head"), F.max_by("n", "central").alias("head_n")
+    met = tokens.groupBy("t").agg(F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("rows"))
+    met = met.filter("a <> b").select("t", "rows")
+    shared = write_through(
+        tokens.join(met, "t").groupBy("cls", "n", "place", "t").agg(
+            F.max("central").alias("central"), F.max("rows").alias("rows"), F.count("*").alias("copies")
+        ),
+        "shared-tokens",
     )
-    heads = heads.filter("a <> b").drop("a", "b")
-    shared = write_through(tokens.drop("central").join(heads, "t").distinct(), "shared-tokens")
+    shared, heads = shared.select("cls", "n", "place", "t"), _heads(shared)
 
     # Stars: each class against the most central class of its tokens.
     size = prefix_size(F.col("n"), percent)
     stars = (
-        shared.filter("cls <> head")
+        shared.join(heads, "t")
+        .filter("cls <> head")
         .filter((F.col("head_n") * 100 >= F.col("n") * percent) & (F.col("head_n") * percent <= F.col("n") * 100))
         .groupBy("cls", "head", "n")
         .agg(F.count("*").alias("k"))
