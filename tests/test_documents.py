@@ -445,3 +445,14 @@ def test_documents_of_lines_are_written_without_a_json_writer(spark, tmp_path):
         document(3, {}),
     ]
     assert [list(x["equipment"])[:2] for x in got][0] == ["EquipmentID", "EquipmentName"]
+
+
+def test_texts_are_looked_at_without_a_pattern(spark):
+    texts = ['{"a": 1}', ' \t\n\x0b\f\r{"a": 1}', '\u00a0{"a": 1}', "[{}]", "", "  ", None, ' \n{"a": ', "x{}"]
+    parsed = documents.parse_tag_document(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, data string"))
+    assert "rlike" not in parsed._jdf.queryExecution().optimizedPlan().toString().lower()
+    # JSON itself knows no vertical tab or form feed: the second starts like an object and is none.
+    assert [r.k for r in parsed.filter("doc IS NOT NULL").orderBy("k").collect()] == [0]
+    assert parsed.filter("k = 0").select(F.try_variant_get("doc", "$.a", "int")).first()[0] == 1
+    spaced = spark.createDataFrame([(" \t\r\n{}",)], "data string")
+    assert documents.parse_tag_document(spaced).filter("doc IS NOT NULL").count() == 1

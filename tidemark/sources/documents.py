@@ -14,7 +14,7 @@ from tidemark.plans.contracts import KEY_ALIASES, MASTER_KEYS, TARGET_OF
 def parse_tag_document(df: DataFrame, col: str = "data") -> DataFrame:
     """Add the parsed document as ``doc``; NULL where the text is no JSON object."""
     # Text of an object starts with a brace; anything else is not worth parsing.
-    text = F.when(F.col(col).rlike(r"^\s*\{"), F.col(col))
+    text = F.when(F.startswith(F.ltrim(F.col(col), F.lit(" \t\n\x0b\f\r")), F.lit("{")), F.col(col))
     return df.withColumn("doc", F.try_parse_json(text))
 
 
