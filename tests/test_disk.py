@@ -102,3 +102,13 @@ def test_lines_are_dealt_out_only_if_their_files_do_not(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_records_go_as_their_tables_are_settled(spark, tmp_path, shared):
+    d = _lines(spark, f"{tmp_path}/lines", 2, 100)
+    wide = documents.tag_enrich(spark, d)
+    assert glob.glob(f"{shared}/records-*") and not glob.glob(f"{shared}/records-*/table=*")
+    # Every fourth line, sold without tax, has a broken document.
+    assert wide.count() == 75 and wide.filter("site_name = 'site'").count() == 75
+    report = {r.child: tuple(r)[2:] for r in documents.tag_fk_report(spark, d).collect()}
+    assert report["measurement.tag_id"] == (0, 0) and not glob.glob(f"{shared}/records-*/table=*")
