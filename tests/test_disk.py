@@ -112,3 +112,15 @@ def test_records_go_as_their_tables_are_settled(spark, tmp_path, shared):
     assert wide.count() == 75 and wide.filter("site_name = 'site'").count() == 75
     report = {r.child: tuple(r)[2:] for r in documents.tag_fk_report(spark, d).collect()}
     assert report["measurement.tag_id"] == (0, 0) and not glob.glob(f"{shared}/records-*/table=*")
+
+
+def test_a_batch_leaves_its_zones_only(spark, tmp_path, shared):
+    d = _lines(spark, f"{tmp_path}/lines", 2, 100)
+    counts = {(r.zone, r.table): r.n for r in plant.pipeline_zone_counts(spark, d).collect()}
+    assert {table: counts["cleaned", table] for _, table in counts} == {
+        table: sum(counts[z, table] for z in ("valid", "bad", "duplicates")) for _, table in counts
+    }
+    left = {f for f in glob.glob(f"{shared}/**/*.*", recursive=True) if os.path.isfile(f)}
+    assert left and all("/batch-" in f or "/records-" in f and "/table=" not in f for f in left)
+    cleaned = [f for f in left if "/cleaned/" in f]
+    assert cleaned and all(f.endswith(".json.gz") for f in cleaned)

@@ -14,12 +14,13 @@ from tidemark.sources.zones import ZONES
 ROWS_PER_FILE = 200_000
 
 
-def write_zone(df: DataFrame, zone: str, path: str, mode: str = "append") -> None:
-    """Envelopes as files of the zone. JSON lines are packed by snappy, which readers undo by the files' names."""
+def write_zone(df: DataFrame, zone: str, path: str, mode: str = "append", packed: str = "snappy") -> None:
+    """Envelopes as files of the zone. JSON lines are packed, by snappy or by gzip, which takes
+    less room and more work; readers undo it by the files' names."""
     kind = ZONES[zone][0]
     writer = df.write.mode(mode).format(kind)
     if kind == "json":
-        writer = writer.options(compression="snappy", maxRecordsPerFile=ROWS_PER_FILE)
+        writer = writer.options(compression=packed, maxRecordsPerFile=ROWS_PER_FILE)
     writer.save(path)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import coerce
 from tidemark.plans import industrial
 from tidemark.plans.contracts import CONTRACTS, FK_EDGES, TARGET_OF
-from tidemark.session import shared_dir, write_through
+from tidemark.session import drop_written, shared_dir, sparing_disk, write_through
 from workload.inputs import table
 
 _TAG = "'TAG-' || lpad(CAST(l_suppkey AS {text}), 5, '0')"
@@ -157,19 +157,24 @@ def _clean(name):
 
 def _landed(spark, d):
     """The documents as files, like those of a raw zone: a batch reads them twice. Few to a file, as they are long."""
-    return write_through(plant_documents(spark, d), "plant", most_rows=2_000)
+    with sparing_disk(spark):
+        return write_through(plant_documents(spark, d), "plant", most_rows=2_000)
+
+
+def _batch(spark, d, out):
+    landed = _landed(spark, d)
+    return industrial.run_batch(landed, out, "b1", spent=lambda: drop_written(landed))
 
 
 def pipeline_audit(spark, d):
     """One batch through all zones; what it was and became, by table, as observed while it was written."""
-    audit = industrial.run_batch(_landed(spark, d), shared_dir(spark, "batch"), "b1")
-    return audit.drop("batch_id")
+    return _batch(spark, d, shared_dir(spark, "batch")).drop("batch_id")
 
 
 def pipeline_zone_counts(spark, d):
     """The rows that lie in the zones after a batch."""
     out = shared_dir(spark, "batch")
-    industrial.run_batch(_landed(spark, d), out, "b1")
+    _batch(spark, d, out)
     counts = None
     for zone, read in (("cleaned", spark.read.text), ("valid", spark.read.parquet), ("bad", spark.read.parquet), ("duplicates", spark.read.parquet)):
         for t in CONTRACTS:
