@@ -124,3 +124,19 @@ def test_a_batch_leaves_its_zones_only(spark, tmp_path, shared):
     assert left and all("/batch-" in f or "/records-" in f and "/table=" not in f for f in left)
     cleaned = [f for f in left if "/cleaned/" in f]
     assert cleaned and all(f.endswith(".json.gz") for f in cleaned)
+
+
+@pytest.mark.parametrize("few", (0, 100))
+def test_copies_of_a_batch_are_found_by_their_numbers(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(industrial, "FEW_COPIES", few, raising=False)
+    seen = []
+    surplus = industrial.surplus
+    monkeypatch.setattr(industrial, "surplus", lambda *a, **kw: seen.append(surplus(*a, **kw)) or seen[-1])
+    raw = _raw(spark, *[_measured(i % 5, i) for i in range(20)])
+    spent = []
+    audit = industrial.run_batch(raw, f"{tmp_path}/out", "b", ("measurement",), spent=lambda: spent.append(os.listdir(f"{tmp_path}/out")))
+    assert [tuple(r)[1:] for r in audit.collect()] == [("measurement", "complete", 40, 5, 20, 15)]
+    assert spent == [["bad"]]
+    assert ("LeftSemi" in _plan(seen[0])) == bool(few)
+    copies = spark.read.parquet(f"{tmp_path}/out/duplicates/measurement")
+    assert sorted(r[0] for r in copies.select(F.unix_seconds("_ingested_at")).collect()) == list(range(15))

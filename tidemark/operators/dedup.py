@@ -75,13 +75,19 @@ def resolve_near(
     return keep_best(df, key, order, row_id)
 
 
-def surplus(df: DataFrame, kept: DataFrame, row_id: str | Sequence[str]) -> DataFrame:
+def surplus(df: DataFrame, kept: DataFrame, row_id: str | Sequence[str], few: bool = False) -> DataFrame:
     """The rows of ``df`` that are not in ``kept``.
 
     Joined on the row identifier, which is unique, and not on the key: a key
     with very many copies is spread like any other rows.
+
+    ``few`` is for callers who know that there are few of them, in a table that is cheap
+    to read again: then only identifiers are shuffled, and those found are sent to every task.
     """
     ids = [row_id] if isinstance(row_id, str) else list(row_id)
+    if few:
+        found = df.select(*ids).join(kept.select(*ids), ids, "left_anti")
+        return df.join(F.broadcast(found), ids, "left_semi")
     return df.join(kept.select(*ids), ids, "left_anti")
 
 

@@ -25,6 +25,8 @@ _TEXT = "_text"
 #: Records of a table are much alike and shrink to a few bytes each in a file, but every one is parsed,
 #: checked and ranked when it is read: by their bytes alone, tens of millions would fall to one task.
 ROWS_PER_FILE = 200_000
+#: Copies of a table of which the identifiers are sent to every task, at 8 bytes each.
+FEW_COPIES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -134,8 +136,8 @@ def run_batch(
     Writes ``cleaned`` (typed rows as JSON envelopes), ``valid``, ``bad`` and ``duplicates``,
     each with a folder for every table, and ``bad/documents`` with what could not be read.
     The counts are observed in the tasks that write the files, so nothing is read again to
-    count it. What a table is made from goes as soon as its zones are written, and
-    ``spent`` is called when ``raw`` is not read any more. A table is ``complete`` if its rows in the three zones are its records, else
+    count it. What a table is made from goes as soon as its zones are written, two tables
+    at a time, and ``spent`` is called when ``raw`` is not read any more. A table is ``complete`` if its rows in the three zones are its records, else
     ``incomplete``. The audit of the batch is also written to ``out/audit``.
     """
     spark = raw.sparkSession
@@ -148,13 +150,14 @@ def run_batch(
         checked = write_through(check_table(records, contract), f"checked-{table}", most_rows=ROWS_PER_FILE)
         drop_written(records, f"table={table}")
         write_zone(to_envelope(checked, contract, "cleaned"), "cleaned", f"{out}/cleaned/{table}", "errorifexists", "gzip")
-        came = staged.get[table]
-        best = write_through(_best(checked, contract), table, most_rows=ROWS_PER_FILE)
+        came, kept = staged.get[table], Observation()
+        best = write_through(_best(checked, contract).observe(kept, written), table, most_rows=ROWS_PER_FILE)
+        few = came - kept.get["rows"] <= FEW_COPIES
         valid, bad = split_valid(best)
         valid = valid.select(*contract.names)
         if table in SORTED_BY:
             valid = cluster_fact(valid, "tag_id", SORTED_BY[table])
-        zones = {"valid": valid, "bad": bad, "duplicates": surplus(checked, best, "_row")}
+        zones = {"valid": valid, "bad": bad, "duplicates": surplus(checked, best, "_row", few)}
         for zone, df in zones.items():
             df.observe(seen[zone], written).write.parquet(f"{out}/{zone}/{table}")
         drop_written(checked)
@@ -167,7 +170,7 @@ def run_batch(
         records = stage_records(raw, tables, staged)
         if spent:
             spent()
-        rows = in_parallel(clean, contracts)
+        rows = in_parallel(clean, contracts, at_once=2)
         audit = spark.createDataFrame(rows, AUDIT)
         audit.coalesce(1).write.parquet(f"{out}/audit")
     return audit
